@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analysed workload is batch only: it has no stream source, watermark,
+event-time window or state, and its "real-time" wording is not backed by any
+code.  Nothing is built here on purpose; every operator in ``operators`` is a
+plain DataFrame transformation, so it can run inside ``foreachBatch`` of a
+Structured Streaming query unchanged if a caller needs that.
+"""
