@@ -17,6 +17,7 @@ def get_session(master: str | None = None, app: str = "ledgerlens",
                 shuffle_partitions: int | None = None) -> SparkSession:
     builder = (SparkSession.builder.appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC"))
