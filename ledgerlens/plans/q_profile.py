@@ -14,7 +14,7 @@ _REF_TABLES = {  # name in the analysed workload -> derived table -> its columns
     "addr_addr": ("addr_addr", ["input_address", "output_address"]),
     "addr_tx": ("addr_tx", ["input_address", "txId"]),
     "tx_addr": ("tx_addr", ["txId", "output_address"]),
-    "txs_features": ("doc_features", ["txId", "time_step", "class"] + DOC_FEATURE_COLS),
+    "txs_features": ("doc_features", ["txId", "time_step"] + DOC_FEATURE_COLS),
 }
 
 

@@ -58,12 +58,22 @@ class Tables:
     def doc_features(self) -> DataFrame:
         return fx.doc_features(self.raw("documents"), self.raw("labels"))
 
+    @cached_property
+    def txs_features(self) -> DataFrame:
+        """doc_features without the class: txId, time_step, f_*."""
+        return self.doc_features.drop("class")
+
+    @cached_property
+    def doc_classes(self) -> DataFrame:
+        """txId, class of the feature rows."""
+        return self.doc_features.select("txId", "class")
+
     def reference_tables(self) -> dict[str, DataFrame]:
         """The seven tables under the analysed workload's names."""
         return {"txs_classes": self.tx_classes, "txs_edgelist": self.tx_edges,
                 "wallets_classes": self.wallet_classes, "addr_addr": self.addr_addr,
                 "addr_tx": self.addr_tx, "tx_addr": self.tx_addr,
-                "txs_features": self.doc_features}
+                "txs_features": self.txs_features}
 
     def persist_derived(self, names=("tx_classes", "tx_edges", "wallet_classes", "addr_addr")):
         """Persist the hot derived tables (for benchmarks / multi-query sessions)."""
