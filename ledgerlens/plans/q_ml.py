@@ -1 +1,103 @@
-"""Queries."""
+"""Queries: fraud models and wallet clustering (checked rows-only here; their
+metric and profile operators are SQL-checked on fixed scores/clusters in
+q_metrics / q_wallets, and the models are unit-tested for hold-out quality)."""
+
+from __future__ import annotations
+
+from ledgerlens.operators import clustering, dataset, metrics, models, wallets
+from ledgerlens.plans.queries import register
+from ledgerlens.sources.fixtures import DOC_FEATURE_COLS
+
+
+def _split(t):
+    ds = dataset.labelled_dataset(t.txs_features, t.doc_classes)
+    return dataset.temporal_split(ds)
+
+
+def _fitted(t, clf):
+    train, test = _split(t)
+    return models.fit(train, clf, DOC_FEATURE_COLS), test
+
+
+@register("rf_predictions", None)
+def rf_predictions(t):
+    model, test = _fitted(t, models.forest())
+    return models.predictions(model, test)
+
+
+@register("lr_predictions", None)
+def lr_predictions(t):
+    model, test = _fitted(t, models.logistic())
+    return models.predictions(model, test)
+
+
+@register("cv_scores", None)
+def cv_scores(t):
+    train, _ = _split(t)
+    rf = models.forest()
+    _, scores = models.cross_validate(train, models.fraud_pipeline(rf, DOC_FEATURE_COLS),
+                                      models.param_grid(rf))
+    return scores
+
+
+@register("rf_feature_importance", None)
+def rf_feature_importance(t):
+    model, _ = _fitted(t, models.forest())
+    return models.feature_importance(model, DOC_FEATURE_COLS)
+
+
+@register("importance_groups", None)
+def importance_groups(t):
+    model, _ = _fitted(t, models.forest())
+    return models.importance_groups(models.feature_importance(model, DOC_FEATURE_COLS), 20)
+
+
+def _held_out(t):
+    train, test = _split(t)
+    out = {}
+    for name, clf in (("Random Forest", models.forest()), ("Logistic Regression", models.logistic())):
+        out[name] = models.fit(train, clf, DOC_FEATURE_COLS).transform(test)
+    return out
+
+
+@register("model_comparison", None)
+def model_comparison(t):
+    preds = _held_out(t)
+    spark = t.spark
+    return models.model_comparison(spark, {k: models.evaluate(p) for k, p in preds.items()})
+
+
+@register("model_confusion_matrix", None)
+def model_confusion_matrix(t):
+    out = None
+    for name, p in _held_out(t).items():
+        m = metrics.confusion_matrix(metrics.confusion_counts(p), name)
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def _wallet_scaled(t):
+    wf = wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes)
+    return clustering.scaled(wf, wallets.WALLET_FEATURES)
+
+
+@register("kmeans_sweep", None)
+def kmeans_sweep(t):
+    scores, _ = clustering.kmeans_sweep(_wallet_scaled(t))
+    return scores
+
+
+@register("kmeans_profile", None)
+def kmeans_profile(t):
+    scaled = _wallet_scaled(t).persist()
+    scores, fitted = clustering.kmeans_sweep(scaled)
+    clustered = clustering.best_clustering(scaled, scores, fitted)
+    return wallets.cluster_types(wallets.cluster_profile(clustered))
+
+
+@register("wallet_pca", None)
+def wallet_pca(t):
+    scaled = _wallet_scaled(t)
+    scores, fitted = clustering.kmeans_sweep(scaled)
+    clustered = clustering.best_clustering(scaled, scores, fitted)
+    return clustering.pca_2d(clustered, keep=["address", "prediction"])
