@@ -19,8 +19,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """Read one table.
 
     ``fmt='csv'`` reads a header CSV with the given schema.  ``header_names``
-    maps a header that is not a valid identifier (e.g. ``"Time step"``) to the
-    schema's field name.  For Parquet, columns are cast to the schema and
+    maps a schema field name to a file header that differs from it (e.g.
+    ``{"time_step": "Time step"}``).  For Parquet, columns are cast to the schema and
     selected by name, so extra columns are pruned at the scan.
     """
     if fmt == "csv":
@@ -30,8 +30,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
             # read by header name as strings, then rename and cast
             raw = (spark.read.option("header", True).option("enforceSchema", False)
                    .csv(path))
-            rename = {v: k for k, v in header_names.items()}
-            return raw.select(*[F.col(f"`{rename.get(f.name, f.name)}`").try_cast(f.dataType)
+            return raw.select(*[F.col(f"`{header_names.get(f.name, f.name)}`").try_cast(f.dataType)
                                 .alias(f.name) for f in schema.fields])
         return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     df = spark.read.format(fmt).load(path)
