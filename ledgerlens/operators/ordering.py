@@ -2,11 +2,12 @@
 
 A window with ``orderBy`` but no ``partitionBy`` runs in a single task, and a
 window partitioned by a hot key runs that key in a single task.  The operators
-here instead range-partition the rows on a total order, do the per-partition
-part with a window partitioned by the range partition id (each one a bounded
-slice of the order), and add per-partition offsets computed from a table with
-one row per range partition (bounded by the partition count, so broadcasting it
-is safe).
+here instead range-partition the rows on a total order (Spark samples the
+bounds, so a hot key is split across slices) and add per-slice offsets
+computed from a table with one row per slice (bounded by the partition count,
+so broadcasting it is safe).  Row numbers need only the range shuffle (the
+position inside a sorted slice comes from ``monotonically_increasing_id``);
+running sums use a window partitioned by the slice id.
 
 The order columns must form a total order (add a unique tie-breaker) when the
 result depends on the position of tied rows.
@@ -50,16 +51,28 @@ def _slice_offsets(sliced: DataFrame, sums: dict[str, Column]) -> DataFrame:
         _PART, *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"_off_{k}") for k in sums])
 
 
+_POS_BITS = 33   # monotonically_increasing_id = (partition index << 33) + position
+
+
 def with_row_number(df: DataFrame, order: Sequence, name: str = "rn",
                     num_parts: int | None = None) -> DataFrame:
-    """Add a 1-based global row number over ``order``."""
+    """Add a 1-based global row number over ``order``.
+
+    One range shuffle: each slice is sorted in place and
+    ``monotonically_increasing_id`` then encodes (slice, position in slice);
+    the slice sizes (one row per slice) give the offsets.  The order must be
+    total for the numbering of tied rows to be reproducible.
+    """
     cols = _sort_cols(order)
-    sliced = range_slices(df, cols, num_parts)
+    ordered = (df.repartitionByRange(_num_parts(df, num_parts), *cols)
+                 .sortWithinPartitions(*cols)
+                 .withColumn("_lr_id", F.monotonically_increasing_id()))
+    sliced = ordered.withColumn(_PART, F.shiftright("_lr_id", _POS_BITS).cast("int"))
     offsets = _slice_offsets(sliced, {"n": F.count(F.lit(1))})
-    local = Window.partitionBy(_PART).orderBy(*cols)
+    pos = F.col("_lr_id") - F.shiftleft(F.col(_PART).cast("bigint"), _POS_BITS)
     return (sliced.join(F.broadcast(offsets), _PART)
-                  .withColumn(name, F.col("_off_n") + F.row_number().over(local))
-                  .drop(_PART, "_off_n"))
+                  .withColumn(name, F.col("_off_n") + pos + 1)
+                  .drop(_PART, "_off_n", "_lr_id"))
 
 
 def with_running_sums(df: DataFrame, order: Sequence, sum_cols: Sequence[str],

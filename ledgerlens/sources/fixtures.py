@@ -92,8 +92,9 @@ def doc_features(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """
     pieces = F.split(F.col("text"), " ")
     n_chars = F.col("n_chars")
-    digits = F.length(F.regexp_replace(F.col("text"), "[^0-9]", ""))
-    punct = F.length(F.regexp_replace(F.col("text"), f"[^{PUNCT_CLASS[1:-1]}]", ""))
+    # counting matches avoids building a filtered copy of every text
+    digits = F.regexp_count(F.col("text"), F.lit("[0-9]"))
+    punct = F.regexp_count(F.col("text"), F.lit(PUNCT_CLASS))
     digit_ratio = F.when(F.col("doc_id") % NULL_DIGIT_RATIO_MOD != NULL_DIGIT_RATIO_REM,
                          F.round(digits / n_chars, 6))
     cls = (F.when(F.col("quality") == 0, F.lit(ILLICIT))
