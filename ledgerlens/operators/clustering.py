@@ -8,6 +8,7 @@ each silhouette scans it several times) and released afterwards.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
@@ -27,18 +28,28 @@ def scaled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return Pipeline(stages=[assembler(cols), scaler()]).fit(df).transform(df)
 
 
-def kmeans_sweep(features: DataFrame, ks: Sequence[int] = K_VALUES, seed: int = SEED):
-    """Fit k-means for each k; returns (table of (k, silhouette), {k: model})."""
-    ev = ClusteringEvaluator(featuresCol="features")
-    features = features.persist()
+def kmeans_sweep(features: DataFrame, ks: Sequence[int] = K_VALUES, seed: int = SEED,
+                 parallelism: int | None = None):
+    """Fit k-means for each k; returns (table of (k, silhouette), {k: model}).
+
+    The fits are independent, so they are submitted as concurrent Spark jobs
+    (``parallelism`` threads, default one per k) over the persisted table."""
+    owned = not features.is_cached
+    if owned:
+        features = features.persist()
+
+    def one(k):
+        m = KMeans(featuresCol="features", k=k, seed=seed).fit(features)
+        return k, m, float(ClusteringEvaluator(featuresCol="features").evaluate(m.transform(features)))
+
     try:
-        models, rows = {}, []
-        for k in ks:
-            m = KMeans(featuresCol="features", k=k, seed=seed).fit(features)
-            models[k] = m
-            rows.append((k, float(ev.evaluate(m.transform(features)))))
+        with ThreadPoolExecutor(max_workers=parallelism or len(ks)) as pool:
+            done = list(pool.map(one, ks))
     finally:
-        features.unpersist()
+        if owned:
+            features.unpersist()
+    models = {k: m for k, m, _ in done}
+    rows = [(k, s) for k, _, s in done]
     spark = features.sparkSession
     return spark.createDataFrame(rows, "k int, silhouette double"), models
 

@@ -24,6 +24,14 @@ def labelled_dataset(features: DataFrame, classes: DataFrame) -> DataFrame:
                     .withColumn("label", (F.col("label_raw") == ILLICIT).cast("int")))
 
 
+def fill_numeric(df: DataFrame, value: float = 0) -> DataFrame:
+    """Replace nulls with ``value`` in numeric columns only (strings untouched)."""
+    numeric = [f.name for f in df.schema.fields
+               if f.dataType.typeName() in ("byte", "short", "integer", "long", "float",
+                                            "double", "decimal")]
+    return df.fillna(value, subset=numeric)
+
+
 def feature_columns(df: DataFrame, meta: frozenset[str] = META_COLUMNS) -> list[str]:
     """All columns except identifiers, time step and labels, in table order."""
     return [c for c in df.columns if c not in meta]

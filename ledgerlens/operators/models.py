@@ -69,6 +69,22 @@ def fit(train: DataFrame, clf, cols: Sequence[str]) -> PipelineModel:
     return fraud_pipeline(clf, cols).fit(train)
 
 
+def fit_many(train: DataFrame, classifiers: dict, cols: Sequence[str]) -> dict[str, PipelineModel]:
+    """Fit several pipelines on the same (persisted) training table as
+    concurrent Spark jobs; returns name -> fitted pipeline."""
+    from concurrent.futures import ThreadPoolExecutor
+    owned = not train.is_cached
+    if owned:
+        train = train.persist()
+    try:
+        with ThreadPoolExecutor(max_workers=len(classifiers)) as pool:
+            futures = {n: pool.submit(fit, train, clf, cols) for n, clf in classifiers.items()}
+            return {n: f.result() for n, f in futures.items()}
+    finally:
+        if owned:
+            train.unpersist()
+
+
 def score_column(pred: DataFrame) -> DataFrame:
     """Add ``score`` = probability of label 1 (a double, JVM-side)."""
     return pred.withColumn("score", vector_to_array(F.col("probability"))[1])

@@ -49,6 +49,23 @@ def rows_of(columns: list[str], rows, digits: int = 6) -> tuple[list[str], Count
     return cols, bag
 
 
+_SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT",
+                "tinyint": "TINYINT", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> dict:
+    """Columns whose Spark type and DuckDB result type differ."""
+    rel = con.sql(sql)
+    duck = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    out = {}
+    for f in spark_df.schema.fields:
+        s = _SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if f.name in duck and duck[f.name] != s:
+            out[f.name] = (s, duck[f.name])
+    return out
+
+
 def compare(spark_df, con, sql: str, digits: int = 6) -> dict:
     s_rows = [tuple(r) for r in spark_df.collect()]
     s_cols, s_bag = rows_of(spark_df.columns, s_rows, digits)
@@ -64,5 +81,8 @@ def compare(spark_df, con, sql: str, digits: int = 6) -> dict:
         only_s = list((s_bag - d_bag).elements())[:3]
         only_d = list((d_bag - s_bag).elements())[:3]
         out["only_spark"], out["only_oracle"] = only_s, only_d
+    types = type_mismatches(spark_df, con, sql)
+    if types:
+        out["type_mismatches"] = types
     out["ok"] = out["columns_match"] and out["values_match"] and len(s_rows) == len(d_rows)
     return out

@@ -114,7 +114,7 @@ def labelled_hubs(t):
 
 @register("hub_class_share", with_fixtures(f"""
 with {_HUBS_SQL}
-select label, count(*) as hubs, sum(count(*)) over () as total
+select label, count(*) as hubs, cast(sum(count(*)) over () as bigint) as total
 from labelled group by label""", "tx_edges", "tx_classes"))
 def hub_class_share(t):
     hubs = graph.top_hubs(graph.total_degree(t.tx_edges), 20)

@@ -54,10 +54,9 @@ def importance_groups(t):
 
 def _held_out(t):
     train, test = _split(t)
-    out = {}
-    for name, clf in (("Random Forest", models.forest()), ("Logistic Regression", models.logistic())):
-        out[name] = models.fit(train, clf, DOC_FEATURE_COLS).transform(test)
-    return out
+    fitted = models.fit_many(train, {"Random Forest": models.forest(),
+                                     "Logistic Regression": models.logistic()}, DOC_FEATURE_COLS)
+    return {name: m.transform(test) for name, m in fitted.items()}
 
 
 @register("model_comparison", None)
@@ -89,7 +88,7 @@ def kmeans_sweep(t):
 
 @register("kmeans_profile", None)
 def kmeans_profile(t):
-    scaled = _wallet_scaled(t).persist()
+    scaled = _wallet_scaled(t)
     scores, fitted = clustering.kmeans_sweep(scaled)
     clustered = clustering.best_clustering(scaled, scores, fitted)
     return wallets.cluster_types(wallets.cluster_profile(clustered))

@@ -116,3 +116,33 @@ def test_silhouette_equals_evaluator(spark):
     vec = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
     ref = ClusteringEvaluator(featuresCol="features").evaluate(vec)
     assert abs(ours - ref) < 1e-9
+
+
+def test_sql_views_give_the_same_flow(spark, tables):
+    from ledgerlens.sources.catalog import register_views
+    register_views({"wallets": tables.wallet_classes, "addr_edges": tables.addr_addr})
+    sql = spark.sql("""
+        SELECT CASE wi.class WHEN 1 THEN 'illicit' WHEN 2 THEN 'licit' ELSE 'unknown' END AS from_class,
+               CASE wo.class WHEN 1 THEN 'illicit' WHEN 2 THEN 'licit' ELSE 'unknown' END AS to_class,
+               COUNT(*) AS edge_count
+        FROM addr_edges e
+        LEFT JOIN wallets wi ON e.input_address = wi.address
+        LEFT JOIN wallets wo ON e.output_address = wo.address
+        GROUP BY 1, 2""")
+    ours = wallets.edge_flow(tables.addr_addr, tables.wallet_classes)
+    assert sorted(sql.collect()) == sorted(ours.collect())
+    assert sum(r.edge_count for r in ours.collect()) == tables.addr_addr.count()
+
+
+def test_fill_numeric_leaves_strings(spark):
+    df = spark.createDataFrame([(None, None, 1.0)], "a long, s string, d double")
+    r = dataset.fill_numeric(df).first()
+    assert r.a == 0 and r.s is None and r.d == 1.0
+
+
+def test_rule_cluster_sizes_sum_to_wallets(tables):
+    wf = wallets.wallet_features(tables.addr_addr, tables.addr_tx, tables.tx_addr,
+                                 tables.wallet_classes)
+    prof = wallets.cluster_profile(wallets.rule_clusters(wf)).collect()
+    assert [r.wallet_count for r in prof] == [330, 84, 1111]      # FIXTURES facts, sf0.01
+    assert sum(r.wallet_count for r in prof) == wf.count()
