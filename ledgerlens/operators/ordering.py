@@ -64,11 +64,12 @@ def with_row_number(df: DataFrame, order: Sequence, name: str = "rn",
     total for the numbering of tied rows to be reproducible.
     """
     cols = _sort_cols(order)
-    ordered = (df.repartitionByRange(_num_parts(df, num_parts), *cols)
-                 .sortWithinPartitions(*cols)
-                 .withColumn("_lr_id", F.monotonically_increasing_id()))
+    ranged = df.repartitionByRange(_num_parts(df, num_parts), *cols)
+    # slice sizes need no sort: count the (reused) range shuffle per partition
+    offsets = _slice_offsets(ranged.select(F.spark_partition_id().alias(_PART)),
+                             {"n": F.count(F.lit(1))})
+    ordered = ranged.sortWithinPartitions(*cols).withColumn("_lr_id", F.monotonically_increasing_id())
     sliced = ordered.withColumn(_PART, F.shiftright("_lr_id", _POS_BITS).cast("int"))
-    offsets = _slice_offsets(sliced, {"n": F.count(F.lit(1))})
     pos = F.col("_lr_id") - F.shiftleft(F.col(_PART).cast("bigint"), _POS_BITS)
     return (sliced.join(F.broadcast(offsets), _PART)
                   .withColumn(name, F.col("_off_n") + pos + 1)

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from ledgerlens.operators import clustering, dataset, metrics, models, wallets
 from ledgerlens.plans.queries import register
+from ledgerlens.session import materialize, persisted
 from ledgerlens.sources.fixtures import DOC_FEATURE_COLS
 
 
@@ -61,9 +62,11 @@ def _held_out(t):
 
 @register("model_comparison", None)
 def model_comparison(t):
-    preds = _held_out(t)
-    spark = t.spark
-    return models.model_comparison(spark, {k: models.evaluate(p) for k, p in preds.items()})
+    results = {}
+    for name, pred in _held_out(t).items():
+        with persisted(pred) as p:           # scanned by four evaluations
+            results[name] = models.evaluate(p)
+    return models.model_comparison(t.spark, results)
 
 
 @register("model_confusion_matrix", None)
@@ -75,28 +78,34 @@ def model_confusion_matrix(t):
     return out
 
 
-def _wallet_scaled(t):
-    wf = wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes)
-    return clustering.scaled(wf, wallets.WALLET_FEATURES)
+def _wallet_features(t):
+    return wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes)
+
+
+def _best_clusters(scaled):
+    scores, fitted = clustering.kmeans_sweep(scaled)
+    return scores, clustering.best_clustering(scaled, scores, fitted)
 
 
 @register("kmeans_sweep", None)
 def kmeans_sweep(t):
-    scores, _ = clustering.kmeans_sweep(_wallet_scaled(t))
-    return scores
+    with persisted(_wallet_features(t)) as wf, \
+            persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
+        scores, _ = clustering.kmeans_sweep(scaled)
+        return materialize(scores)
 
 
 @register("kmeans_profile", None)
 def kmeans_profile(t):
-    scaled = _wallet_scaled(t)
-    scores, fitted = clustering.kmeans_sweep(scaled)
-    clustered = clustering.best_clustering(scaled, scores, fitted)
-    return wallets.cluster_types(wallets.cluster_profile(clustered))
+    with persisted(_wallet_features(t)) as wf, \
+            persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
+        _, clustered = _best_clusters(scaled)
+        return materialize(wallets.cluster_types(wallets.cluster_profile(clustered)))
 
 
 @register("wallet_pca", None)
 def wallet_pca(t):
-    scaled = _wallet_scaled(t)
-    scores, fitted = clustering.kmeans_sweep(scaled)
-    clustered = clustering.best_clustering(scaled, scores, fitted)
-    return clustering.pca_2d(clustered, keep=["address", "prediction"])
+    with persisted(_wallet_features(t)) as wf, \
+            persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
+        _, clustered = _best_clusters(scaled)
+        return materialize(clustering.pca_2d(clustered, keep=["address", "prediction"]))

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, app: str = "ledgerlens",
@@ -55,3 +56,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/ledgerlens/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def persisted(df: DataFrame):
+    """Persist ``df`` for the block (memory, spilling to disk) and release it after."""
+    p = df.persist()
+    try:
+        yield p
+    finally:
+        p.unpersist()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Eagerly write ``df`` to the shared checkpoint folder and cut its lineage,
+    so caches it depends on can be released (survives executor loss, unlike
+    a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
