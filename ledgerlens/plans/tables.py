@@ -83,11 +83,18 @@ class Tables:
         and return a bundle that reads them back: later queries start from
         the reference-shaped tables instead of re-deriving them, and their
         lineage is cut at the written files."""
-        out = Tables(self.spark, self.sf_dir)
-        for n in names:
+        from concurrent.futures import ThreadPoolExecutor
+
+        def write(n):
             target = f"{path.rstrip('/')}/{n}"
             getattr(self, n).write.mode("overwrite").parquet(target)
-            out.__dict__[n] = self.spark.read.parquet(target)
+            return n, target
+
+        out = Tables(self.spark, self.sf_dir)
+        # independent tables: submitted as concurrent jobs
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            for n, target in pool.map(write, names):
+                out.__dict__[n] = self.spark.read.parquet(target)
         return out
 
     def persist_derived(self, names=("tx_classes", "tx_edges", "wallet_classes", "addr_addr")):
