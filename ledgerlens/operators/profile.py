@@ -2,9 +2,9 @@
 correlations and equal-width histograms - all over every row (no samples).
 
 Exact quantiles avoid the ``percentile`` aggregate, which keeps every distinct
-value of a group in one task: values are numbered in a range-sliced global
-order instead, and the two neighbours of each quantile position are fetched by
-an equi-join against a table of (#columns x #quantiles x 2) row numbers.
+value of a group in one task: distinct values are cumulated in a range-sliced
+global order instead, and the two values around each quantile position are
+fetched by an equi-join against a (#columns x #quantiles x 2)-row table.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import bin_index
-from ledgerlens.operators.ordering import with_row_number
+from ledgerlens.operators.ordering import with_running_sums
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
@@ -75,26 +75,39 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
     """column, p, value: linear-interpolation quantiles (as ``percentile`` /
     ``quantile_cont``) of each column's values, computed without collecting a
-    column into one task."""
-    ranked = with_row_number(long.select("column", "value"), ["column", "value"], "rn")
-    stats = ranked.groupBy("column").agg(F.min("rn").alias("start"), F.count(F.lit(1)).alias("n"))
-    targets = stats.select(
-        "column", "start",
-        F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
-        (F.col("n") - 1).alias("last"))
-    pos = F.col("p") * F.col("last")
-    targets = targets.select(
-        "column", "p",
-        (F.col("start") + F.floor(pos)).alias("rn_lo"),
-        (F.col("start") + F.ceil(pos)).alias("rn_hi"),
-        (pos - F.floor(pos)).alias("frac"))
+    column into one task.
+
+    Values are first counted per (column, value) - map-side partial
+    aggregation, so a value repeated in a third of the rows collapses to one
+    row - then cumulated over the distinct values in range-sliced order.  Each
+    distinct value covers positions [start, end) of its column; the two
+    positions around each quantile are looked up by an equi-join on the column
+    with the (#columns x #quantiles x 2)-row target table.
+    """
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    cum = with_running_sums(counts, ["column", "value"], ["cnt"])     # global cum_cnt
+    per_col = cum.groupBy("column").agg(F.min(F.col("cum_cnt") - F.col("cnt")).alias("base"),
+                                        F.sum("cnt").alias("n"))
+    # one row per column: safe to broadcast
+    spans = (cum.join(F.broadcast(per_col), "column")
+                .select("column", "value",
+                        (F.col("cum_cnt") - F.col("base") - F.col("cnt")).alias("pos_from"),
+                        (F.col("cum_cnt") - F.col("base")).alias("pos_to")))
+    pos = F.lit(0.0) + F.col("p") * (F.col("n") - 1)
+    targets = (per_col.select("column", "n",
+                              F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+                      .select("column", "p", F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"),
+                              (pos - F.floor(pos)).alias("frac")))
     needed = targets.select(
         "column", "p", "frac",
-        F.explode(F.array(F.struct(F.lit("lo").alias("side"), F.col("rn_lo").alias("rn")),
-                          F.struct(F.lit("hi").alias("side"), F.col("rn_hi").alias("rn"))))
-         .alias("t")).select("column", "p", "frac", "t.side", "t.rn")
+        F.explode(F.array(F.struct(F.lit("lo").alias("side"), F.col("lo").alias("at")),
+                          F.struct(F.lit("hi").alias("side"), F.col("hi").alias("at"))))
+         .alias("t")).select("column", "p", "frac", "t.side", "t.at")
     # needed has (#columns x #probs x 2) rows: safe to broadcast
-    picked = ranked.select("rn", "value").join(F.broadcast(needed), "rn")
+    picked = spans.join(F.broadcast(needed),
+                        (spans["column"] == needed["column"]) & (needed["at"] >= spans["pos_from"])
+                        & (needed["at"] < spans["pos_to"])).select(
+        spans["column"], "p", "frac", "side", "value")
     both = picked.groupBy("column", "p").agg(
         F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("v_lo"),
         F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("v_hi"),

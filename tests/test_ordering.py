@@ -50,3 +50,19 @@ def test_empty_input(spark):
     df = spark.range(0).select(F.col("id"))
     assert with_row_number(df, ["id"], "rn", 3).count() == 0
     assert isinstance(pd.DataFrame(), pd.DataFrame)
+
+
+def test_exact_quantiles_with_a_hot_value(spark):
+    import numpy as np
+    from ledgerlens.operators.profile import exact_quantiles, long_values
+    n = 3001
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise((F.col("id") * 37 % 101).cast("double"))
+        .alias("a"),
+        (F.col("id") % 17).cast("double").alias("b"))
+    got = {(r.column, r.p): r.value for r in
+           exact_quantiles(long_values(df, ["a", "b"]), [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]).collect()}
+    pdf = df.toPandas()
+    for c in ("a", "b"):
+        for p in (0.0, 0.1, 0.25, 0.5, 0.9, 1.0):
+            assert abs(got[(c, p)] - float(np.quantile(pdf[c], p))) < 1e-9, (c, p)
