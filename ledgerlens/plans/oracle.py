@@ -58,6 +58,9 @@ FIXTURE_CTES = {
         from documents d left join (select doc_id, quality from labels) l using (doc_id)""",
 }
 
+# DuckDB twin of functions.rules.class_label
+LABEL_SQL = "case {c} when 1 then 'illicit' when 2 then 'licit' else 'unknown' end"
+
 _DEPENDS = {"addr_addr": ["addr_tx", "tx_addr"]}
 
 

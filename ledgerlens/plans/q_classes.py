@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ledgerlens.operators import classes
-from ledgerlens.plans.oracle import with_fixtures
+from ledgerlens.plans.oracle import LABEL_SQL, with_fixtures
 from ledgerlens.plans.queries import register
 
-LABEL_SQL = "case {c} when 1 then 'illicit' when 2 then 'licit' else 'unknown' end"
-
 
 @register("labelled_transactions", with_fixtures(f"""
 select txId, class, {LABEL_SQL.format(c='class')} as label from tx_classes""", "tx_classes"))

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from ledgerlens.operators import graph
-from ledgerlens.plans.oracle import with_fixtures
+from ledgerlens.plans.oracle import LABEL_SQL, with_fixtures
 from ledgerlens.plans.queries import register
 
-LABEL_SQL = "case {c} when 1 then 'illicit' when 2 then 'licit' else 'unknown' end"
 
 TOTAL_DEGREE_SQL = """
 total_degree as (

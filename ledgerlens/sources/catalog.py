@@ -59,6 +59,17 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | None =
         raise
 
 
+def assert_unique(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """Opt-in check that ``key`` is unique (a duplicated class row would
+    multiply every edge joined to it).  Runs one aggregation; returns df."""
+    keys = [key] if isinstance(key, str) else list(key)
+    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(5)
+    rows = dup.collect()       # at most 5 rows reach the driver
+    if rows:
+        raise ValueError(f"duplicate keys {keys}: {[tuple(r) for r in rows]}")
+    return df
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     for name, df in tables.items():
         if df is not None:

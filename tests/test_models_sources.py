@@ -87,3 +87,10 @@ def test_driver_contract(spark):
     assert out.columns == ["case_type", "count", "avg_neighbours", "avg_illicit_ratio"]
     assert out.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_assert_unique(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "txId long, class int")
+    with pytest.raises(ValueError):
+        catalog.assert_unique(df, "txId")
+    assert catalog.assert_unique(df, ["txId", "class"]) is df
