@@ -62,7 +62,7 @@ def main() -> None:
     stages = {st: round(sum(per_query[n] for n in names), 3) for st, names in STAGES.items()}
     total = round(load + sum(per_query.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "pipeline_total_sec", "value": total, "unit": "sec",
+    print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec",
                       "queries": per_query, "stages": {"load": round(load, 3), **stages},
                       "sf": sf, "cpus": cpus, "repeat": repeat}))
     spark.stop()

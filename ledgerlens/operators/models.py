@@ -60,13 +60,13 @@ def logistic(max_iter: int = LR_MAX_ITER, reg: float = LR_REG):
                               maxIter=max_iter, regParam=reg)
 
 
-def fraud_pipeline(clf, cols: Sequence[str]) -> Pipeline:
+def fraud_estimator(clf, cols: Sequence[str]) -> Pipeline:
     """assemble -> scale -> classify; inside CV the scaler is refitted per fold."""
     return Pipeline(stages=[assembler(cols), scaler(), clf])
 
 
 def fit(train: DataFrame, clf, cols: Sequence[str]) -> PipelineModel:
-    return fraud_pipeline(clf, cols).fit(train)
+    return fraud_estimator(clf, cols).fit(train)
 
 
 def fit_many(train: DataFrame, classifiers: dict, cols: Sequence[str]) -> dict[str, PipelineModel]:
@@ -155,12 +155,10 @@ def model_comparison(spark, results: dict[str, dict]) -> DataFrame:
 
 def feature_importance(model: PipelineModel, cols: Sequence[str]) -> DataFrame:
     """feature, importance of the fitted forest (one row per feature), descending."""
-    imp = model.stages[-1].featureImportances.toArray()
-    spark = model.stages[-1].sparkSession if hasattr(model.stages[-1], "sparkSession") else None
     from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
-    df = spark.createDataFrame([(c, float(v)) for c, v in zip(cols, imp)],
-                               "feature string, importance double")
+    imp = model.stages[-1].featureImportances.toArray()
+    df = SparkSession.active().createDataFrame([(c, float(v)) for c, v in zip(cols, imp)],
+                                               "feature string, importance double")
     return df.orderBy(F.desc("importance"), "feature")
 
 

@@ -36,7 +36,7 @@ def lr_predictions(t):
 def cv_scores(t):
     train, _ = _split(t)
     rf = models.forest()
-    _, scores = models.cross_validate(train, models.fraud_pipeline(rf, DOC_FEATURE_COLS),
+    _, scores = models.cross_validate(train, models.fraud_estimator(rf, DOC_FEATURE_COLS),
                                       models.param_grid(rf))
     return scores
 

@@ -45,7 +45,7 @@ def test_cross_validate_reports_each_grid_point(split):
     train, _ = split
     rf = models.forest(num_trees=5, max_depth=3)
     grid = models.param_grid(rf, trees=(5,), depths=(2, 3))
-    _, scores = models.cross_validate(train, models.fraud_pipeline(rf, DOC_FEATURE_COLS), grid,
+    _, scores = models.cross_validate(train, models.fraud_estimator(rf, DOC_FEATURE_COLS), grid,
                                       folds=3)
     rows = scores.collect()
     assert len(rows) == 2 and all(0 <= r.avg_auc_pr <= 1 for r in rows)
