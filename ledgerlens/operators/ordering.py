@@ -94,14 +94,26 @@ def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
     """``lead(value) over (partition by group order by order)`` for every row,
     keeping only rows that have a successor in their group.
 
-    Rows are numbered once over (group, order) and each row is equi-joined to
-    the row numbered one higher; a hot group is spread over many range slices
-    instead of one window task.  (group, *order) must be unique.
+    A hot group is spread over many range slices instead of one window task:
+    the lead is taken inside each slice (one shuffle on the slice id), and the
+    last row of a slice takes the first row of the next non-empty slice from a
+    table with one row per slice.  (group, *order) must be unique.
     """
-    ranked = with_row_number(df.select(group, *order, value), [group, *order], "_lr_rn",
-                             num_parts)
-    succ = ranked.select((F.col("_lr_rn") - 1).alias("_lr_rn"),
-                         F.col(group).alias("_lr_g"), F.col(value).alias(name))
-    return (ranked.join(succ, "_lr_rn")
-                  .where(F.col(group) == F.col("_lr_g"))
-                  .drop("_lr_rn", "_lr_g"))
+    cols = _sort_cols([group, *order])
+    sliced = range_slices(df.select(group, *order, value), cols, num_parts)
+    w = Window.partitionBy(_PART).orderBy(*cols)
+    within = sliced.select("*", F.lead(group).over(w).alias("_lr_ng"),
+                           F.lead(value).over(w).alias("_lr_nv"),
+                           F.row_number().over(w).alias("_lr_k"))
+    # first row of every non-empty slice -> first row of the following one
+    firsts = within.where(F.col("_lr_k") == 1).select(_PART, F.col(group).alias("_lr_fg"),
+                                                     F.col(value).alias("_lr_fv"))
+    after = Window.orderBy(_PART)          # one row per slice
+    bridge = firsts.select(_PART, F.lead("_lr_fg").over(after).alias("_lr_bg"),
+                           F.lead("_lr_fv").over(after).alias("_lr_bv"))
+    last = F.col("_lr_ng").isNull()
+    out = within.join(F.broadcast(bridge), _PART, "left").select(
+        group, *order, value,
+        F.when(last, F.col("_lr_bg")).otherwise(F.col("_lr_ng")).alias("_lr_g"),
+        F.when(last, F.col("_lr_bv")).otherwise(F.col("_lr_nv")).alias(name))
+    return out.where(F.col("_lr_g") == F.col(group)).drop("_lr_g")

@@ -66,3 +66,12 @@ def test_exact_quantiles_with_a_hot_value(spark):
     for c in ("a", "b"):
         for p in (0.0, 0.1, 0.25, 0.5, 0.9, 1.0):
             assert abs(got[(c, p)] - float(np.quantile(pdf[c], p))) < 1e-9, (c, p)
+
+
+def test_next_in_group_with_empty_slices(spark):
+    # far more slices than rows: many range partitions stay empty
+    df = spark.createDataFrame([(g, t, g * 100 + t) for g in (1, 2) for t in range(5)],
+                               "g long, t long, v long")
+    got = sorted((r.v, r.nxt) for r in next_in_group(df, "g", ["t"], "v", "nxt", 40).collect())
+    assert got == [(100, 101), (101, 102), (102, 103), (103, 104),
+                   (200, 201), (201, 202), (202, 203), (203, 204)]
