@@ -47,7 +47,7 @@ def fraud_cases(edges: DataFrame, classes: DataFrame, direction: str = "out") ->
     neighbours rounds to 0.0 and grades HARD.
     """
     illicit = classes.where(F.col("class") == ILLICIT).select(F.col("txId").alias("txId1"))
-    ratio = F.round(F.col("illicit_nb") / F.col("total_nb"), 4)
+    ratio = F.round(F.try_divide(F.col("illicit_nb"), F.col("total_nb")), 4)
     return (neighbour_counts(edges, classes, direction)
             .join(illicit, "txId1", "left_semi")
             .withColumn("illicit_ratio", ratio)

@@ -104,7 +104,7 @@ def neighbour_profile(edges: DataFrame, classes: DataFrame, direction: str = "ou
     counts = neighbour_counts(edges, classes, direction)
     return (counts.join(c1, "txId1", "left")
                   .select("txId1", "c1", "total_nb", "illicit_nb",
-                          F.round(F.col("illicit_nb") / F.col("total_nb"), 4)
+                          F.round(F.try_divide(F.col("illicit_nb"), F.col("total_nb")), 4)
                            .alias("illicit_nb_ratio")))
 
 

@@ -83,11 +83,13 @@ def rolling_illicit_rate(counts: DataFrame, width: int = 3) -> DataFrame:
 
 def fraud_bursts(counts: DataFrame, factor: float = 1.5, lookback: int = 3) -> DataFrame:
     """Steps whose illicit count exceeds ``factor`` x the mean of the previous
-    ``lookback`` steps: time_step, illicit, prev_mean (2 d.p.), burst_ratio (3 d.p.).
-    The first step has no history and is never a burst."""
+    ``lookback`` steps: time_step, illicit, prev_mean (2 d.p.), burst_ratio (3 d.p.;
+    null after steps with no illicit transactions, where any illicit count is a
+    burst).  The first step has no history and is never a burst."""
     prev = F.avg("illicit").over(_steps(-lookback, -1))
     return (counts.select("time_step", "illicit", prev.alias("prev_mean"))
                   .where(F.col("illicit") > factor * F.col("prev_mean"))
                   .select("time_step", "illicit", F.round("prev_mean", 2).alias("prev_mean"),
-                          F.round(F.col("illicit") / F.col("prev_mean"), 3).alias("burst_ratio"))
+                          F.round(F.try_divide(F.col("illicit"), F.col("prev_mean")), 3)
+                           .alias("burst_ratio"))
                   .orderBy("time_step"))

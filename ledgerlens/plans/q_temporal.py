@@ -83,7 +83,8 @@ p as (
   select time_step, illicit,
          avg(illicit) over (order by time_step rows between 3 preceding and 1 preceding) as pm
   from counts)
-select time_step, illicit, round(pm, 2) as prev_mean, round(illicit / pm, 3) as burst_ratio
+select time_step, illicit, round(pm, 2) as prev_mean,
+       case when pm <> 0 then round(illicit / pm, 3) end as burst_ratio
 from p where illicit > 1.5 * pm order by time_step""", *_T))
 def fraud_bursts(t):
     return temporal.fraud_bursts(_counts(t))

@@ -18,14 +18,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
                fmt: str = "parquet", header_names: Mapping[str, str] | None = None) -> DataFrame:
     """Read one table.
 
-    ``fmt='csv'`` reads a header CSV with the given schema.  ``header_names``
+    ``fmt='csv'`` reads a header CSV with the given schema (without a schema:
+    header names, all columns strings, for the caller to cast).  ``header_names``
     maps a schema field name to a file header that differs from it (e.g.
     ``{"time_step": "Time step"}``).  For Parquet, columns are cast to the schema and
     selected by name, so extra columns are pruned at the scan.
     """
     if fmt == "csv":
         if schema is None:
-            raise ValueError("csv tables need an explicit schema")
+            # header names only, every column a string: no inference pass
+            return spark.read.option("header", True).csv(path)
         if header_names:
             # read by header name as strings, then rename and cast
             raw = (spark.read.option("header", True).option("enforceSchema", False)

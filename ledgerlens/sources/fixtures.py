@@ -96,7 +96,7 @@ def doc_features(documents: DataFrame, labels: DataFrame) -> DataFrame:
     digits = F.regexp_count(F.col("text"), F.lit("[0-9]"))
     punct = F.regexp_count(F.col("text"), F.lit(PUNCT_CLASS))
     digit_ratio = F.when(F.col("doc_id") % NULL_DIGIT_RATIO_MOD != NULL_DIGIT_RATIO_REM,
-                         F.round(digits / n_chars, 6))
+                         F.round(F.try_divide(digits, n_chars), 6))
     cls = (F.when(F.col("quality") == 0, F.lit(ILLICIT))
             .when(F.col("quality") == 1, F.lit(LICIT))
             .otherwise(F.lit(UNKNOWN)))
@@ -108,7 +108,7 @@ def doc_features(documents: DataFrame, labels: DataFrame) -> DataFrame:
                     n_chars.cast("double").alias("f_chars"),
                     F.size(pieces).cast("double").alias("f_words"),
                     digit_ratio.alias("f_digit_ratio"),
-                    F.round(punct / n_chars, 6).alias("f_punct_ratio"),
+                    F.round(F.try_divide(punct, n_chars), 6).alias("f_punct_ratio"),
                     F.round(F.size(F.array_distinct(pieces)) / F.size(pieces), 6)
                      .alias("f_distinct_ratio")))
 

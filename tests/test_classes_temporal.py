@@ -53,6 +53,9 @@ def test_bursts(spark):
                         (4, 16, 0, 0, 16), (5, 14, 0, 0, 14)])
     got = [(r.time_step, r.burst_ratio) for r in temporal.fraud_bursts(c).collect()]
     assert got == [(4, 1.6)]
+    quiet = _counts(spark, [(1, 0, 1, 0, 1), (2, 0, 1, 0, 1), (3, 2, 0, 0, 2)])
+    assert [(r.time_step, r.burst_ratio) for r in temporal.fraud_bursts(quiet).collect()] == \
+        [(3, None)]
 
 
 def test_step_counts_null_class_only_in_total(spark):

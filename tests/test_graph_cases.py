@@ -92,3 +92,11 @@ def test_degree_sample_is_bounded_and_reproducible(spark):
     a = [r.txId for r in graph.degree_sample(deg, 50).collect()]
     b = [r.txId for r in graph.degree_sample(deg.repartition(7), 50).collect()]
     assert len(a) == 50 and a == b
+
+
+def test_null_targets_do_not_divide_by_zero(spark):
+    e = spark.createDataFrame([(1, None), (1, None), (2, 1)], "txId1 long, txId2 long")
+    c = spark.createDataFrame([(1, 1), (2, 1)], "txId long, class int")
+    got = {r.txId1: (r.total_nb, r.illicit_ratio, r.case_type)
+           for r in cases.fraud_cases(e, c).collect()}
+    assert got == {1: (0, None, "AVERAGE"), 2: (1, 1.0, "EASY")}
