@@ -117,35 +117,47 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
                        .alias("value"))
 
 
-def _quantile_wide(long: DataFrame, probs: dict[str, float]) -> DataFrame:
+def _quantile_wide(long: DataFrame, probs: dict[str, float],
+                   accuracy: int | None = None) -> DataFrame:
+    """One row per column with one quantile column per name.
+
+    ``accuracy`` switches to ``percentile_approx`` (one pass, a bounded
+    sketch per column; relative rank error about 1/accuracy)."""
+    if accuracy:
+        ps = list(probs.values())
+        q = long.groupBy("column").agg(
+            F.percentile_approx("value", ps, accuracy).alias("_q"))
+        return q.select("column", *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
     q = exact_quantiles(long, list(probs.values()))
     return q.groupBy("column").agg(*[
         F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for name, p in probs.items()])
 
 
-def feature_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def feature_summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """column, count, min, p25, p50, p75, max, mean, stddev (sample); 6 d.p.
 
-    Exact quartiles (``df.summary`` would give approximate ones)."""
+    Exact quartiles by default (``df.summary`` would give approximate ones);
+    ``accuracy`` opts into ``percentile_approx``."""
     long = long_values(df, cols)
     moments = long.groupBy("column").agg(
         F.count(F.lit(1)).alias("count"), F.min("value").alias("min"),
         F.max("value").alias("max"), F.round(F.avg("value"), 6).alias("mean"),
         F.round(F.stddev_samp("value"), 6).alias("stddev"))
-    q = _quantile_wide(long, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    q = _quantile_wide(long, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, accuracy)
     out = moments.join(q, "column")   # both have one row per column
     return out.select("column", "count", "min",
                       *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")],
                       "max", "mean", "stddev")
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5,
+              accuracy: int | None = None) -> DataFrame:
     """column, q1, median, q3, iqr, whisker_low, whisker_high, outliers.
 
     Whiskers are the most extreme values inside [q1 - 1.5 iqr, q3 + 1.5 iqr];
     outliers are the values outside it (box-plot convention)."""
     long = long_values(df, cols)
-    q = _quantile_wide(long, {"q1": 0.25, "median": 0.5, "q3": 0.75}).select(
+    q = _quantile_wide(long, {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy).select(
         "column", "q1", "median", "q3",
         (F.col("q3") - F.col("q1")).alias("iqr"))
     q = q.withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr")) \

@@ -52,3 +52,18 @@ def test_report_runs_on_the_csv_layout(spark, csv_dir):
         sorted((r.case_type, r["count"]) for r in direct.collect())
     mc = spark.read.option("header", True).csv(os.path.join(out, "model_comparison"))
     assert mc.count() == 2 and mc.where(F.col("model") == "Random Forest").count() == 1
+
+
+def test_report_without_feature_file_uses_synthetic_steps(spark, csv_dir):
+    import shutil
+    d = tempfile.mkdtemp(prefix="ll-ref-nofeat-")
+    for key, fname in FILES.items():
+        if key != "txs_features":
+            shutil.copytree(os.path.join(csv_dir, fname), os.path.join(d, fname))
+    ct = CsvTables(spark, d)
+    assert ct.txs_features is None and ct.tx_steps is None
+    from ledgerlens.plans.report import report_tables
+    out = report_tables(ct, models_too=False)
+    assert "feature_summary" not in out and "model_comparison" not in out
+    steps = out["temporal_distribution"].collect()
+    assert len(steps) == 49 and steps[-1].cum_total == ct.tx_classes.count()

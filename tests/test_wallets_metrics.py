@@ -146,3 +146,16 @@ def test_rule_cluster_sizes_sum_to_wallets(tables):
     prof = wallets.cluster_profile(wallets.rule_clusters(wf)).collect()
     assert [r.wallet_count for r in prof] == [330, 84, 1111]      # FIXTURES facts, sf0.01
     assert sum(r.wallet_count for r in prof) == wf.count()
+
+
+def test_approximate_modes_stay_close(tables):
+    from ledgerlens.operators import profile
+    exact = {r.address: r for r in wallets.wallet_out(tables.addr_addr).collect()}
+    approx = {r.address: r for r in wallets.wallet_out(tables.addr_addr, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[a].unique_out - e.unique_out) <= max(2, 0.05 * e.unique_out)
+               for a, e in exact.items())
+    ex = {r.column: r for r in profile.feature_summary(tables.txs_features, DOC_FEATURE_COLS).collect()}
+    ap = {r.column: r for r in profile.feature_summary(tables.txs_features, DOC_FEATURE_COLS,
+                                                       accuracy=10000).collect()}
+    assert all(abs(ap[c].p50 - ex[c].p50) <= 0.05 * (ex[c].max - ex[c]["min"] + 1e-9) for c in ex)
