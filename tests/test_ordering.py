@@ -75,3 +75,15 @@ def test_next_in_group_with_empty_slices(spark):
     got = sorted((r.v, r.nxt) for r in next_in_group(df, "g", ["t"], "v", "nxt", 40).collect())
     assert got == [(100, 101), (101, 102), (102, 103), (103, 104),
                    (200, 201), (201, 202), (202, 203), (203, 204)]
+
+
+def test_row_numbers_and_running_sums_with_empty_slices(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(20)], "id long, v long")
+    rn = sorted((r.id, r.rn) for r in with_row_number(df, ["id"], "rn", 64).collect())
+    assert rn == [(i, i + 1) for i in range(20)]
+    cs = sorted((r.id, r.cum_v) for r in with_running_sums(df, ["id"], ["v"], num_parts=64).collect())
+    running, expect = 0, []
+    for i in range(20):
+        running += i % 3
+        expect.append((i, running))
+    assert cs == expect
