@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.models import SEED, assembler, scaler
+from ledgerlens.session import rightsized
 
 K_VALUES = (2, 3, 4, 5, 6)
 
@@ -36,7 +37,7 @@ def kmeans_sweep(features: DataFrame, ks: Sequence[int] = K_VALUES, seed: int =
     (``parallelism`` threads, default one per k) over the persisted table."""
     owned = not features.is_cached
     if owned:
-        features = features.persist()
+        features = rightsized(features).persist()
 
     def one(k):
         m = KMeans(featuresCol="features", k=k, seed=seed).fit(features)

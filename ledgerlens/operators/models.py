@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.rules import feature_group
 from ledgerlens.operators import metrics
 from ledgerlens.operators.dataset import fold_column
+from ledgerlens.session import rightsized
 
 # Fixed values of the analysed model set-up.
 RF_TREES, RF_DEPTH, SEED = 100, 10, 42
@@ -75,7 +76,7 @@ def fit_many(train: DataFrame, classifiers: dict, cols: Sequence[str]) -> dict[s
     from concurrent.futures import ThreadPoolExecutor
     owned = not train.is_cached
     if owned:
-        train = train.persist()
+        train = rightsized(train).persist()
     try:
         with ThreadPoolExecutor(max_workers=len(classifiers)) as pool:
             futures = {n: pool.submit(fit, train, clf, cols) for n, clf in classifiers.items()}
@@ -114,7 +115,7 @@ def cross_validate(train: DataFrame, estimator: Pipeline, grid, folds: int = N_F
     """k-fold CV on AUC-PR with folds from the id (reproducible), the training
     table persisted for the folds' repeated scans.  Returns (cv_model, scores)
     where scores is (params, avg_auc_pr) per grid point."""
-    data = train.withColumn("_fold", fold_column(id_col, folds)).persist()
+    data = rightsized(train.withColumn("_fold", fold_column(id_col, folds))).persist()
     try:
         ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
         cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev,

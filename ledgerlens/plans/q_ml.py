@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from ledgerlens.operators import clustering, dataset, metrics, models, wallets
 from ledgerlens.plans.queries import register
-from ledgerlens.session import materialize, persisted
+from ledgerlens.session import materialize, persisted, rightsized
 from ledgerlens.sources.fixtures import DOC_FEATURE_COLS
 
 
@@ -89,7 +89,7 @@ def _best_clusters(scaled):
 
 @register("kmeans_sweep", None)
 def kmeans_sweep(t):
-    with persisted(_wallet_features(t)) as wf, \
+    with persisted(rightsized(_wallet_features(t))) as wf, \
             persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
         scores, _ = clustering.kmeans_sweep(scaled)
         return materialize(scores)
@@ -97,7 +97,7 @@ def kmeans_sweep(t):
 
 @register("kmeans_profile", None)
 def kmeans_profile(t):
-    with persisted(_wallet_features(t)) as wf, \
+    with persisted(rightsized(_wallet_features(t))) as wf, \
             persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
         _, clustered = _best_clusters(scaled)
         return materialize(wallets.cluster_types(wallets.cluster_profile(clustered)))
@@ -105,7 +105,7 @@ def kmeans_profile(t):
 
 @register("wallet_pca", None)
 def wallet_pca(t):
-    with persisted(_wallet_features(t)) as wf, \
+    with persisted(rightsized(_wallet_features(t))) as wf, \
             persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
         _, clustered = _best_clusters(scaled)
         return materialize(clustering.pca_2d(clustered, keep=["address", "prediction"]))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from ledgerlens.operators import (cases, classes, clustering, dataset, graph, metrics, models,
                                   profile, temporal, wallets)
-from ledgerlens.session import materialize, persisted
+from ledgerlens.session import materialize, persisted, rightsized
 from ledgerlens.sources.sinks import write_result
 
 # Fixed values of the analysed script's report (sizes of its top lists, bins,
@@ -103,7 +103,7 @@ def _models(t, cross_validation: bool) -> dict[str, DataFrame]:
 
 def _clusters(t) -> dict[str, DataFrame]:
     wf = wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes)
-    with persisted(wf) as wf, \
+    with persisted(rightsized(wf)) as wf, \
             persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
         scores, fitted = clustering.kmeans_sweep(scaled)
         clustered = clustering.best_clustering(scaled, scores, fitted)

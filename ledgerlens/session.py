@@ -58,6 +58,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/ledgerlens/{name}-{uuid.uuid4().hex}"
 
 
+def rightsized(df: DataFrame) -> DataFrame:
+    """``df`` with partitions sized by data volume (AQE rebalance to the
+    advisory partition size): a small table becomes one partition instead of
+    ``spark.sql.shuffle.partitions`` tiny ones, a large one many ~64 MB ones.
+    Used before caching tables that iterative estimators scan many times."""
+    return df.hint("rebalance")
+
+
 @contextmanager
 def persisted(df: DataFrame):
     """Persist ``df`` for the block (memory, spilling to disk) and release it after."""
