@@ -37,6 +37,22 @@ def confusion_matrix(conf: DataFrame, model: str | None = None) -> DataFrame:
     return conf.select(*cols)
 
 
+def scores_from_counts(tp: int, fp: int, fn: int, tn: int) -> dict[str, float]:
+    """accuracy, f1 (support-weighted), precision, recall from the four counts
+    (the same formulas as ``classification_metrics``, on four numbers)."""
+    def d(a, b):
+        return a / b if b > 0 else 0.0
+
+    def f1(t, f_p, f_n):
+        p, r = d(t, t + f_p), d(t, t + f_n)
+        return 2 * p * r / (p + r) if p + r > 0 else 0.0
+
+    n = tp + fp + fn + tn
+    return {"accuracy": d(tp + tn, n),
+            "f1": d(f1(tp, fp, fn) * (tp + fn) + f1(tn, fn, fp) * (tn + fp), n),
+            "precision": d(tp, tp + fp), "recall": d(tp, tp + fn)}
+
+
 def _div(a, b):
     return F.when(b > 0, a.cast("double") / b).otherwise(F.lit(0.0))
 

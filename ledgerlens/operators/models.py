@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -131,18 +131,16 @@ def cross_validate(train: DataFrame, estimator: Pipeline, grid, folds: int = N_F
 
 
 def evaluate(pred: DataFrame) -> dict:
-    """accuracy, f1, auc_pr, precision, recall of a scored table (evaluators +
-    DataFrame confusion counts, one pass each)."""
-    acc = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    f1 = MulticlassClassificationEvaluator(labelCol="label", metricName="f1")
+    """accuracy, f1, auc_pr, precision, recall of a scored table: one
+    aggregation for the confusion counts (accuracy, weighted F1, precision and
+    recall follow from them, equal to the multiclass evaluator) plus the
+    AUC-PR evaluator."""
     pr = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR",
                                        rawPredictionCol="rawPrediction")
-    p = pred.withColumn("prediction", F.col("prediction").cast("double"))
-    conf = metrics.confusion_counts(p).first()
-    prec = conf.tp / (conf.tp + conf.fp) if conf.tp + conf.fp else 0.0
-    rec = conf.tp / (conf.tp + conf.fn) if conf.tp + conf.fn else 0.0
-    return dict(accuracy=acc.evaluate(p), f1=f1.evaluate(p), auc_pr=pr.evaluate(p),
-                precision=prec, recall=rec, tp=conf.tp, fp=conf.fp, fn=conf.fn, tn=conf.tn)
+    conf = metrics.confusion_counts(pred).first()
+    out = metrics.scores_from_counts(conf.tp, conf.fp, conf.fn, conf.tn)
+    out.update(auc_pr=pr.evaluate(pred), tp=conf.tp, fp=conf.fp, fn=conf.fn, tn=conf.tn)
+    return out
 
 
 def model_comparison(spark, results: dict[str, dict]) -> DataFrame:

@@ -159,3 +159,13 @@ def test_approximate_modes_stay_close(tables):
     ap = {r.column: r for r in profile.feature_summary(tables.txs_features, DOC_FEATURE_COLS,
                                                        accuracy=10000).collect()}
     assert all(abs(ap[c].p50 - ex[c].p50) <= 0.05 * (ex[c].max - ex[c]["min"] + 1e-9) for c in ex)
+
+
+def test_scores_from_counts_equal_evaluators(scored):
+    c = metrics.confusion_counts(scored).first()
+    got = metrics.scores_from_counts(c.tp, c.fp, c.fn, c.tn)
+    ev = MulticlassClassificationEvaluator(labelCol="label")
+    assert abs(got["accuracy"] - ev.setMetricName("accuracy").evaluate(scored)) < 1e-12
+    assert abs(got["f1"] - ev.setMetricName("f1").evaluate(scored)) < 1e-12
+    row = metrics.classification_metrics(scored, digits=12).first()
+    assert abs(got["precision"] - row.precision) < 1e-9 and abs(got["recall"] - row.recall) < 1e-9
