@@ -175,9 +175,20 @@ def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5,
                      F.round("whisker_high", 6).alias("whisker_high"), "outliers"))
 
 
+WIDE_CORRELATION = 32   # from this many columns on, one matrix pass replaces pairwise aggregates
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """a, b, r: Pearson correlation of every ordered pair (pairwise non-null
-    rows), one aggregation pass over all rows."""
+    """a, b, r: Pearson correlation of every ordered pair of columns.
+
+    Up to ``WIDE_CORRELATION`` columns: pairwise ``corr`` aggregates in one pass
+    (each pair over its own non-null rows).  Wider inputs (e.g. 184 features)
+    use ``pyspark.ml.stat.Correlation`` - one distributed pass over the
+    assembled vectors, complete-case rows only - and return the d x d matrix,
+    whose size is bounded by the column count, not the data.
+    """
+    if len(cols) >= WIDE_CORRELATION:
+        return _correlation_wide(df, cols, digits)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
                    for i, (a, b) in enumerate(pairs)])
@@ -190,6 +201,17 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> D
     return row.select(F.inline(F.array(*cells)))
 
 
+def _correlation_wide(df: DataFrame, cols: Sequence[str], digits: int) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "_v").head()[0].toArray()      # d x d, bounded by the columns
+    rows = [(a, b, None if m[i][j] != m[i][j] else round(float(m[i][j]), digits))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

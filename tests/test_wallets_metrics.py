@@ -169,3 +169,14 @@ def test_scores_from_counts_equal_evaluators(scored):
     assert abs(got["f1"] - ev.setMetricName("f1").evaluate(scored)) < 1e-12
     row = metrics.classification_metrics(scored, digits=12).first()
     assert abs(got["precision"] - row.precision) < 1e-9 and abs(got["recall"] - row.recall) < 1e-9
+
+
+def test_wide_correlation_equals_pairwise(spark):
+    from ledgerlens.operators import profile
+    cols = [f"c{i}" for i in range(profile.WIDE_CORRELATION)]
+    df = spark.range(300).select(*[((F.col("id") * (i + 3)) % (17 + i)).cast("double").alias(c)
+                                   for i, c in enumerate(cols)])
+    wide = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, cols).collect()}
+    narrow = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, cols[:5]).collect()}
+    assert len(wide) == len(cols) ** 2
+    assert all(abs(wide[k] - v) < 1e-6 for k, v in narrow.items())
