@@ -100,17 +100,20 @@ def doc_features(documents: DataFrame, labels: DataFrame) -> DataFrame:
     cls = (F.when(F.col("quality") == 0, F.lit(ILLICIT))
             .when(F.col("quality") == 1, F.lit(LICIT))
             .otherwise(F.lit(UNKNOWN)))
+    # text -> a few numbers inside the scan tasks; only those meet the labels,
+    # so no document text is ever shuffled for the join
+    feats = documents.select(
+        "doc_id",
+        n_chars.cast("double").alias("f_chars"),
+        F.size(pieces).cast("double").alias("f_words"),
+        digit_ratio.alias("f_digit_ratio"),
+        F.round(F.try_divide(punct, n_chars), 6).alias("f_punct_ratio"),
+        F.round(F.size(F.array_distinct(pieces)) / F.size(pieces), 6).alias("f_distinct_ratio"))
     lab = labels.select("doc_id", "quality")
-    return (documents.join(lab, "doc_id", "left")
+    return (feats.join(lab, "doc_id", "left")
             .select(F.col("doc_id").alias("txId"),
                     (F.lit(1) + F.col("doc_id") % N_TIME_STEPS).cast("int").alias("time_step"),
-                    cls.cast("int").alias("class"),
-                    n_chars.cast("double").alias("f_chars"),
-                    F.size(pieces).cast("double").alias("f_words"),
-                    digit_ratio.alias("f_digit_ratio"),
-                    F.round(F.try_divide(punct, n_chars), 6).alias("f_punct_ratio"),
-                    F.round(F.size(F.array_distinct(pieces)) / F.size(pieces), 6)
-                     .alias("f_distinct_ratio")))
+                    cls.cast("int").alias("class"), *DOC_FEATURE_COLS))
 
 
 DOC_FEATURE_COLS = ["f_chars", "f_words", "f_digit_ratio", "f_punct_ratio", "f_distinct_ratio"]
