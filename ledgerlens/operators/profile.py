@@ -21,17 +21,20 @@ from ledgerlens.operators.ordering import with_running_sums
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """bin, bin_lo, bin_hi, count over equal-width bins of [min, max].
 
-    min/max come from one scalar subquery (no join); the maximum lands in the
+    Values are first counted per distinct value (one shuffle; repeated values
+    collapse map-side).  Both the min/max scalar subquery and the bin counts
+    read that table, so the input is computed once; the maximum lands in the
     last bin; empty bins are kept with count 0.
     """
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    stats = x.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("s")).scalar()
+    per_value = x.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    stats = per_value.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("s")).scalar()
     lo, hi = stats.getField("lo"), stats.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
-    counts = (x.select(bin_index("x", lo, width, bins).alias("bin"))
-                .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
+    counts = (per_value.select(bin_index("x", lo, width, bins).alias("bin"), "n")
+                       .groupBy("bin").agg(F.sum("n").alias("count")))
     frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (frame.join(F.broadcast(counts), "bin", "left")
+    return (frame.join(F.broadcast(counts), "bin", "left")      # <= bins rows
                  .select("bin",
                          F.round(lo + F.col("bin") * width, 6).alias("bin_lo"),
                          F.round(lo + (F.col("bin") + 1) * width, 6).alias("bin_hi"),
