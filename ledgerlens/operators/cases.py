@@ -46,12 +46,17 @@ def fraud_cases(edges: DataFrame, classes: DataFrame, direction: str = "out") ->
     The grade is taken on the *rounded* ratio, so 1 illicit of 25,000
     neighbours rounds to 0.0 and grades HARD.
     """
+    return grade_cases(neighbour_counts(edges, classes, direction), classes)
+
+
+def grade_cases(counts: DataFrame, classes: DataFrame) -> DataFrame:
+    """``fraud_cases`` from precomputed ``neighbour_counts`` (lets the case
+    grading and the neighbour profile share one edge/class lookup)."""
     illicit = classes.where(F.col("class") == ILLICIT).select(F.col("txId").alias("txId1"))
     ratio = F.round(F.try_divide(F.col("illicit_nb"), F.col("total_nb")), 4)
-    return (neighbour_counts(edges, classes, direction)
-            .join(illicit, "txId1", "left_semi")
-            .withColumn("illicit_ratio", ratio)
-            .withColumn("case_type", case_type("illicit_ratio")))
+    return (counts.join(illicit, "txId1", "left_semi")
+                  .withColumn("illicit_ratio", ratio)
+                  .withColumn("case_type", case_type("illicit_ratio")))
 
 
 def case_summary(cases: DataFrame) -> DataFrame:

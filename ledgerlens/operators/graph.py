@@ -100,8 +100,12 @@ def edges_with_classes(edges: DataFrame, classes: DataFrame) -> DataFrame:
 def neighbour_profile(edges: DataFrame, classes: DataFrame, direction: str = "out") -> DataFrame:
     """txId1, c1, total_nb, illicit_nb, illicit_nb_ratio (4 d.p.) for every node
     with a neighbour.  Aggregated per node before the source class is attached."""
+    return profile_from_counts(neighbour_counts(edges, classes, direction), classes)
+
+
+def profile_from_counts(counts: DataFrame, classes: DataFrame) -> DataFrame:
+    """``neighbour_profile`` from precomputed ``cases.neighbour_counts``."""
     c1 = classes.select(F.col("txId").alias("txId1"), F.col("class").alias("c1"))
-    counts = neighbour_counts(edges, classes, direction)
     return (counts.join(c1, "txId1", "left")
                   .select("txId1", "c1", "total_nb", "illicit_nb",
                           F.round(F.try_divide(F.col("illicit_nb"), F.col("total_nb")), 4)

@@ -34,11 +34,14 @@ SUMMARY_FEATURES, CORRELATION_FEATURES = 10, 15
 LARGE = {"roc_curve", "pr_curve", "wallet_pca", "predictions"}
 
 
-def _relational(t) -> dict[str, DataFrame]:
+def _relational(t, shared: list) -> dict[str, DataFrame]:
     edges, tx_cls, w_cls = t.tx_edges, t.tx_classes, t.wallet_classes
     deg = graph.total_degree(edges)
     hubs = graph.label_hubs(graph.top_hubs(deg, TOP_HUBS), tx_cls)
-    nb = graph.neighbour_profile(edges, tx_cls)
+    # one edge/class lookup for both the neighbour profile and the case grading
+    nb_counts = cases.neighbour_counts(edges, tx_cls).persist()
+    shared.append(nb_counts)
+    nb = graph.profile_from_counts(nb_counts, tx_cls)
     steps = t.tx_steps if t.tx_steps is not None else temporal.synthetic_steps(tx_cls)
     counts = temporal.step_class_counts(temporal.tx_time(steps, tx_cls))
     flow = wallets.edge_flow(t.addr_addr, w_cls)
@@ -60,7 +63,7 @@ def _relational(t) -> dict[str, DataFrame]:
         "fraud_bursts": temporal.fraud_bursts(counts),
         "top_neighbour_ratio": graph.top_neighbour_ratio(nb, TOP_RATIO),
         "neighbour_ratio_histogram": graph.neighbour_ratio_histogram(nb, RATIO_BINS),
-        "case_summary": cases.case_summary(cases.fraud_cases(edges, tx_cls)),
+        "case_summary": cases.case_summary(cases.grade_cases(nb_counts, tx_cls)),
     }
 
 
@@ -113,8 +116,12 @@ def _clusters(t) -> dict[str, DataFrame]:
                 "wallet_pca": materialize(clustering.pca_2d(clustered, ["address", "prediction"]))}
 
 
-def report_tables(t, models_too: bool = True, cross_validation: bool = True) -> dict[str, DataFrame]:
-    out = _relational(t)
+def report_tables(t, models_too: bool = True, cross_validation: bool = True,
+                  shared: list | None = None) -> dict[str, DataFrame]:
+    """Named result tables.  Intermediates persisted for sharing between
+    tables are appended to ``shared``; the caller unpersists them when done."""
+    shared = [] if shared is None else shared
+    out = _relational(t, shared)
     if t.txs_features is not None:
         out.update(_feature_profile(t))
         if models_too:
@@ -127,9 +134,15 @@ def report_tables(t, models_too: bool = True, cross_validation: bool = True) ->
 def write_report(t, out_dir: str, fmt: str = "csv", models_too: bool = True,
                  cross_validation: bool = True) -> list[str]:
     """Write every report table under ``out_dir/<name>``; returns the names."""
-    tables = report_tables(t, models_too, cross_validation)
-    for name, df in tables.items():
-        write_result(df, f"{out_dir.rstrip('/')}/{name}", fmt=fmt, single_file=name not in LARGE)
+    shared: list = []
+    try:
+        tables = report_tables(t, models_too, cross_validation, shared)
+        for name, df in tables.items():
+            write_result(df, f"{out_dir.rstrip('/')}/{name}", fmt=fmt,
+                         single_file=name not in LARGE)
+    finally:
+        for df in shared:
+            df.unpersist()
     return list(tables)
 
 
