@@ -87,9 +87,9 @@ def standardise_columns(df: DataFrame, cols: Sequence[str], fit: DataFrame | Non
     stats = fit.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
                              *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)])
                     .alias("s")).scalar()
-    out = df
+    out = df.withColumn("_std_st", stats)       # the subquery once, fields by reference
     for i, c in enumerate(cols):
-        m, s = stats.getField(f"m{i}"), stats.getField(f"s{i}")
+        m, s = F.col(f"_std_st.m{i}"), F.col(f"_std_st.s{i}")
         z = F.when(s > 0, (F.col(c) - m) / s).otherwise(F.lit(0.0))
         out = out.withColumn(f"{prefix}{c}", z)
-    return out
+    return out.drop("_std_st")

@@ -85,18 +85,19 @@ def _curve_base(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
     return with_running_sums(by_score, [F.col("score").desc()], ["pos", "neg"])
 
 
-def _totals(scored: DataFrame, label_col: str):
+def _with_totals(base: DataFrame, scored: DataFrame, label_col: str):
+    """base + a ``_tot`` struct column (P, N) from one scalar subquery; returns
+    (df, P, N) with P and N as column references."""
     s = scored.agg(F.struct(F.count_if(F.col(label_col) == 1).alias("P"),
                             F.count_if(F.col(label_col) != 1).alias("N")).alias("s")).scalar()
-    return s.getField("P"), s.getField("N")
+    return base.withColumn("_tot", s), F.col("_tot.P"), F.col("_tot.N")
 
 
 def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "label",
               digits: int = 6) -> DataFrame:
     """threshold, tp, fp, tpr, fpr: one point per distinct score (predict
     positive when score >= threshold)."""
-    P, N = _totals(scored, label_col)
-    base = _curve_base(scored, score_col, label_col)
+    base, P, N = _with_totals(_curve_base(scored, score_col, label_col), scored, label_col)
     return base.select(F.col("score").alias("threshold"),
                        F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                        F.round(_div(F.col("cum_pos"), P), digits).alias("tpr"),
@@ -106,8 +107,7 @@ def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "lab
 def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "label",
              digits: int = 6) -> DataFrame:
     """threshold, precision, recall: one point per distinct score."""
-    P, _ = _totals(scored, label_col)
-    base = _curve_base(scored, score_col, label_col)
+    base, P, _ = _with_totals(_curve_base(scored, score_col, label_col), scored, label_col)
     return base.select(F.col("score").alias("threshold"),
                        F.round(_div(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")), digits)
                         .alias("precision"),
@@ -122,8 +122,7 @@ def curve_areas(scored: DataFrame, score_col: str = "score", label_col: str = "l
     so no lag (and no ordering) is needed in the final sum.  PR starts at
     (recall 0, precision of the first point), as Spark's binary metrics do.
     """
-    P, N = _totals(scored, label_col)
-    base = _curve_base(scored, score_col, label_col)
+    base, P, N = _with_totals(_curve_base(scored, score_col, label_col), scored, label_col)
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     tpr, fpr, tpr0, fpr0 = _div(tp, P), _div(fp, N), _div(tp0, P), _div(fp0, N)
@@ -136,43 +135,53 @@ def curve_areas(scored: DataFrame, score_col: str = "score", label_col: str = "l
 
 
 def silhouette(df: DataFrame, feature_cols: Sequence[str], cluster_col: str = "prediction",
-               digits: int = 6) -> DataFrame:
+               digits: int = 6, cluster_ids: Sequence[int] | None = None) -> DataFrame:
     """Mean silhouette with squared Euclidean distance (as ClusteringEvaluator).
 
     Per-cluster sums (count, feature sums, sum of squared norms: k x (d + 2)
-    numbers, like k-means centres) are gathered once; each point's mean
-    distance to a cluster is then a closed form, O(n * k) in one projection
-    and one global average - no pairs of points are formed.
+    numbers, like k-means centres) come from one scalar subquery; each point's
+    mean distance to a cluster is then a closed form, O(n * k) in one
+    projection and one global average - no pairs of points are formed.  With
+    ``cluster_ids`` given (k-means: 0..k-1) the plan stays lazy; otherwise the
+    k distinct ids are fetched first.
     """
-    sq = sum((F.col(c) * F.col(c) for c in feature_cols[1:]), F.col(feature_cols[0]) ** 2)
-    stats = (df.groupBy(cluster_col)
-               .agg(F.count(F.lit(1)).alias("n"), F.sum(sq).alias("psi"),
-                    *[F.sum(c).alias(f"y{i}") for i, c in enumerate(feature_cols)])
-               .collect())
-    if len(stats) < 2:
+    if cluster_ids is None:
+        cluster_ids = sorted(r[0] for r in df.select(cluster_col).distinct().collect())  # k rows
+    if len(cluster_ids) < 2:
         raise ValueError("silhouette needs at least two clusters")
-    x2 = sq
-
-    def mean_dist(row):
-        dot = sum((F.col(c) * F.lit(float(row[f"y{i}"])) for i, c in enumerate(feature_cols)),
-                  F.lit(0.0))
-        return x2 + F.lit(float(row["psi"]) / row["n"]) - 2 * dot / F.lit(float(row["n"]))
-
-    own_id = F.col(cluster_col)
-    dists = {r[cluster_col]: mean_dist(r) for r in stats}
-    sizes = {r[cluster_col]: r["n"] for r in stats}
-    own_n = F.lit(None).cast("double")
-    a = F.lit(None).cast("double")
-    b = F.lit(None).cast("double")
-    for cid, d in dists.items():
-        n = float(sizes[cid])
-        others = [dd for oc, dd in dists.items() if oc != cid]
+    cid_col = F.col(cluster_col)
+    sq = sum((F.col(c) * F.col(c) for c in feature_cols[1:]), F.col(feature_cols[0]) ** 2)
+    fields = []
+    for j, cid in enumerate(cluster_ids):
+        member = cid_col == cid
+        fields += [F.count_if(member).alias(f"n{j}"), F.sum(F.when(member, sq)).alias(f"p{j}")]
+        fields += [F.sum(F.when(member, F.col(c))).alias(f"y{j}_{i}")
+                   for i, c in enumerate(feature_cols)]
+    # the subquery is attached once as a column; every later expression refers
+    # to columns, so no expression tree repeats the subquery's plan
+    out = df.withColumn("_sil_st", df.agg(F.struct(*fields).alias("s")).scalar())
+
+    def stat(name):
+        return F.col(f"_sil_st.{name}")
+
+    for j in range(len(cluster_ids)):
+        n = stat(f"n{j}")          # empty cluster -> null distance, which least() skips
+        dot = sum((F.col(c) * stat(f"y{j}_{i}") for i, c in enumerate(feature_cols)), F.lit(0.0))
+        out = out.withColumn(f"_sil_d{j}", sq + F.try_divide(stat(f"p{j}"), n)
+                             - 2 * F.try_divide(dot, n))
+    own_n, a, b = (F.lit(None).cast("double"),) * 3
+    for j, cid in enumerate(cluster_ids):
+        n = stat(f"n{j}").cast("double")
+        others = [F.col(f"_sil_d{k}") for k in range(len(cluster_ids)) if k != j]
         nearest = others[0] if len(others) == 1 else F.least(*others)
-        own_n = F.when(own_id == cid, F.lit(n)).otherwise(own_n)
-        a = F.when(own_id == cid, d * n / (n - 1) if n > 1 else F.lit(0.0)).otherwise(a)
-        b = F.when(own_id == cid, nearest).otherwise(b)
-    s = (F.when(own_n <= 1, F.lit(0.0))
+        mine = cid_col == cid
+        own_n = F.when(mine, n).otherwise(own_n)
+        a = F.when(mine, F.try_divide(F.col(f"_sil_d{j}") * n, n - 1)).otherwise(a)
+        b = F.when(mine, nearest).otherwise(b)
+    out = out.select(own_n.alias("_own_n"), a.alias("_a"), b.alias("_b"))
+    a, b = F.col("_a"), F.col("_b")
+    s = (F.when(F.col("_own_n") <= 1, F.lit(0.0))
           .when(a < b, 1 - a / b)
           .when(a > b, b / a - 1)
           .otherwise(F.lit(0.0)))
-    return df.agg(F.round(F.avg(s), digits).alias("silhouette"))
+    return out.agg(F.round(F.avg(s), digits).alias("silhouette"))

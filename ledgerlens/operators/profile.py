@@ -29,11 +29,16 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
     per_value = x.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
     stats = per_value.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("s")).scalar()
-    lo, hi = stats.getField("lo"), stats.getField("hi")
-    width = (hi - lo) / F.lit(float(bins))
-    counts = (per_value.select(bin_index("x", lo, width, bins).alias("bin"), "n")
-                       .groupBy("bin").agg(F.sum("n").alias("count")))
-    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+
+    def with_range(d):   # attach the subquery once; lo / width by reference
+        return (d.withColumn("_h", stats)
+                 .withColumn("_lo", F.col("_h.lo"))
+                 .withColumn("_w", (F.col("_h.hi") - F.col("_h.lo")) / F.lit(float(bins))))
+
+    counts = (with_range(per_value).select(bin_index("x", "_lo", "_w", bins).alias("bin"), "n")
+                                   .groupBy("bin").agg(F.sum("n").alias("count")))
+    frame = with_range(df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")))
+    lo, width = F.col("_lo"), F.col("_w")
     return (frame.join(F.broadcast(counts), "bin", "left")      # <= bins rows
                  .select("bin",
                          F.round(lo + F.col("bin") * width, 6).alias("bin_lo"),

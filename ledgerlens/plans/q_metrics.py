@@ -204,5 +204,5 @@ select round(avg(v), 6) as silhouette from sil""", "addr_addr", "addr_tx", "tx_a
 def silhouette_rule_clusters(t):
     wf = wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes)
     z = dataset.standardise_columns(wallets.rule_clusters(wf), _WF_COLS)
-    return metrics.silhouette(z, _WF_COLS)
+    return metrics.silhouette(z, _WF_COLS, cluster_ids=[0, 1, 2])
 

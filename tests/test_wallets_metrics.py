@@ -180,3 +180,12 @@ def test_wide_correlation_equals_pairwise(spark):
     narrow = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, cols[:5]).collect()}
     assert len(wide) == len(cols) ** 2
     assert all(abs(wide[k] - v) < 1e-6 for k, v in narrow.items())
+
+
+def test_silhouette_lazy_path_equals_collect_path(spark):
+    rows = [(i, float(i % 7), float((i * 3) % 5), i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, prediction int")
+    lazy = metrics.silhouette(df, ["a", "b"], digits=12, cluster_ids=[0, 1, 2]).first()[0]
+    eager = metrics.silhouette(df, ["a", "b"], digits=12).first()[0]
+    with_empty = metrics.silhouette(df, ["a", "b"], digits=12, cluster_ids=[0, 1, 2, 7]).first()[0]
+    assert abs(lazy - eager) < 1e-12 and abs(with_empty - eager) < 1e-12
