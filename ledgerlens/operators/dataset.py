@@ -52,9 +52,15 @@ SAMPLE_BUCKETS = 100
 
 
 def stratified_sample(ds: DataFrame, fractions: Mapping[int, float], label_col: str = "label",
-                      id_col: str = "txId") -> DataFrame:
-    """Keep a ``fractions[label]`` share of each label, chosen by a hash of the
-    id (reproducible for any partitioning); labels not listed are kept whole."""
+                      id_col: str = "txId", method: str = "hash", seed: int = 42) -> DataFrame:
+    """Keep a ``fractions[label]`` share of each label; labels not listed are
+    kept whole.  ``method='hash'`` picks rows by a hash of the id (the same rows
+    for any partitioning or retry); ``'random'`` uses ``sampleBy`` with a seed."""
+    if method == "random":
+        full = {r[0]: 1.0 for r in ds.select(label_col).distinct().collect()}   # label values
+        return ds.sampleBy(label_col, {**full, **dict(fractions)}, seed)
+    if method != "hash":
+        raise ValueError(method)
     bucket = hash_bucket(id_col, SAMPLE_BUCKETS)
     keep = F.lit(True)
     for label, frac in fractions.items():

@@ -189,3 +189,10 @@ def test_silhouette_lazy_path_equals_collect_path(spark):
     eager = metrics.silhouette(df, ["a", "b"], digits=12).first()[0]
     with_empty = metrics.silhouette(df, ["a", "b"], digits=12, cluster_ids=[0, 1, 2, 7]).first()[0]
     assert abs(lazy - eager) < 1e-12 and abs(with_empty - eager) < 1e-12
+
+
+def test_random_stratified_sample_keeps_minority(tables):
+    ds = dataset.labelled_dataset(tables.txs_features, tables.doc_classes)
+    s = dataset.stratified_sample(ds, {0: 0.2}, method="random", seed=7)
+    assert s.where("label = 1").count() == ds.where("label = 1").count()
+    assert 0 < s.where("label = 0").count() < ds.where("label = 0").count()
