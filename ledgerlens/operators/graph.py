@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import class_label
 from ledgerlens.operators.cases import neighbour_counts
+from ledgerlens.operators.ordering import with_row_number
 from ledgerlens.operators.profile import histogram
 from ledgerlens.sources.schemas import ILLICIT
 
@@ -44,9 +45,14 @@ def degree_stats(degrees: DataFrame, col: str = "degree") -> DataFrame:
 
 def degree_sample(degrees: DataFrame, n: int = 50000, id_col: str = "txId") -> DataFrame:
     """Up to n nodes without replacement, reproducible for any partitioning:
-    the n smallest (md5 of id, id).  Bounded top-n, not a full sort."""
-    key = F.md5(F.col(id_col).cast("string"))
-    return degrees.orderBy(key, id_col).limit(n)
+    the n smallest (md5 of id, id).
+
+    Numbered in range-sliced order and filtered on the number, because a
+    top-n ``limit`` this large would merge partitions x n rows in one task.
+    """
+    keyed = degrees.withColumn("_md5", F.md5(F.col(id_col).cast("string")))
+    return (with_row_number(keyed, ["_md5", id_col], "_rn")
+            .where(F.col("_rn") <= n).drop("_md5", "_rn"))
 
 
 def degree_histogram(degrees: DataFrame, bins: int = 60, col: str = "degree") -> DataFrame:
