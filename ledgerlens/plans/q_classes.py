@@ -46,13 +46,13 @@ with tx as (
   select {LABEL_SQL.format(c='class')} as class, count(*) as n from tx_classes group by 1),
      w as (
   select {LABEL_SQL.format(c='class')} as class, count(*) as n from wallet_classes group by 1),
-     labels(class) as (values ('illicit'), ('licit'), ('unknown'))
+     label_frame(class) as (values ('illicit'), ('licit'), ('unknown'))
 select l.class,
        coalesce(tx.n, 0) as tx_count,
        coalesce(round(tx.n * 100.0 / (select sum(n) from tx), 2), 0.0) as tx_pct,
        coalesce(w.n, 0) as wallet_count,
        coalesce(round(w.n * 100.0 / (select sum(n) from w), 2), 0.0) as wallet_pct
-from labels l left join tx using (class) left join w using (class)
+from label_frame l left join tx using (class) left join w using (class)
 order by l.class""", "tx_classes", "wallet_classes"))
 def class_distribution(t):
     return classes.class_distribution(t.tx_classes, t.wallet_classes)
