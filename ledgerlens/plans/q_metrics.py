@@ -43,12 +43,12 @@ conf as (select count(*) filter (where label = 1 and prediction = 1) as tp,
                 count(*) filter (where label = 0 and prediction = 0) as tn from scored)"""
 
 
-def _ds(t):
+def labelled_ds(t):
     return dataset.labelled_dataset(t.txs_features, t.doc_classes)
 
 
 def _scored(t):
-    return models.rule_scored(_ds(t), RULE_SCORE_COL, RULE_THRESHOLD)
+    return models.rule_scored(labelled_ds(t), RULE_SCORE_COL, RULE_THRESHOLD)
 
 
 def _sql(body: str) -> str:
@@ -57,7 +57,7 @@ def _sql(body: str) -> str:
 
 @register("labelled_dataset", _sql(f"with {DS_SQL} select * from ds"))
 def labelled_dataset(t):
-    return _ds(t)
+    return labelled_ds(t)
 
 
 @register("temporal_split", _sql(f"""
@@ -65,7 +65,7 @@ with {DS_SQL}
 select txId, time_step, label, case when time_step <= 34 then 'train' else 'test' end as split
 from ds"""))
 def temporal_split(t):
-    ds = _ds(t)
+    ds = labelled_ds(t)
     return ds.select("txId", "time_step", "label", dataset.split_column(ds).alias("split"))
 
 
@@ -74,7 +74,7 @@ with {DS_SQL}
 select txId, label from ds
 where label = 1 or cast(('0x' || substr(md5(cast(txId as varchar)), 1, 8)) as bigint) % 100 < 25"""))
 def stratified_sample(t):
-    return dataset.stratified_sample(_ds(t), {0: 0.25}).select("txId", "label")
+    return dataset.stratified_sample(labelled_ds(t), {0: 0.25}).select("txId", "label")
 
 
 _Z = ",\n".join(
@@ -87,7 +87,7 @@ _ST = ", ".join(f"avg({c}) as m_{c}, stddev_samp({c}) as s_{c}" for c in DOC_FEA
 with {DS_SQL}, st as (select {_ST} from ds where time_step <= 34)
 select txId, {_Z} from ds, st"""))
 def standardised_features(t):
-    ds = _ds(t)
+    ds = labelled_ds(t)
     train, _ = dataset.temporal_split(ds)
     return models.standardise(train, ds, DOC_FEATURE_COLS, keep=["txId"], prefix="z_", digits=6)
 

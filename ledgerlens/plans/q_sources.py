@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from ledgerlens.operators import graph, models
 from ledgerlens.plans.oracle import with_fixtures
-from ledgerlens.plans.q_metrics import DS_SQL, RULE_SCORE_COL, RULE_THRESHOLD, _ds
+from ledgerlens.plans.q_metrics import DS_SQL, RULE_SCORE_COL, RULE_THRESHOLD, labelled_ds
 from ledgerlens.plans.queries import register
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import catalog, sinks
@@ -50,5 +50,5 @@ from ds""", "doc_features"))
 def scored_output(t):
     """Write (txId, label, prediction) of the rule score as Parquet and read it back."""
     path = scratch_path(t.spark, "scored_output")
-    sinks.write_predictions(models.rule_scored(_ds(t), RULE_SCORE_COL, RULE_THRESHOLD), path)
+    sinks.write_predictions(models.rule_scored(labelled_ds(t), RULE_SCORE_COL, RULE_THRESHOLD), path)
     return catalog.read_table(t.spark, path)
