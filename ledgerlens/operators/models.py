@@ -111,10 +111,12 @@ def param_grid(rf: RandomForestClassifier, trees=GRID_TREES, depths=GRID_DEPTHS)
 
 
 def cross_validate(train: DataFrame, estimator: Pipeline, grid, folds: int = N_FOLDS,
-                   id_col: str = "txId", parallelism: int = 2):
+                   id_col: str = "txId", parallelism: int | None = None):
     """k-fold CV on AUC-PR with folds from the id (reproducible), the training
     table persisted for the folds' repeated scans.  Returns (cv_model, scores)
-    where scores is (params, avg_auc_pr) per grid point."""
+    where scores is (params, avg_auc_pr) per grid point.  Grid points train as
+    concurrent jobs (default: all of them); results do not depend on it."""
+    parallelism = parallelism or len(grid)
     data = rightsized(train.withColumn("_fold", fold_column(id_col, folds))).persist()
     try:
         ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
