@@ -132,7 +132,21 @@ def wallet_features(addr_addr: DataFrame, addr_tx: DataFrame, tx_addr: DataFrame
     aggregation on address instead of a chain of full outer joins, each of
     which would re-shuffle the growing result.
     """
-    parts = {"out": wallet_out(addr_addr, approx), "in": wallet_in(addr_addr, approx),
+    if approx:
+        out_part, in_part = wallet_out(addr_addr, True), wallet_in(addr_addr, True)
+    else:
+        # the wallet edge list (the largest input) is shuffled once, as
+        # (sender, receiver) pair counts; both sides' degree and distinct
+        # counts come from those pairs
+        pairs = addr_addr.groupBy("input_address", "output_address").agg(
+            F.count(F.lit(1)).alias("n"))
+        out_part = pairs.groupBy(F.col("input_address").alias("address")).agg(
+            F.sum(F.when(F.col("output_address").isNotNull(), F.col("n"))).alias("out_degree"),
+            F.count("output_address").alias("unique_out"))
+        in_part = pairs.groupBy(F.col("output_address").alias("address")).agg(
+            F.sum(F.when(F.col("input_address").isNotNull(), F.col("n"))).alias("in_degree"),
+            F.count("input_address").alias("unique_in"))
+    parts = {"out": out_part, "in": in_part,
              "sent": txs_sent(addr_tx, approx), "recv": txs_received(tx_addr, approx)}
     stacked = None
     for df in parts.values():
