@@ -152,7 +152,9 @@ def main(argv) -> int:
     if len(argv) < 3:
         print(__doc__)
         return 2
-    spark = get_session()
+    from pyspark import SparkConf
+    # spark-submit supplies the master; a plain `python -m` run falls back to local
+    spark = get_session(None if SparkConf().contains("spark.master") else "local[*]")
     names = write_report(CsvTables(spark, argv[1]), argv[2], models_too="--no-models" not in argv)
     print("\n".join(names))
     return 0
