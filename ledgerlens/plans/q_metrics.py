@@ -6,6 +6,7 @@ from __future__ import annotations
 from ledgerlens.operators import dataset, metrics, models, wallets
 from ledgerlens.plans.oracle import with_fixtures
 from ledgerlens.plans.queries import register
+from ledgerlens.session import materialize
 from ledgerlens.sources.fixtures import DOC_FEATURE_COLS
 
 # Fixed values of the rule score used to check the metric operators.
@@ -204,5 +205,8 @@ select round(avg(v), 6) as silhouette from sil""", "addr_addr", "addr_tx", "tx_a
 def silhouette_rule_clusters(t):
     wf = wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes)
     z = dataset.standardise_columns(wallets.rule_clusters(wf), _WF_COLS)
+    # two passes read the standardised table (cluster sums, point distances):
+    # write it once to the shared checkpoint folder instead of deriving it twice
+    z = materialize(z.select("prediction", *_WF_COLS))
     return metrics.silhouette(z, _WF_COLS, cluster_ids=[0, 1, 2])
 
