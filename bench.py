@@ -50,21 +50,29 @@ def main() -> None:
     tables = Tables(spark, sf_dir).materialize(scratch_path(spark, "bench-tables"))
     load = time.time() - t0
 
-    per_query: dict[str, float] = {}
+    per_query: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for names in STAGES.values():
         for name in names:
             runs = []
-            for _ in range(repeat):
-                s = time.time()
-                REGISTRY[name].build(tables).write.format("noop").mode("overwrite").save()
-                runs.append(time.time() - s)
-            per_query[name] = round(statistics.median(runs), 3)
-    stages = {st: round(sum(per_query[n] for n in names), 3) for st, names in STAGES.items()}
-    total = round(load + sum(per_query.values()), 3)
+            try:
+                for _ in range(repeat):
+                    s = time.time()
+                    REGISTRY[name].build(tables).write.format("noop").mode("overwrite").save()
+                    runs.append(time.time() - s)
+                per_query[name] = round(statistics.median(runs), 3)
+            except Exception as e:  # report the failure, keep timing the rest
+                per_query[name] = None
+                errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+    done = {k: v for k, v in per_query.items() if v is not None}
+    stages = {st: round(sum(done.get(n, 0.0) for n in names), 3) for st, names in STAGES.items()}
+    total = round(load + sum(done.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec",
-                      "queries": per_query, "stages": {"load": round(load, 3), **stages},
-                      "sf": sf, "cpus": cpus, "repeat": repeat}))
+    out = {"metric": "total_sec", "value": total, "unit": "sec", "queries": per_query,
+           "stages": {"load": round(load, 3), **stages}, "sf": sf, "cpus": cpus, "repeat": repeat}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
