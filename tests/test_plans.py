@@ -57,3 +57,8 @@ def test_global_windows_only_over_bounded_inputs(spark, name):
         if name in BOUNDED_GLOBAL_WINDOWS:
             continue
         assert "_lr_part" in order, (name, order)       # one row per range slice
+
+
+def test_large_sample_has_no_single_task_top_n_merge(spark):
+    plan = _plan(queries()["degree_sample"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject" not in plan and "rangepartitioning" in plan
