@@ -24,15 +24,27 @@ def _labels(classes: DataFrame, key: str, name: str) -> DataFrame:
     return classes.select(F.col("address").alias(key), class_label("class").alias(name))
 
 
-def edge_flow(edges: DataFrame, classes: DataFrame) -> DataFrame:
+def pair_counts(edges: DataFrame) -> DataFrame:
+    """input_address, output_address, n: multi-edges counted per wallet pair
+    (one shuffle; several operators can share the result via ``weight='n'``)."""
+    return edges.groupBy("input_address", "output_address").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _w(weight: str | None):
+    return F.col(weight) if weight else F.lit(1)
+
+
+def edge_flow(edges: DataFrame, classes: DataFrame, weight: str | None = None) -> DataFrame:
     """from_class, to_class, edge_count over wallet->wallet edges.
 
     Grouped by the *label* (so null and 3 are one 'unknown' row); only pairs
-    that occur are returned."""
+    that occur are returned.  ``weight`` names a multiplicity column when the
+    input is already ``pair_counts``."""
     senders = edges.join(_labels(classes, "input_address", "from_class"), "input_address", "left")
     from_label = F.coalesce(F.col("from_class"), F.lit("unknown"))
     per_receiver = senders.groupBy("output_address").agg(
-        *[F.count_if(from_label == lbl).alias(f"n_{lbl}") for lbl in LABEL_ORDER])
+        *[F.coalesce(F.sum(F.when(from_label == lbl, _w(weight))), F.lit(0)).cast("bigint")
+           .alias(f"n_{lbl}") for lbl in LABEL_ORDER])
     to_label = F.coalesce(F.col("to_class"), F.lit("unknown"))
     per_label = (per_receiver
                  .join(_labels(classes, "output_address", "to_class"), "output_address", "left")
@@ -53,7 +65,8 @@ def edge_flow_matrix(flow: DataFrame) -> DataFrame:
                 .orderBy("from_class"))
 
 
-def top_illicit_senders(edges: DataFrame, classes: DataFrame, k: int = 15) -> DataFrame:
+def top_illicit_senders(edges: DataFrame, classes: DataFrame, k: int = 15,
+                        weight: str | None = None) -> DataFrame:
     """input_address, out_degree, unique_targets (exact) of illicit senders; top k.
 
     Edges are reduced per (sender, target) and then per sender with map-side
@@ -61,31 +74,36 @@ def top_illicit_senders(edges: DataFrame, classes: DataFrame, k: int = 15) -> Da
     target and then collapsed; the illicit filter is a semi-join on one row
     per sender.  (Joining first would leave the hot sender's edges in one
     task: the aggregation on the join key keeps AQE from splitting it.)
+    ``weight='n'`` accepts ``pair_counts`` directly.
     """
     illicit = classes.where(F.col("class") == ILLICIT).select(F.col("address").alias("input_address"))
-    pairs = edges.groupBy("input_address", "output_address").agg(
-        F.count("output_address").alias("n"))
+    pairs = edges if weight else pair_counts(edges)
+    n = F.col(weight or "n")
     senders = pairs.groupBy("input_address").agg(
-        F.sum("n").alias("out_degree"), F.count("output_address").alias("unique_targets"))
+        F.coalesce(F.sum(F.when(F.col("output_address").isNotNull(), n)), F.lit(0))
+         .cast("bigint").alias("out_degree"),
+        F.count("output_address").alias("unique_targets"))
     return (senders.join(illicit, "input_address", "left_semi")
                    .orderBy(F.desc("out_degree"), "input_address").limit(k))
 
 
-def illicit_to_licit(edges: DataFrame, classes: DataFrame, k: int = 15) -> DataFrame:
+def illicit_to_licit(edges: DataFrame, classes: DataFrame, k: int = 15,
+                     weight: str | None = None) -> DataFrame:
     """illicit_wallet, licit_wallet, transfers: direct illicit->licit pairs; top k.
 
     Transfers are counted per pair first (map-side partial aggregation), then
     the two class filters run as semi-joins over distinct pairs; neither join
     feeds an operator clustered on its key, so AQE may split a hot wallet.
+    ``weight='n'`` accepts ``pair_counts`` directly.
     """
     illicit = classes.where(F.col("class") == ILLICIT).select(F.col("address").alias("input_address"))
     licit = classes.where(F.col("class") == LICIT).select(F.col("address").alias("output_address"))
-    pairs = edges.groupBy("input_address", "output_address").agg(
-        F.count(F.lit(1)).alias("transfers"))
+    pairs = edges if weight else pair_counts(edges)
     return (pairs.join(illicit, "input_address", "left_semi")
                  .join(licit, "output_address", "left_semi")
                  .select(F.col("input_address").alias("illicit_wallet"),
-                         F.col("output_address").alias("licit_wallet"), "transfers")
+                         F.col("output_address").alias("licit_wallet"),
+                         F.col(weight or "n").cast("bigint").alias("transfers"))
                  .orderBy(F.desc("transfers"), "illicit_wallet", "licit_wallet").limit(k))
 
 
@@ -138,8 +156,7 @@ def wallet_features(addr_addr: DataFrame, addr_tx: DataFrame, tx_addr: DataFrame
         # the wallet edge list (the largest input) is shuffled once, as
         # (sender, receiver) pair counts; both sides' degree and distinct
         # counts come from those pairs
-        pairs = addr_addr.groupBy("input_address", "output_address").agg(
-            F.count(F.lit(1)).alias("n"))
+        pairs = pair_counts(addr_addr)
         out_part = pairs.groupBy(F.col("input_address").alias("address")).agg(
             F.sum(F.when(F.col("output_address").isNotNull(), F.col("n"))).alias("out_degree"),
             F.count("output_address").alias("unique_out"))

@@ -44,7 +44,10 @@ def _relational(t, shared: list) -> dict[str, DataFrame]:
     nb = graph.profile_from_counts(nb_counts, tx_cls)
     steps = t.tx_steps if t.tx_steps is not None else temporal.synthetic_steps(tx_cls)
     counts = temporal.step_class_counts(temporal.tx_time(steps, tx_cls))
-    flow = wallets.edge_flow(t.addr_addr, w_cls)
+    # the wallet edge list is counted per pair once and shared by three tables
+    pairs = wallets.pair_counts(t.addr_addr).persist()
+    shared.append(pairs)
+    flow = wallets.edge_flow(pairs, w_cls, weight="n")
     return {
         "null_profile": profile.null_profile(t.reference_tables()),
         "class_distribution": classes.class_distribution(tx_cls, w_cls),
@@ -56,8 +59,9 @@ def _relational(t, shared: list) -> dict[str, DataFrame]:
         "degree_distribution": graph.degree_distribution(edges),
         "edge_flow_by_class": flow,
         "edge_flow_matrix": wallets.edge_flow_matrix(flow),
-        "top_illicit_wallets": wallets.top_illicit_senders(t.addr_addr, w_cls, TOP_WALLETS),
-        "illicit_to_licit_transfers": wallets.illicit_to_licit(t.addr_addr, w_cls, TOP_WALLETS),
+        "top_illicit_wallets": wallets.top_illicit_senders(pairs, w_cls, TOP_WALLETS, weight="n"),
+        "illicit_to_licit_transfers": wallets.illicit_to_licit(pairs, w_cls, TOP_WALLETS,
+                                                               weight="n"),
         "temporal_distribution": temporal.temporal_distribution(counts),
         "rolling_illicit_rate": temporal.rolling_illicit_rate(counts),
         "fraud_bursts": temporal.fraud_bursts(counts),

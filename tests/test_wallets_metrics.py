@@ -196,3 +196,14 @@ def test_random_stratified_sample_keeps_minority(tables):
     s = dataset.stratified_sample(ds, {0: 0.2}, method="random", seed=7)
     assert s.where("label = 1").count() == ds.where("label = 1").count()
     assert 0 < s.where("label = 0").count() < ds.where("label = 0").count()
+
+
+def test_pair_count_inputs_equal_raw_edges(tables):
+    e, c = tables.addr_addr, tables.wallet_classes
+    pairs = wallets.pair_counts(e)
+    assert sorted(wallets.edge_flow(pairs, c, weight="n").collect()) == \
+        sorted(wallets.edge_flow(e, c).collect())
+    assert wallets.top_illicit_senders(pairs, c, 15, weight="n").collect() == \
+        wallets.top_illicit_senders(e, c, 15).collect()
+    assert wallets.illicit_to_licit(pairs, c, 15, weight="n").collect() == \
+        wallets.illicit_to_licit(e, c, 15).collect()
