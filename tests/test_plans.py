@@ -62,3 +62,28 @@ def test_global_windows_only_over_bounded_inputs(spark, name):
 def test_large_sample_has_no_single_task_top_n_merge(spark):
     plan = _plan(queries()["degree_sample"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" not in plan and "rangepartitioning" in plan
+
+
+# queries that write, checkpoint or fit an estimator on purpose while built
+EAGER_BY_DESIGN = {"csv_roundtrip", "scored_output", "silhouette_rule_clusters",
+                   "standardised_features"}
+
+
+@pytest.mark.parametrize("name", [n for n in SQL_QUERIES if n not in EAGER_BY_DESIGN])
+def test_building_a_query_runs_no_job(spark, name):
+    sc = spark.sparkContext
+    group = f"build-{name}"
+    sc.setJobGroup(group, "plan only")
+    try:
+        queries()[name](spark, SF_SMALL)
+        st = sc.statusTracker()
+        work = []
+        for job in st.getJobIdsForGroup(group):
+            stages = [st.getStageInfo(s) for s in st.getJobInfo(job).stageIds]
+            names = [s.name for s in stages if s is not None]
+            # opening a Parquet file reads its footer schema in a small job
+            if not all(n.startswith("parquet at ") for n in names):
+                work.append(names)
+        assert work == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

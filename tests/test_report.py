@@ -67,3 +67,10 @@ def test_report_without_feature_file_uses_synthetic_steps(spark, csv_dir):
     assert "feature_summary" not in out and "model_comparison" not in out
     steps = out["temporal_distribution"].collect()
     assert len(steps) == 49 and steps[-1].cum_total == ct.tx_classes.count()
+
+
+def test_report_releases_what_it_persists(spark, csv_dir):
+    ct = CsvTables(spark, csv_dir)
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    write_report(ct, tempfile.mkdtemp(prefix="ll-report2-"), models_too=False)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
