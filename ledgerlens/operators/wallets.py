@@ -142,13 +142,15 @@ WALLET_FEATURES = ["out_degree", "in_degree", "unique_out", "unique_in", "txs_se
 
 
 def wallet_features(addr_addr: DataFrame, addr_tx: DataFrame, tx_addr: DataFrame,
-                    classes: DataFrame, approx: bool = False) -> DataFrame:
+                    classes: DataFrame, approx: bool = False,
+                    pairs: DataFrame | None = None) -> DataFrame:
     """address, six behaviour counts, class; a wallet missing from a source
     gets 0 there and an unlabelled wallet gets class 0.
 
     The four per-wallet aggregates are stacked (union all) and merged by one
     aggregation on address instead of a chain of full outer joins, each of
-    which would re-shuffle the growing result.
+    which would re-shuffle the growing result.  ``pairs`` reuses an existing
+    ``pair_counts(addr_addr)``.
     """
     if approx:
         out_part, in_part = wallet_out(addr_addr, True), wallet_in(addr_addr, True)
@@ -156,7 +158,7 @@ def wallet_features(addr_addr: DataFrame, addr_tx: DataFrame, tx_addr: DataFrame
         # the wallet edge list (the largest input) is shuffled once, as
         # (sender, receiver) pair counts; both sides' degree and distinct
         # counts come from those pairs
-        pairs = pair_counts(addr_addr)
+        pairs = pair_counts(addr_addr) if pairs is None else pairs   # (input, output, n)
         out_part = pairs.groupBy(F.col("input_address").alias("address")).agg(
             F.sum(F.when(F.col("output_address").isNotNull(), F.col("n"))).alias("out_degree"),
             F.count("output_address").alias("unique_out"))

@@ -38,15 +38,16 @@ def _relational(t, shared: list) -> dict[str, DataFrame]:
     edges, tx_cls, w_cls = t.tx_edges, t.tx_classes, t.wallet_classes
     deg = graph.total_degree(edges)
     hubs = graph.label_hubs(graph.top_hubs(deg, TOP_HUBS), tx_cls)
+    # the wallet edge list is counted per pair once (shared[0]) and feeds the
+    # flow, the top lists and the behaviour table
+    pairs = wallets.pair_counts(t.addr_addr).persist()
+    shared.append(pairs)
     # one edge/class lookup for both the neighbour profile and the case grading
     nb_counts = cases.neighbour_counts(edges, tx_cls).persist()
     shared.append(nb_counts)
     nb = graph.profile_from_counts(nb_counts, tx_cls)
     steps = t.tx_steps if t.tx_steps is not None else temporal.synthetic_steps(tx_cls)
     counts = temporal.step_class_counts(temporal.tx_time(steps, tx_cls))
-    # the wallet edge list is counted per pair once and shared by three tables
-    pairs = wallets.pair_counts(t.addr_addr).persist()
-    shared.append(pairs)
     flow = wallets.edge_flow(pairs, w_cls, weight="n")
     return {
         "null_profile": profile.null_profile(t.reference_tables()),
@@ -108,8 +109,9 @@ def _models(t, cross_validation: bool) -> dict[str, DataFrame]:
     return out
 
 
-def _clusters(t) -> dict[str, DataFrame]:
-    wf = wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes)
+def _clusters(t, pairs: DataFrame | None = None) -> dict[str, DataFrame]:
+    wf = wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes,
+                                 pairs=pairs)
     with persisted(rightsized(wf)) as wf, \
             persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
         scores, fitted = clustering.kmeans_sweep(scaled)
@@ -131,7 +133,7 @@ def report_tables(t, models_too: bool = True, cross_validation: bool = True,
         if models_too:
             out.update(_models(t, cross_validation))
     if models_too:
-        out.update(_clusters(t))
+        out.update(_clusters(t, pairs=shared[0] if shared else None))
     return out
 
 

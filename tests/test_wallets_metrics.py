@@ -207,3 +207,9 @@ def test_pair_count_inputs_equal_raw_edges(tables):
         wallets.top_illicit_senders(e, c, 15).collect()
     assert wallets.illicit_to_licit(pairs, c, 15, weight="n").collect() == \
         wallets.illicit_to_licit(e, c, 15).collect()
+
+
+def test_wallet_features_from_shared_pairs(tables):
+    args = (tables.addr_addr, tables.addr_tx, tables.tx_addr, tables.wallet_classes)
+    shared = wallets.wallet_features(*args, pairs=wallets.pair_counts(tables.addr_addr))
+    assert sorted(shared.collect()) == sorted(wallets.wallet_features(*args).collect())
