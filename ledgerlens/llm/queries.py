@@ -7,11 +7,12 @@ parameters, and returns its full result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import table
+from ledgerlens.llm.common import table, workers_find_package
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,10 +20,15 @@ ORACLES: dict[str, str] = {}
 
 def query(oracle: str | None = None):
     def deco(fn):
-        REGISTRY[fn.__name__] = fn
+        @wraps(fn)
+        def run(spark, sf_dir):
+            workers_find_package(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[fn.__name__] = run
         if oracle:
             ORACLES[fn.__name__] = oracle
-        return fn
+        return run
     return deco
 
 
@@ -38,3 +44,22 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         token_count(F.col("text"), path).alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query(r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, k, array_to_string(ws[k:k + 12], ' ') AS win
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS k FROM w WHERE len(ws) >= 13)),
+f AS (SELECT g.doc_id, g.k FROM g JOIN (SELECT win, min(doc_id) AS least FROM g GROUP BY win) m USING (win) WHERE g.doc_id > m.least),
+c AS (SELECT DISTINCT doc_id, k + o AS p FROM f, (SELECT unnest(range(0, 13)) AS o)),
+e AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+k AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.p) AS kept, count(*) AS n
+      FROM e ANTI JOIN c ON e.doc_id = c.doc_id AND e.p = c.p GROUP BY e.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)""")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.substring_dedup import remove_repeated_windows
+
+    out = remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
