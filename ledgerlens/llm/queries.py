@@ -63,3 +63,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = remove_repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+@query()
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.simhash import near_duplicates
+
+    out = near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
