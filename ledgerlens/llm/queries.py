@@ -71,3 +71,44 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Byte limit of a shard in the query and the pipeline.
+SHARD_BYTES = 1 << 20
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS doc_bytes,
+                  lpad(bin(('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 15))::BIGINT), 60, '0') AS h
+           FROM documents),
+n AS (SELECT substr(h, 1, b) AS prefix, b, sum(doc_bytes) AS bytes, count(*) AS docs
+      FROM d, (SELECT unnest(range(0, 61)) AS b) GROUP BY 1, 2),
+f AS (SELECT * FROM n WHERE bytes <= {SHARD_BYTES} OR docs = 1),
+r AS (SELECT doc_id, doc_bytes, h, min(f.b) AS b FROM d JOIN f ON f.prefix = substr(d.h, 1, f.b) GROUP BY ALL)
+SELECT r.doc_id, r.doc_bytes, CASE WHEN r.b = 0 THEN 'root' ELSE substr(r.h, 1, r.b) END AS shard, f.bytes::BIGINT AS shard_bytes
+FROM r JOIN f ON f.prefix = substr(r.h, 1, r.b) AND f.b = r.b""")
+def op3_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.sharding import assign_shards
+
+    return assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES).select("doc_id", "doc_bytes", "shard", "shard_bytes")
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           ('0x' || substr(md5('6|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+           FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS w FROM d GROUP BY source),
+t AS (SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS total,
+             coalesce(sum(3 * source_size) OVER o, 0) AS taken, sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS share, row_number() OVER (ORDER BY 3 * source_size / w, source NULLS LAST) AS pos
+      FROM s WINDOW o AS (ORDER BY 3 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT arg_min((total - taken)::BIGINT / share, pos) AS level FROM t WHERE cap > w * ((total - taken)::BIGINT / share)),
+g AS (SELECT source, source_size, least(cap::DOUBLE, w * coalesce(level, 0)) AS target FROM t, l),
+r AS (SELECT d.doc_id, d.size, g.source_size, g.target, d.u, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + (u < rate - floor(rate))::INT))::BIGINT AS taken FROM r""")
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.mixing import mixed
+
+    out = mixed(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "__mix.size", "__mix.source_size", "__mix.target",
+                      (F.col("__mix.size") * F.col("__mix.copies")).cast("long").alias("taken"))
