@@ -202,7 +202,7 @@ def _intervals(window: int):
         keys = np.frombuffer(home.hashes, np.int64)
         flagged = np.unique(np.concatenate([_unpack(x)[0] for x in pdf.spots]))
         if not len(flagged):
-            return pd.DataFrame({"doc_id": [], "key": [], "starts": [], "ends": []})
+            return pd.DataFrame([], columns=["doc_id", "key", "starts", "ends"], dtype=object)
         text = np.searchsorted(at, flagged, "right") - 1
         new = np.flatnonzero(np.concatenate([[True], (np.diff(flagged) > window) | (np.diff(text) != 0)]))
         last = np.concatenate([new[1:], [len(flagged)]]) - 1
