@@ -50,6 +50,23 @@ def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= limit else df
 
 
+#: Salts that deal a hot key's rows out where a lookup table is too large to broadcast.
+SALTS = 32
+
+
+def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, rows: int, spread: list[str]) -> DataFrame:
+    """``left`` with the columns of ``right`` (one row per key) where the keys
+    agree, null included.  ``rows``: counted rows of ``right``; within
+    BROADCAST_ROWS it is broadcast, beyond that a hot key's rows are dealt over
+    SALTS keys by the hash of the ``spread`` columns."""
+    same = F.col(left_key).eqNullSafe(F.col(right_key))
+    if rows <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), same, "left")
+    salted = right.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = left.withColumn("__salt1", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, same & (F.col("__salt1") == F.col("__salt2")), "left").drop("__salt1", "__salt2")
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 

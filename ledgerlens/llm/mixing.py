@@ -14,10 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.common import BROADCAST_ROWS, WORD, stored
-
-#: Salts that deal a hot source's rows out when the rates table is too large to broadcast.
-SALTS = 32
+from ledgerlens.llm.common import WORD, lookup, stored
 
 
 def text_size(text: Column) -> Column:
@@ -70,14 +67,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3
     size, u = text_size(F.col(text_col)), draw(F.col(id_col), F.col(text_col), seed)
     rates = stored(source_targets(docs.select(F.col(source_col).alias("source"), size.alias("size")), weights, most), "rates")
     slim = rates.select(F.col("source").alias("__source"), "source_size", "target", "rate")
-    if rates.count() <= BROADCAST_ROWS:
-        right, same = F.broadcast(slim), F.col(source_col).eqNullSafe(F.col("__source"))
-        left = docs
-    else:  # deal the rows of a hot source over several keys
-        left = docs.withColumn("__salt", F.pmod(F.xxhash64(id_col, text_col), F.lit(SALTS)))
-        right = slim.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        same = F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__salt") == F.col("__salt2"))
-    both = left.join(right, same, "left")
+    both = lookup(docs, slim, source_col, "__source", rates.count(), [id_col, text_col])
     copies = (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
     out = both.withColumn("__mix", F.struct(size.alias("size"), F.col("source_size"), F.col("target"), F.col("rate"), copies.alias("copies")))
     return out.select(*docs.columns, "__mix")

@@ -112,3 +112,67 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixed(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "__mix.size", "__mix.source_size", "__mix.target",
                       (F.col("__mix.size") * F.col("__mix.copies")).cast("long").alias("taken"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5)),
+bs AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS k FROM b WHERE len(w) >= 5)),
+q AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY 1),
+m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM m JOIN q USING (item_id) WHERE n_shared >= ceil(n_item * 0.8 - 1e-9)""")
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+#: The conversation that the contract of the chat query adds.
+EXTRA_CONVERSATION = (-7, r"\### Assistant: </turn> ok")
+
+
+@query(r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
+e AS (SELECT *, replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\' || chr(10)) AS r,
+             replace(replace(text, '\', '\\'), '<|', '<\|') AS t FROM c),
+g AS (SELECT conv_id, count(*)::BIGINT AS n_turns,
+             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '') AS loss,
+             sum(length('<|turn|>') + length(r) + 1 + length(t) + length('<|end|>'))::BIGINT AS formatted_chars
+      FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""")
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.chat_format import digests
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv, said = EXTRA_CONVERSATION
+    extra = spark.range(2).select(F.lit(conv).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return digests(rows.union(extra))
+
+
+#: A line on more than this share of a host's pages is boilerplate; hosts with fewer pages keep all lines.
+BOILERPLATE_RATIO, SITE_PAGES = 0.5, 5
+
+
+@query(rf"""
+WITH p AS (SELECT page_id, lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '')) AS host,
+                  regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+                    '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
+                    '(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>', chr(10), 'g'),
+                    '<[^>]*>', '', 'g') AS txt FROM pages),
+l AS (SELECT page_id, host, list_filter(list_transform(regexp_split_to_array(txt, '[\n\r]'), lambda x: trim(x)), lambda x: x != '') AS lines FROM p),
+h AS (SELECT host, count(*) AS host_pages FROM l WHERE host != '' GROUP BY 1),
+c AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM l) GROUP BY ALL),
+b AS (SELECT host, list(line) AS bad FROM c JOIN h USING (host) WHERE n > 1 AND host_pages >= {SITE_PAGES} AND n > host_pages * {BOILERPLATE_RATIO} GROUP BY 1),
+k AS (SELECT page_id, host, host_pages, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(bad, []), x)) AS kept
+      FROM l LEFT JOIN h USING (host) LEFT JOIN b USING (host))
+SELECT page_id, host, coalesce(host_pages, 0)::BIGINT AS host_pages, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_dropped,
+       array_to_string(kept, chr(10)) AS kept_text FROM k""")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.line_dedup import drop_boilerplate
+
+    return drop_boilerplate(table(spark, sf_dir, "pages"), BOILERPLATE_RATIO, SITE_PAGES)
