@@ -30,7 +30,7 @@ from ledgerlens.llm.common import mix64, slices, text_buffer, word_spans
 #: Bytes of text that one numpy step takes; a longer text is hashed in such pieces.
 STEP_BYTES = 2 << 20
 #: Windows that one bucket holds on average (about 30 bytes each while sorted).
-BUCKET_WINDOWS = 1 << 20
+BUCKET_WINDOWS = 4 << 20
 #: doc_id of null ids inside the blocks: after every other one.
 NO_ID = np.iinfo(np.int64).max
 
@@ -88,20 +88,23 @@ class Hasher:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Non-decreasing integers as one-byte steps, longer steps apart."""
+    """Non-decreasing integers as one-byte steps; longer steps apart, in 4 bytes
+    or, if one needs it, 8."""
     step = np.diff(values, prepend=0)
     big = step >= 255
-    return np.uint32(len(values)).tobytes() + np.where(big, 255, step).astype(np.uint8).tobytes() + step[big].astype(np.uint64).tobytes()
+    apart = step[big].astype(np.uint64)
+    wide = bool(len(apart)) and int(apart.max()) >= 1 << 32
+    return np.uint32(len(values)).tobytes() + bytes([wide]) + np.where(big, 255, step).astype(np.uint8).tobytes() + (
+        apart if wide else apart.astype(np.uint32)).tobytes()
 
 
-def _unpack(blob: bytes, at: int = 0) -> tuple[np.ndarray, int]:
-    n = int(np.frombuffer(blob, np.uint32, 1, at)[0])
-    step = np.frombuffer(blob, np.uint8, n, at + 4).astype(np.int64)
-    big = np.flatnonzero(step == 255)
-    end = at + 4 + n + 8 * len(big)
-    if len(big):
-        step[big] = np.frombuffer(blob, np.uint64, len(big), at + 4 + n).astype(np.int64)
-    return np.cumsum(step), end
+def _unpack(blob: bytes, at: int = 0) -> np.ndarray:
+    n, wide = int(np.frombuffer(blob, np.uint32, 1, at)[0]), blob[at + 4]
+    step = np.frombuffer(blob, np.uint8, n, at + 5).astype(np.int64)
+    big = step == 255
+    if big.any():
+        step[big] = np.frombuffer(blob, np.uint64 if wide else np.uint32, int(big.sum()), at + 5 + n).astype(np.int64)
+    return np.cumsum(step)
 
 
 def _spread(ids: np.ndarray) -> bytes:
@@ -114,7 +117,7 @@ def _spread(ids: np.ndarray) -> bytes:
 def _gather(blob: bytes) -> np.ndarray:
     if blob[:1] == b"p":
         return np.frombuffer(blob, np.int64, offset=1)
-    return _unpack(blob, 9)[0] + np.frombuffer(blob, np.int64, 1, 1)[0]
+    return _unpack(blob, 9) + np.frombuffer(blob, np.int64, 1, 1)[0]
 
 
 BLOCK = "bucket long, batch long, ids binary, windows binary, spots binary, hashes binary"
@@ -174,8 +177,8 @@ def _count(pdf: pd.DataFrame) -> pd.DataFrame:
     back go the positions that stand in a larger one."""
     if pdf.bucket.iloc[0] < 0:  # what a batch settled itself passes through
         return pdf.drop(columns="bucket")
-    spots = [_unpack(x)[0] for x in pdf.spots]
-    docs = [_gather(i)[np.searchsorted(_unpack(w)[0], s, "right")] for i, w, s in zip(pdf.ids, pdf.windows, spots, strict=True)]
+    spots = [_unpack(x) for x in pdf.spots]
+    docs = [_gather(i)[np.searchsorted(_unpack(w), s, "right")] for i, w, s in zip(pdf.ids, pdf.windows, spots, strict=True)]
     lens = [len(s) for s in spots]
     raw = np.zeros((sum(lens), 8), np.uint8)
     raw[:, :7] = np.frombuffer(b"".join(pdf.hashes), np.uint8).reshape(-1, 7)
@@ -198,9 +201,9 @@ def _intervals(window: int):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         home = pdf[pdf.ids.notna()].iloc[0]
-        ids, at = _gather(home.ids), np.concatenate([[0], _unpack(home.windows)[0]])
+        ids, at = _gather(home.ids), np.concatenate([[0], _unpack(home.windows)])
         keys = np.frombuffer(home.hashes, np.int64)
-        flagged = np.unique(np.concatenate([_unpack(x)[0] for x in pdf.spots]))
+        flagged = np.unique(np.concatenate([_unpack(x) for x in pdf.spots]))
         if not len(flagged):
             return pd.DataFrame([], columns=["doc_id", "key", "starts", "ends"], dtype=object)
         text = np.searchsorted(at, flagged, "right") - 1
