@@ -155,7 +155,7 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: A line on more than this share of a host's pages is boilerplate; hosts with fewer pages keep all lines.
-BOILERPLATE_RATIO, SITE_PAGES = 0.5, 5
+BOILERPLATE_RATIO, SITE_PAGES = 0.2, 10
 
 
 @query(rf"""
@@ -176,3 +176,22 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.line_dedup import drop_boilerplate
 
     return drop_boilerplate(table(spark, sf_dir, "pages"), BOILERPLATE_RATIO, SITE_PAGES)
+
+
+@query()
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.quality import scored
+
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("key")
+
+
+@query("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20""")
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
