@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import slices, stored, text_buffer, word_spans
+from ledgerlens.llm.common import slices, small_side, stored, text_buffer, word_spans
 from ledgerlens.llm.components import connected_components
 
 #: Mean members of a first-level block, and the most that one task compares at once.
@@ -251,12 +251,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
 
 def keep_one_each(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each group: the one of the
-    smallest (doc_id, text key), null ids last; of rows repeated whole, one."""
-    found = near_duplicates(docs, shingle, radius, id_col, text_col)
-    one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("key")))
-    # rows of one component share component_id; components without any id share null and differ in root only
-    chosen = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone")).agg(
-        one.alias("k"), F.count(F.lit(1)).alias("rows")).select(F.col("k.doc_id").alias("__id"), F.col("k.key").alias("__key"))
-    out = docs.withColumn("__key", F.xxhash64(text_col)).alias("d").join(
-        chosen.alias("c").hint("shuffle_hash"), F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("c.__id")) & (F.col("d.__key") == F.col("c.__key")), "left_semi")
-    return out.dropDuplicates([id_col, "__key"]).drop("__key")
+    smallest (doc_id, text key), null ids last; of rows repeated whole, one.
+    All columns pass through."""
+    found = stored(near_duplicates(docs, shingle, radius, id_col, text_col), "grouped")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("k")
+    # components without any id have no component_id; their fingerprints tell most of them apart
+    group = ["component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone")]
+    chosen = found.groupBy(*group).agg(one).select("k.doc_id", "k.key")
+    rows = found.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r.key") == F.col("c.key"))
+    losers = stored(rows.alias("r").join(chosen.alias("c"), same, "left_anti").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")), "losers")
+    again = stored(rows.where("n > 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")), "repeated")
+    this = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__key"))
+    kept = docs.join(small_side(losers, losers.count()), this, "left_anti")
+    n_again = again.count()
+    if not n_again:
+        return kept
+    once = kept.join(small_side(again, n_again), this, "left_anti")
+    several = kept.join(small_side(again, n_again), this, "left_semi").withColumn("__key", F.xxhash64(text_col))
+    return once.union(several.dropDuplicates([id_col, "__key"]).drop("__key"))
