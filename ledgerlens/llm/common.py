@@ -50,6 +50,15 @@ def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= limit else df
 
 
+def shield(docs: DataFrame, *cols: str) -> tuple[DataFrame, list[str], list]:
+    """``docs`` with neutral column names, so that none can clash with an
+    operator's own; the neutral names of ``cols``; and the columns that restore
+    the old names."""
+    inner = {c: f"c{i}__" for i, c in enumerate(docs.columns)}
+    return (docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()]), [inner[c] for c in cols],
+            [F.col(n).alias(c) for c, n in inner.items()])
+
+
 #: Salts that deal a hot key's rows out where a lookup table is too large to broadcast.
 SALTS = 32
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import WORD, small_side, stored
+from ledgerlens.llm.common import WORD, shield, small_side, stored
 
 #: Sketch entries beyond those that a leak may lack; more of them, fewer false candidates.
 SPARE_HASHES = 2
@@ -96,7 +96,8 @@ def leaks(docs: DataFrame, items: DataFrame, containment: float = 0.8, n: int =
 def decontaminated(docs: DataFrame, items: DataFrame, containment: float = 0.8, n: int = 5, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a leak; all columns pass through."""
-    bad = leaks(docs, items, containment, n, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("key").alias("__bad")).distinct()
+    inner, (i, t), restore = shield(docs, id_col, text_col)
+    bad = leaks(inner, items, containment, n, i, t).select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_key")).distinct()
     bad = stored(bad, "leaking")
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__bad"))
-    return docs.join(small_side(bad, bad.count()), same, "left_anti")
+    same = F.col(i).eqNullSafe(F.col("bad_id")) & (F.xxhash64(t) == F.col("bad_key"))
+    return inner.join(small_side(bad, bad.count()), same, "left_anti").select(*restore)

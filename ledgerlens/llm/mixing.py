@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.common import WORD, lookup, stored
+from ledgerlens.llm.common import WORD, lookup, shield, stored
 
 
 def text_size(text: Column) -> Column:
@@ -58,25 +57,26 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), mos
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3, seed: int = 6, id_col: str = "doc_id",
-          text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with a struct ``__mix`` (size, source_size, target, rate, copies).
+          text_col: str = "text", source_col: str = "source", out: str = "mix") -> DataFrame:
+    """``docs`` with a struct ``out`` (size, source_size, target, rate, copies);
+    a column of that name is replaced, all others pass through.
 
-    Rows repeated whole share a draw.  Null texts have size 0 and, in a source
-    without words, 0 copies.  Any column but the three named passes through.
+    Rows repeated whole share a draw.  Null texts have size 0; in a source without
+    words nothing is taken.  An empty table gives none.
     """
-    size, u = text_size(F.col(text_col)), draw(F.col(id_col), F.col(text_col), seed)
-    rates = stored(source_targets(docs.select(F.col(source_col).alias("source"), size.alias("size")), weights, most), "rates")
-    slim = rates.select(F.col("source").alias("__source"), "source_size", "target", "rate")
-    both = lookup(docs, slim, source_col, "__source", rates.count(), [id_col, text_col])
+    inner, (i, t, s), restore = shield(docs, id_col, text_col, source_col)
+    size, u = text_size(F.col(t)), draw(F.col(i), F.col(t), seed)
+    rates = stored(source_targets(inner.select(F.col(s).alias("source"), size.alias("size")), weights, most), "rates")
+    both = lookup(inner, rates.select("source", "source_size", "target", "rate"), s, "source", rates.count(), [i, t])
     copies = (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
-    out = both.withColumn("__mix", F.struct(size.alias("size"), F.col("source_size"), F.col("target"), F.col("rate"), copies.alias("copies")))
-    return out.select(*docs.columns, "__mix")
+    told = F.struct(size.alias("size"), "source_size", "target", "rate", copies.alias("copies")).alias(out)
+    return both.select(*[c for c, name in zip(restore, docs.columns, strict=True) if name != out], told)
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3, seed: int = 6, id_col: str = "doc_id",
                 text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed corpus: each row of ``docs`` as many times as the mix takes it,
     with the columns of ``docs``."""
-    taken = mixed(docs, weights, most, seed, id_col, text_col, source_col).where("__mix.copies > 0")
-    many = taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(1).cast(T.ByteType()), F.col("__mix.copies"))))
-    return many.select(*docs.columns)
+    inner, (i, t, s), restore = shield(docs, id_col, text_col, source_col)
+    taken = mixed(inner, weights, most, seed, i, t, s).where("mix.copies > 0")
+    return taken.withColumn("copy", F.explode(F.array_repeat(F.lit(True), F.col("mix.copies")))).select(*restore)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import slices, small_side, stored, text_buffer, word_spans
+from ledgerlens.llm.common import shield, slices, small_side, stored, text_buffer, word_spans
 
 STEP_BYTES = 4 << 20
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+").findall
@@ -222,7 +222,9 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, unchanged."""
     # the verdict depends on the text alone, so rows that agree in id and text share it
-    bad = scored(docs, labels, id_col, text_col).where("predicted = 0").select(F.col("doc_id").alias("__id"), F.col("key").alias("__bad")).distinct()
+    inner, (i, t), restore = shield(docs, id_col, text_col)
+    y = labels.withColumnRenamed(id_col, i)
+    bad = scored(inner, y, i, t).where("predicted = 0").select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_key")).distinct()
     bad = stored(bad, "rejected")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__bad"))
-    return docs.join(small_side(bad, bad.count()), same, "left_anti")
+    same = F.col(i).cast("long").eqNullSafe(F.col("bad_id")) & (F.xxhash64(t) == F.col("bad_key"))
+    return inner.join(small_side(bad, bad.count()), same, "left_anti").select(*restore)

@@ -110,8 +110,8 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.mixing import mixed
 
     out = mixed(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "__mix.size", "__mix.source_size", "__mix.target",
-                      (F.col("__mix.size") * F.col("__mix.copies")).cast("long").alias("taken"))
+    return out.select("doc_id", "mix.size", "mix.source_size", "mix.target",
+                      (F.col("mix.size") * F.col("mix.copies")).cast("long").alias("taken"))
 
 
 @query(r"""

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.common import small_side, stored
+from ledgerlens.llm.common import shield, small_side, stored
 
 #: Bits of the hash; those a round looks at beyond log2(bytes / limit); and those a further round adds.
 HASH_BITS, SPARE_BITS, MORE_BITS = 60, 4, 12
@@ -60,10 +60,11 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     have no bytes and still get a shard.  Columns of ``docs`` with one of the
     three names are replaced, all others pass through; an empty table gives none.
     """
-    rows = docs.select(*[c for c in docs.columns if c not in _OWN]).withColumn(
-        "doc_bytes", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")).withColumn(
-        "__h", document_hash(F.col(id_col), F.col(text_col)))
-    sized = stored(rows.select(F.col("__h").alias("h"), F.col("doc_bytes").alias("bytes")), "sized")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in _OWN])
+    inner, (i, t), restore = shield(docs, id_col, text_col)
+    rows = inner.withColumn("doc_bytes", F.coalesce(F.octet_length(t), F.lit(0)).cast("long")).withColumn(
+        "h", document_hash(F.col(i), F.col(t)))
+    sized = stored(rows.select("h", F.col("doc_bytes").alias("bytes")), "sized")
     total = int(sized.agg(F.sum("bytes")).first()[0] or 0)
     done, depth = 0, min(HASH_BITS, (total // max(1, limit)).bit_length() + SPARE_BITS)
     placed = rows
@@ -71,10 +72,10 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     while True:
         entries, over = _round(sized, done, depth, limit)
         k = len(buckets)
-        named = entries.select(F.col("p").alias(f"__p{k}"), F.struct("bits", "prefix", "bytes").alias(f"__b{k}"))
-        placed = placed.withColumn(f"__q{k}", _prefix(F.col("__h"), depth)).join(
-            small_side(named, entries.count()), F.col(f"__q{k}") == F.col(f"__p{k}"), "left")
-        buckets.append(F.col(f"__b{k}"))
+        named = entries.select(F.col("p").alias(f"p{k}"), F.struct("bits", "prefix", "bytes").alias(f"b{k}"))
+        placed = placed.withColumn(f"q{k}", _prefix(F.col("h"), depth)).join(
+            small_side(named, entries.count()), F.col(f"q{k}") == F.col(f"p{k}"), "left")
+        buckets.append(F.col(f"b{k}"))
         over = stored(over, "over")
         if not over.head(1):
             lone = None
@@ -87,12 +88,11 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     b = F.coalesce(*buckets)
     bits = F.lpad(F.bin(b["prefix"]), HASH_BITS, "0")
     shard = F.when(b["bits"] == 0, F.lit("root")).otherwise(F.substring(bits, F.lit(HASH_BITS + 1) - b["bits"], b["bits"]))
-    keep = [c for c in rows.columns if c != "__h"]
+    keep = [*restore, "doc_bytes", "shard", "shard_bytes"]
     out = placed.withColumn("shard", shard).withColumn("shard_bytes", b["bytes"])
     if lone is None:
-        return out.select(*keep, "shard", "shard_bytes")
-    whole = out.where(b.isNotNull()).select(*keep, "shard", "shard_bytes")
-    return whole.unionByName(_pages(rows, lone, limit).select(*keep, "shard", "shard_bytes"))
+        return out.select(*keep)
+    return out.where(b.isNotNull()).select(*keep).union(_pages(rows, lone, limit).select(*keep))
 
 
 def _pages(rows: DataFrame, lone: DataFrame, limit: int) -> DataFrame:
@@ -100,17 +100,17 @@ def _pages(rows: DataFrame, lone: DataFrame, limit: int) -> DataFrame:
     rows are written out with their partition, so that numbering them (a rank
     inside each partition plus the counts of earlier ones) is stable and no task
     holds more than a partition of a hash."""
-    same = stored(rows.join(lone, F.col("__h") == F.col("p"), "left_semi").withColumn("__part", F.spark_partition_id())
-                  .withColumn("__row", F.monotonically_increasing_id()), "overflow")
-    parts = same.groupBy("__h", "__part").agg(F.count(F.lit(1)).alias("n"), F.max("doc_bytes").alias("most"))
-    before = Window.partitionBy("__h").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("__h")
-    parts = parts.withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn(
-        "__each", F.greatest(F.lit(1), F.floor(F.lit(limit) / F.max("most").over(whole)))).select("__h", "__part", "__before", "__each")
-    rank = F.row_number().over(Window.partitionBy("__h", "__part").orderBy("__row"))
-    page = F.floor((F.col("__before") + rank - 1) / F.col("__each"))
-    paged = same.join(parts, ["__h", "__part"]).withColumn(
-        "shard", F.concat(F.lpad(F.bin("__h"), HASH_BITS, "0"), F.lit("+"), page.cast("string")))
+    same = stored(rows.join(lone, F.col("h") == F.col("p"), "left_semi").withColumn("part", F.spark_partition_id())
+                  .withColumn("row", F.monotonically_increasing_id()), "overflow")
+    parts = same.groupBy("h", "part").agg(F.count(F.lit(1)).alias("n"), F.max("doc_bytes").alias("most"))
+    before = Window.partitionBy("h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("h")
+    parts = parts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn(
+        "each", F.greatest(F.lit(1), F.floor(F.lit(limit) / F.max("most").over(whole)))).select("h", "part", "before", "each")
+    rank = F.row_number().over(Window.partitionBy("h", "part").orderBy("row"))
+    page = F.floor((F.col("before") + rank - 1) / F.col("each"))
+    paged = same.join(parts, ["h", "part"]).withColumn(
+        "shard", F.concat(F.lpad(F.bin("h"), HASH_BITS, "0"), F.lit("+"), page.cast("string")))
     sums = paged.groupBy("shard").agg(F.sum("doc_bytes").alias("shard_bytes"))
     return paged.join(sums, "shard")
 

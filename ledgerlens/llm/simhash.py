@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import slices, small_side, stored, text_buffer, word_spans
+from ledgerlens.llm.common import shield, slices, small_side, stored, text_buffer, word_spans
 from ledgerlens.llm.components import connected_components
 
 #: Mean members of a first-level block, and the most that one task compares at once.
@@ -230,7 +230,7 @@ def _joined(fp, runs: list[list[int]]):
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text",
                     block_mean: int = BLOCK_MEAN, block_most: int = BLOCK_MOST) -> DataFrame:
     """One row per input row: doc_id, key (xxhash64 of the text), fp (long),
-    component_id.
+    component_id, root (one fingerprint of the component, its name).
 
     Fingerprints at most ``radius`` bits apart are linked; component_id is the
     smallest doc_id of the connected documents, itself included.  Rows with a
@@ -245,28 +245,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     roots = connected_components(links)
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return slim.join(named, "fp").select("doc_id", "key", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "component_id", "root")
+    return slim.join(named, "fp").select("doc_id", "key", "fp", "component_id", "root")
 
 
 def keep_one_each(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each group: the one of the
     smallest (doc_id, text key), null ids last; of rows repeated whole, one.
     All columns pass through."""
-    found = stored(near_duplicates(docs, shingle, radius, id_col, text_col), "grouped")
+    inner, (i, t), restore = shield(docs, id_col, text_col)
+    found = stored(near_duplicates(inner, shingle, radius, i, t), "grouped")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("k")
-    # components without any id have no component_id; their fingerprints tell most of them apart
-    group = ["component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone")]
-    chosen = found.groupBy(*group).agg(one).select("k.doc_id", "k.key")
+    chosen = found.groupBy("root").agg(one).select("k.doc_id", "k.key")
     rows = found.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
     same = F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r.key") == F.col("c.key"))
-    losers = stored(rows.alias("r").join(chosen.alias("c"), same, "left_anti").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")), "losers")
-    again = stored(rows.where("n > 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")), "repeated")
-    this = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__key"))
-    kept = docs.join(small_side(losers, losers.count()), this, "left_anti")
+    losers = stored(rows.alias("r").join(chosen.alias("c"), same, "left_anti").select(F.col("doc_id").alias("row_id"), F.col("key").alias("row_key")), "losers")
+    again = stored(rows.where("n > 1").select(F.col("doc_id").alias("row_id"), F.col("key").alias("row_key")), "repeated")
+    this = F.col(i).cast("long").eqNullSafe(F.col("row_id")) & (F.xxhash64(t) == F.col("row_key"))
+    kept = inner.join(small_side(losers, losers.count()), this, "left_anti")
     n_again = again.count()
-    if not n_again:
-        return kept
-    once = kept.join(small_side(again, n_again), this, "left_anti")
-    several = kept.join(small_side(again, n_again), this, "left_semi").withColumn("__key", F.xxhash64(text_col))
-    return once.union(several.dropDuplicates([id_col, "__key"]).drop("__key"))
+    if n_again:
+        once = kept.join(small_side(again, n_again), this, "left_anti")
+        several = kept.join(small_side(again, n_again), this, "left_semi").withColumn("row_key", F.xxhash64(t))
+        kept = once.union(several.dropDuplicates([i, "row_key"]).drop("row_key"))
+    return kept.select(*restore)
