@@ -105,6 +105,7 @@ def _search(queries: np.ndarray, q_ids: np.ndarray, points: np.ndarray, ids: np.
     who = np.full((len(queries), k), -1, np.int64)
     found = np.zeros(len(queries), np.int64)
     slack = 1 + 1e-9
+    several = len(np.unique(ids)) < len(ids)
 
     def bound(q, c):
         a, b = qt.center[q], ct.center[c]
@@ -124,7 +125,10 @@ def _search(queries: np.ndarray, q_ids: np.ndarray, points: np.ndarray, ids: np.
             n = found[qi]
             val = np.concatenate([scores[qi, :n], own[take]])
             idv = np.concatenate([who[qi, :n], ids[b][take]])
-            o = np.lexsort((idv, -val))[:k] if val.dtype != object else np.array(sorted(range(len(val)), key=lambda i: (-val[i], idv[i]))[:k])
+            o = np.lexsort((idv, -val)) if val.dtype != object else np.array(sorted(range(len(val)), key=lambda i: (-val[i], idv[i])))
+            if several:  # of an id's vectors the best counts
+                o = o[np.sort(np.unique(idv[o], return_index=True)[1])]
+            o = o[:k]
             m = len(o)
             scores[qi, :m], who[qi, :m], found[qi] = val[o], idv[o], m
             best[qi, :m] = val[o].astype(float)
