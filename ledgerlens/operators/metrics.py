@@ -85,11 +85,11 @@ def _curve_base(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
     return with_running_sums(by_score, [F.col("score").desc()], ["pos", "neg"])
 
 
-def _with_totals(base: DataFrame, scored: DataFrame, label_col: str):
-    """base + a ``_tot`` struct column (P, N) from one scalar subquery; returns
-    (df, P, N) with P and N as column references."""
-    s = scored.agg(F.struct(F.count_if(F.col(label_col) == 1).alias("P"),
-                            F.count_if(F.col(label_col) != 1).alias("N")).alias("s")).scalar()
+def _with_totals(base: DataFrame):
+    """base + a ``_tot`` struct column (P, N), summed from the per-score table;
+    returns (df, P, N) with P and N as column references."""
+    s = base.agg(F.struct(F.coalesce(F.sum("pos"), F.lit(0)).alias("P"),
+                          F.coalesce(F.sum("neg"), F.lit(0)).alias("N")).alias("s")).scalar()
     return base.withColumn("_tot", s), F.col("_tot.P"), F.col("_tot.N")
 
 
@@ -97,7 +97,7 @@ def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "lab
               digits: int = 6) -> DataFrame:
     """threshold, tp, fp, tpr, fpr: one point per distinct score (predict
     positive when score >= threshold)."""
-    base, P, N = _with_totals(_curve_base(scored, score_col, label_col), scored, label_col)
+    base, P, N = _with_totals(_curve_base(scored, score_col, label_col))
     return base.select(F.col("score").alias("threshold"),
                        F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                        F.round(_div(F.col("cum_pos"), P), digits).alias("tpr"),
@@ -107,7 +107,7 @@ def roc_curve(scored: DataFrame, score_col: str = "score", label_col: str = "lab
 def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "label",
              digits: int = 6) -> DataFrame:
     """threshold, precision, recall: one point per distinct score."""
-    base, P, _ = _with_totals(_curve_base(scored, score_col, label_col), scored, label_col)
+    base, P, _ = _with_totals(_curve_base(scored, score_col, label_col))
     return base.select(F.col("score").alias("threshold"),
                        F.round(_div(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")), digits)
                         .alias("precision"),
@@ -122,7 +122,7 @@ def curve_areas(scored: DataFrame, score_col: str = "score", label_col: str = "l
     so no lag (and no ordering) is needed in the final sum.  PR starts at
     (recall 0, precision of the first point), as Spark's binary metrics do.
     """
-    base, P, N = _with_totals(_curve_base(scored, score_col, label_col), scored, label_col)
+    base, P, N = _with_totals(_curve_base(scored, score_col, label_col))
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     tpr, fpr, tpr0, fpr0 = _div(tp, P), _div(fp, N), _div(tp0, P), _div(fp0, N)

@@ -11,23 +11,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import bin_index
 from ledgerlens.operators.ordering import with_running_sums
+from ledgerlens.session import stored
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """bin, bin_lo, bin_hi, count over equal-width bins of [min, max].
 
     Values are first counted per distinct value (one shuffle; repeated values
-    collapse map-side).  Both the min/max scalar subquery and the bin counts
-    read that table, so the input is computed once; the maximum lands in the
-    last bin; empty bins are kept with count 0.
+    collapse map-side) and that table is written once.  Both the min/max scalar
+    subquery and the bin counts read it, so the input is computed once; the
+    maximum lands in the last bin; empty bins are kept with count 0.
     """
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    per_value = x.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    per_value = stored(x.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "values")
     stats = per_value.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("s")).scalar()
 
     def with_range(d):   # attach the subquery once; lo / width by reference
@@ -93,7 +95,7 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
     with the (#columns x #quantiles x 2)-row target table.
     """
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    cum = with_running_sums(counts, ["column", "value"], ["cnt"])     # global cum_cnt
+    cum = stored(with_running_sums(counts, ["column", "value"], ["cnt"]), "cumulated")   # global cum_cnt
     per_col = cum.groupBy("column").agg(F.min(F.col("cum_cnt") - F.col("cnt")).alias("base"),
                                         F.sum("cnt").alias("n"))
     # one row per column: safe to broadcast
@@ -147,10 +149,13 @@ def feature_summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = N
     Exact quartiles by default (``df.summary`` would give approximate ones);
     ``accuracy`` opts into ``percentile_approx``."""
     long = long_values(df, cols)
-    moments = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"), F.min("value").alias("min"),
-        F.max("value").alias("max"), F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.stddev_samp("value"), 6).alias("stddev"))
+    # moments: one wide aggregation over the rows as they are, no exploded values
+    x = [F.col(c).cast("double") for c in cols]
+    wide = df.agg(*[F.struct(F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
+                             F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev_samp(v), 6).alias("stddev")).alias(f"m{i}")
+                    for i, v in enumerate(x)])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("m")) for i, c in enumerate(cols)])
+    moments = wide.select(F.inline(cells)).select("column", "m.*").where(F.col("count") > 0)
     q = _quantile_wide(long, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, accuracy)
     out = moments.join(q, "column")   # both have one row per column
     return out.select("column", "count", "min",
@@ -170,56 +175,65 @@ def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5,
         (F.col("q3") - F.col("q1")).alias("iqr"))
     q = q.withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr"))
-    v = F.col("value")
-    inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    # q has one row per column: safe to broadcast
-    agg = long.join(F.broadcast(q), "column").groupBy("column").agg(
-        F.min(F.when(inside, v)).alias("whisker_low"),
-        F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"))
+    # the fences, one row per column, become one map that a single wide pass reads
+    fences = q.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("lo_fence", "hi_fence")))).alias("f")).scalar()
+    marked = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]).withColumn("_f", fences)
+    inside = [(F.col(f"v{i}") >= F.try_element_at("_f", F.lit(c))["lo_fence"]) & (F.col(f"v{i}") <= F.try_element_at("_f", F.lit(c))["hi_fence"])
+              for i, c in enumerate(cols)]
+    wide = marked.agg(*[F.struct(F.min(F.when(ok, F.col(f"v{i}"))).alias("whisker_low"), F.max(F.when(ok, F.col(f"v{i}"))).alias("whisker_high"),
+                                 F.count_if(~ok).alias("outliers")).alias(f"m{i}") for i, ok in enumerate(inside)])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("m")) for i, c in enumerate(cols)])
+    agg = wide.select(F.inline(cells)).select("column", "m.*")
     return (q.join(agg, "column")
              .select("column", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "iqr")],
                      F.round("whisker_low", 6).alias("whisker_low"),
                      F.round("whisker_high", 6).alias("whisker_high"), "outliers"))
 
 
-WIDE_CORRELATION = 32   # from this many columns on, one matrix pass replaces pairwise aggregates
-
-
-def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6,
+                       method: str = "pairwise") -> DataFrame:
     """a, b, r: Pearson correlation of every ordered pair of columns.
 
-    Up to ``WIDE_CORRELATION`` columns: pairwise ``corr`` aggregates in one pass
-    (each pair over its own non-null rows).  Wider inputs (e.g. 184 features)
-    use ``pyspark.ml.stat.Correlation`` - one distributed pass over the
-    assembled vectors, complete-case rows only - and return the d x d matrix,
-    whose size is bounded by the column count, not the data.
+    ``method`` decides which rows a pair uses, whatever the number of columns:
+    ``"pairwise"`` (default) takes each pair's own rows without null or NaN,
+    ``"complete"`` the rows without any.  One pass adds up, per task, the matrix
+    products of centred values and presence masks (4 d x d sums), so hundreds of
+    columns need no expression per pair.  The result is d x d, bounded by the
+    columns; r is null where a side has no variance.  Runs two jobs when called.
     """
-    if len(cols) >= WIDE_CORRELATION:
-        return _correlation_wide(df, cols, digits)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        r = F.round(F.col(f"r{i}"), digits)
-        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-        if a != b:
-            cells.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), r.alias("r")))
-    return row.select(F.inline(F.array(*cells)))
-
-
-def _correlation_wide(df: DataFrame, cols: Sequence[str], digits: int) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "_v").head()[0].toArray()      # d x d, bounded by the columns
-    rows = [(a, b, None if m[i][j] != m[i][j] else round(float(m[i][j]), digits))
+    if method not in ("pairwise", "complete"):
+        raise ValueError(f"unknown method {method!r}")
+    x = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
+    if method == "complete":
+        x = x.dropna()
+    centre = np.array([m or 0.0 for m in x.agg(*[F.avg(c) for c in x.columns]).first()])
+    sums = np.zeros((4, len(cols), len(cols)))
+    for row in x.mapInArrow(_cross_sums(centre), "k long, v double").groupBy("k").agg(F.sum("v")).collect():
+        sums.ravel()[row[0]] = row[1]       # 4 d x d numbers
+    n, s, q, p = sums                       # s[i, j]: sum of x_i over the rows of pair (i, j)
+    with np.errstate(all="ignore"):
+        var = n * q - s * s
+        r = (n * p - s * s.T) / np.sqrt(np.where(var > 1e-12 * n * q, var, np.nan) * np.where(var > 1e-12 * n * q, var, np.nan).T)
+    rows = [(a, b, None if np.isnan(r[i, j]) else round(float(r[i, j]), digits))
             for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
+def _cross_sums(centre: np.ndarray):
+    def run(batches):
+        import pyarrow as pa
+        d = len(centre)
+        total = np.zeros((4, d, d))
+        for rows in batches:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in rows.columns]).astype(float)
+            there = ~np.isnan(v)
+            m, v = there.astype(float), np.where(there, v - centre, 0.0)
+            total += np.array([m.T @ m, v.T @ m, (v * v).T @ m, v.T @ v])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["k", "v"])
+
+    return run
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

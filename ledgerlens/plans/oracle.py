@@ -13,13 +13,13 @@ FIXTURE_CTES = {
     "tx_classes": """
         select o_orderkey as txId,
                cast(case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end as integer) as class
-        from orders where o_orderkey % 97 <> 0""",
+        from orders""",
     "tx_edges": """
         select distinct a as txId1, b as txId2 from (
           select l_orderkey a,
                  lead(l_orderkey) over (partition by l_partkey
                                         order by l_shipdate, l_orderkey, l_linenumber) b
-          from lineitem where l_linenumber <= 2) z
+          from lineitem) z
         where b is not null and a <> b""",
     "tx_steps": """
         select o_orderkey as txId,
@@ -31,7 +31,7 @@ FIXTURE_CTES = {
                cast(case when c_mktsegment = 'BUILDING' then 1
                          when c_mktsegment in ('AUTOMOBILE','FURNITURE') then 2 else 3 end
                     as integer) as class
-        from customer where c_custkey % 97 <> 0""",
+        from customer""",
     "addr_tx": """
         select 'W' || cast(o_custkey as varchar) as input_address, o_orderkey as txId from orders""",
     "tx_addr": """
@@ -48,8 +48,7 @@ FIXTURE_CTES = {
                  as class,
                cast(d.n_chars as double) as f_chars,
                cast(len(string_split(d.text, ' ')) as double) as f_words,
-               case when d.doc_id % 50 <> 7 then
-                 round(length(regexp_replace(d.text, '[^0-9]', '', 'g')) / d.n_chars, 6) end
+               round(length(regexp_replace(d.text, '[^0-9]', '', 'g')) / d.n_chars, 6)
                  as f_digit_ratio,
                round(length(regexp_replace(d.text, '[^!-/:-@\[-`{-~]', '', 'g')) / d.n_chars, 6)
                  as f_punct_ratio,

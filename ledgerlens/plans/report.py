@@ -24,11 +24,9 @@ from ledgerlens.operators import (cases, classes, clustering, dataset, graph, me
 from ledgerlens.session import materialize, persisted, rightsized
 from ledgerlens.sources.sinks import write_result
 
-# Fixed values of the analysed script's report (sizes of its top lists, bins,
-# and how many leading feature columns its summaries use).
+# Fixed values of the analysed script's report (sizes of its top lists, bins).
 TOP_HUBS, TOP_WALLETS, TOP_RATIO = 20, 15, 500
 DEGREE_BINS, RATIO_BINS = 60, 30
-SUMMARY_FEATURES, CORRELATION_FEATURES = 10, 15
 
 # result tables that grow with the data: written as many files
 LARGE = {"roc_curve", "pr_curve", "wallet_pca", "predictions"}
@@ -72,13 +70,14 @@ def _relational(t, shared: list) -> dict[str, DataFrame]:
     }
 
 
-def _feature_profile(t) -> dict[str, DataFrame]:
+def _feature_profile(t, cols: list[str] | None = None) -> dict[str, DataFrame]:
+    """Summaries and correlations of the named feature columns (default: all)."""
     feats = t.txs_features
-    cols = dataset.feature_columns(feats)
+    cols = cols or dataset.feature_columns(feats)
     return {
-        "feature_summary": profile.feature_summary(feats, cols[:SUMMARY_FEATURES]),
-        "feature_box_stats": profile.box_stats(feats, cols[:SUMMARY_FEATURES]),
-        "feature_correlation": profile.correlation_matrix(feats, cols[:CORRELATION_FEATURES]),
+        "feature_summary": profile.feature_summary(feats, cols),
+        "feature_box_stats": profile.box_stats(feats, cols),
+        "feature_correlation": profile.correlation_matrix(feats, cols),
     }
 
 

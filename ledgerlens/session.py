@@ -54,8 +54,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerlens/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared checkpoint folder, removed when the driver's
+    JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ledgerlens/{name}-{uuid.uuid4().hex}"
+    _drop_at_exit(spark, path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and read
+    back: lineage is cut, every reader sees the same rows, lost executors cost
+    nothing, and Catalyst knows the real size.  The files go when the driver's
+    JVM ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop_at_exit(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
 def rightsized(df: DataFrame) -> DataFrame:

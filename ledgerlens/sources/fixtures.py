@@ -17,31 +17,26 @@ from ledgerlens.operators.ordering import next_in_group
 from ledgerlens.sources.schemas import ILLICIT, LICIT, N_TIME_STEPS, UNKNOWN
 
 # Fixed values of the derivation (shared with the oracle SQL).
-NO_CLASS_EVERY = 97          # every 97th key gets no class row
 STEP_EPOCH = "1995-01-01"    # first order date
 STEP_SPAN_DAYS = 2405        # days covered by the order dates
 RECEIVE_ONLY_EVERY = 4       # every 4th supplier is an 'S' wallet (receives only)
-NULL_DIGIT_RATIO_MOD = 50    # f_digit_ratio is null when doc_id % 50 = 7
-NULL_DIGIT_RATIO_REM = 7
 PUNCT_CLASS = r"[!-/:-@\[-`{-~]"   # ASCII punctuation
 
 
 def tx_classes(orders: DataFrame) -> DataFrame:
-    """txId, class: F -> 1 (illicit), O -> 2 (licit), P -> 3; every 97th order absent."""
+    """txId, class: F -> 1 (illicit), O -> 2 (licit), P -> 3."""
     status = F.col("o_orderstatus")
     cls = (F.when(status == "F", F.lit(ILLICIT))
             .when(status == "O", F.lit(LICIT))
             .otherwise(F.lit(UNKNOWN)))
-    return (orders.where(F.col("o_orderkey") % NO_CLASS_EVERY != 0)
-                  .select(F.col("o_orderkey").alias("txId"), cls.cast("int").alias("class")))
+    return orders.select(F.col("o_orderkey").alias("txId"), cls.cast("int").alias("class"))
 
 
 def tx_edges(lineitem: DataFrame) -> DataFrame:
-    """txId1 -> txId2: an order points to the next order shipping the same part
-    (first two lines of each order), distinct, no self-edges."""
-    lines = lineitem.where(F.col("l_linenumber") <= 2)
-    nxt = next_in_group(lines, "l_partkey", ["l_shipdate", "l_orderkey", "l_linenumber"],
-                        "l_orderkey", name="b")
+    """txId1 -> txId2: an order points to the next order shipping the same part,
+    distinct, no self-edges."""
+    nxt = next_in_group(lineitem, "l_partkey", ["l_shipdate", "l_orderkey", "l_linenumber"], "l_orderkey",
+                        coarse=F.trunc(F.col("l_shipdate").cast("date"), "month"), name="b")
     return (nxt.where(F.col("l_orderkey") != F.col("b"))
                .select(F.col("l_orderkey").alias("txId1"), F.col("b").alias("txId2"))
                .distinct())
@@ -55,14 +50,14 @@ def tx_steps(orders: DataFrame) -> DataFrame:
 
 
 def wallet_classes(customer: DataFrame) -> DataFrame:
-    """address 'W<custkey>', class from market segment; every 97th absent."""
+    """address 'W<custkey>', class from market segment (the 'S' wallets of
+    ``tx_addr`` have none)."""
     seg = F.col("c_mktsegment")
     cls = (F.when(seg == "BUILDING", F.lit(ILLICIT))
             .when(seg.isin("AUTOMOBILE", "FURNITURE"), F.lit(LICIT))
             .otherwise(F.lit(UNKNOWN)))
-    return (customer.where(F.col("c_custkey") % NO_CLASS_EVERY != 0)
-                    .select(F.concat(F.lit("W"), F.col("c_custkey").cast("string")).alias("address"),
-                            cls.cast("int").alias("class")))
+    return customer.select(F.concat(F.lit("W"), F.col("c_custkey").cast("string")).alias("address"),
+                           cls.cast("int").alias("class"))
 
 
 def addr_tx(orders: DataFrame) -> DataFrame:
@@ -95,8 +90,7 @@ def doc_features(documents: DataFrame, labels: DataFrame) -> DataFrame:
     # counting matches avoids building a filtered copy of every text
     digits = F.regexp_count(F.col("text"), F.lit("[0-9]"))
     punct = F.regexp_count(F.col("text"), F.lit(PUNCT_CLASS))
-    digit_ratio = F.when(F.col("doc_id") % NULL_DIGIT_RATIO_MOD != NULL_DIGIT_RATIO_REM,
-                         F.round(F.try_divide(digits, n_chars), 6))
+    digit_ratio = F.round(F.try_divide(digits, n_chars), 6)
     cls = (F.when(F.col("quality") == 0, F.lit(ILLICIT))
             .when(F.col("quality") == 1, F.lit(LICIT))
             .otherwise(F.lit(UNKNOWN)))

@@ -171,15 +171,21 @@ def test_scores_from_counts_equal_evaluators(scored):
     assert abs(got["precision"] - row.precision) < 1e-9 and abs(got["recall"] - row.recall) < 1e-9
 
 
-def test_wide_correlation_equals_pairwise(spark):
+def test_correlation_rule_does_not_depend_on_the_width(spark):
     from ledgerlens.operators import profile
-    cols = [f"c{i}" for i in range(profile.WIDE_CORRELATION)]
-    df = spark.range(300).select(*[((F.col("id") * (i + 3)) % (17 + i)).cast("double").alias(c)
-                                   for i, c in enumerate(cols)])
-    wide = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, cols).collect()}
-    narrow = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, cols[:5]).collect()}
-    assert len(wide) == len(cols) ** 2
-    assert all(abs(wide[k] - v) < 1e-6 for k, v in narrow.items())
+    cols = [f"c{i}" for i in range(40)]
+    full = spark.range(300).select(*[((F.col("id") * (i + 3)) % (17 + i)).cast("double").alias(c)
+                                     for i, c in enumerate(cols)])
+    holes = full.select(*[F.when(F.pmod(F.xxhash64(c, F.lit(i)), F.lit(9)) > 0, F.col(c)).alias(c)
+                          for i, c in enumerate(cols)])
+    cells = lambda d, c, **k: {(r.a, r.b): r.r for r in profile.correlation_matrix(d, c, **k).collect()}
+    wide, narrow = cells(holes, cols), cells(holes, cols[:5])
+    assert len(wide) == len(cols) ** 2 and all(wide[k] == v for k, v in narrow.items())
+    pdf = holes.toPandas().corr()
+    assert all(abs(pdf.loc[a, b] - r) < 2e-6 for (a, b), r in wide.items())
+    complete = cells(holes, cols[:5], method="complete")
+    pdf = holes.select(*cols[:5]).toPandas().dropna().corr()
+    assert all(abs(pdf.loc[a, b] - r) < 2e-6 for (a, b), r in complete.items())
 
 
 def test_silhouette_lazy_path_equals_collect_path(spark):
