@@ -2,9 +2,10 @@
 
 Method.  Candidates and queries are dealt into blocks of bounded size, and every
 (query block, candidate block) pair is a task of its own.  In a task both sides
-get a cover tree: a level's nodes are points further apart than the level's
-radius, every point lies within the radius of a node, and radii shrink by a
-constant factor; splitting stops at small leaves.  With q0, c0 the points of two
+get a cover tree: a node's children are centres chosen farthest first, so they
+are further apart than the radius that covers the node's points, which go to
+their nearest centre; radii shrink by a constant factor down the tree or the
+centres reach a fixed number, and splitting stops at small leaves.  With q0, c0 the points of two
 nodes and rq, rc their covering radii, no pair below them scores more than
 q0.c0 + rc |q0| + rq |c0| + rq rc.  The search goes through node pairs, best bound
 first, and drops a pair whose bound is under the worst k-th score of the query
@@ -26,8 +27,8 @@ from pyspark.sql.window import Window
 
 from ledgerlens.llm.common import stored
 
-#: Rows of a candidate block and of a query block; points of a leaf; radius factor of a level.
-BLOCK, QUERY_BLOCK, LEAF, SHRINK = 8192, 2048, 64, 0.7
+#: Rows of a candidate block and of a query block; points of a leaf; radius factor of a level; most children of a node.
+BLOCK, QUERY_BLOCK, LEAF, SHRINK, FAN = 8192, 2048, 128, 0.7, 16
 
 
 def quantised(vector: Column, scale: int) -> Column:
@@ -45,53 +46,45 @@ class CoverTree:
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
         self.points = points
         n = len(points)
-        self.center, self.lo, self.hi, self.children = [0], [0], [n], [[]]
+        self.center, self.lo, self.hi, self.children, self.radius = [0], [0], [n], [[]], [0.0]
         self.order = np.arange(n)
-        far = np.sqrt(np.maximum(((points - points[0]) ** 2).sum(axis=1), 0)) if n else np.zeros(0)
-        self.radius = [float(far.max()) if n else 0.0]
-        todo = [(0, self.radius[0])]
+        if n:
+            self.radius = [float(np.sqrt(self._far(self.order, 0).max()))]
+        todo = [0]
         while todo:
-            node, radius = todo.pop()
+            node = todo.pop()
             lo, hi = self.lo[node], self.hi[node]
-            if hi - lo <= leaf:
-                continue
-            mine = self.order[lo:hi]
-            groups: list[np.ndarray] = [mine]
-            while radius > 0 and len(groups) == 1:
-                radius *= SHRINK
-                if radius < 1e-3:
-                    break
-                groups = self._net(mine, radius)
-            if len(groups) == 1:
+            if hi - lo <= leaf or self.radius[node] < 1e-9:
                 continue
             at = lo
-            for own in groups:
+            for center, own, radius in self._net(self.order[lo:hi], self.center[node], self.radius[node] * SHRINK):
                 self.order[at:at + len(own)] = own
                 child = len(self.center)
-                self.center.append(int(own[0]))
+                self.center.append(center)
                 self.lo.append(at)
                 self.hi.append(at + len(own))
-                self.radius.append(float(np.sqrt(((points[own] - points[own[0]]) ** 2).sum(axis=1).max())))
+                self.radius.append(radius)
                 self.children.append([])
                 self.children[node].append(child)
-                todo.append((child, radius))
+                todo.append(child)
                 at += len(own)
 
-    def _net(self, mine: np.ndarray, radius: float) -> list[np.ndarray]:
-        """Greedy net: points more than ``radius`` apart, each with the points
-        that it covers first (itself in front)."""
-        groups, rest = [], mine
-        while len(rest):
-            d = ((self.points[rest] - self.points[rest[0]]) ** 2).sum(axis=1)
-            near = d <= radius * radius
-            near[0] = True
-            groups.append(rest[near])
-            rest = rest[~near]
-            if len(groups) >= 64:  # covered in passes: the rest is one more node, split further on
-                if len(rest):
-                    groups.append(rest)
-                break
-        return groups
+    def _far(self, mine: np.ndarray, center: int) -> np.ndarray:
+        """Squared distances to a centre."""
+        return ((self.points[mine] - self.points[center]) ** 2).sum(axis=1)
+
+    def _net(self, mine: np.ndarray, center: int, radius: float) -> list[tuple[int, np.ndarray, float]]:
+        """(centre, points, covering radius) of the children: centres farthest
+        first until all points are within ``radius`` of one, or there are FAN."""
+        centers, near = [center], self._far(mine, center)
+        owner = np.zeros(len(mine), np.int64)
+        while len(centers) < FAN and near.max() > radius * radius or len(centers) < 2:
+            nxt = int(mine[near.argmax()])
+            d = self._far(mine, nxt)
+            closer = d < near
+            owner[closer], near[closer] = len(centers), d[closer]
+            centers.append(nxt)
+        return [(c, mine[owner == k], float(np.sqrt(near[owner == k].max()))) for k, c in enumerate(centers) if (owner == k).any()]
 
 
 def _search(queries: np.ndarray, q_ids: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int, exact: np.ndarray | None):
@@ -104,51 +97,55 @@ def _search(queries: np.ndarray, q_ids: np.ndarray, points: np.ndarray, ids: np.
     scores = np.zeros((len(queries), k), object if exact is not None and exact[0].dtype == object else np.int64)
     who = np.full((len(queries), k), -1, np.int64)
     found = np.zeros(len(queries), np.int64)
-    slack = 1 + 1e-9
     several = len(np.unique(ids)) < len(ids)
+    fast = exact is None and not several
+    q_center, q_radius = queries[qt.center], np.array(qt.radius)
+    c_center, c_radius = points[ct.center], np.array(ct.radius)
+    q_len, c_len = q_norm[qt.center], c_norm[ct.center]
 
-    def bound(q, c):
-        a, b = qt.center[q], ct.center[c]
-        rq, rc = qt.radius[q], ct.radius[c]
-        v = float(queries[a] @ points[b]) + rc * q_norm[a] + rq * c_norm[b] + rq * rc
-        return v + abs(v) * (slack - 1) + 1e-6
+    def bounds(qs, cs):
+        v = q_center[qs] @ c_center[cs].T + c_radius[cs][None, :] * q_len[qs][:, None] + q_radius[qs][:, None] * (c_len[cs] + c_radius[cs])[None, :]
+        return v + np.abs(v) * 1e-9 + 1e-6
 
     def base(q, c):
         a, b = qt.order[qt.lo[q]:qt.hi[q]], ct.order[ct.lo[c]:ct.hi[c]]
         s = queries[a] @ points[b].T if exact is None else exact[0][a] @ exact[1][b].T
-        for row, qi in enumerate(a):
-            own = s[row]
-            take = own >= (best[qi, -1] if found[qi] == k else -np.inf)
-            take &= ids[b] != q_ids[qi]
-            if not take.any():
-                continue
-            n = found[qi]
-            val = np.concatenate([scores[qi, :n], own[take]])
-            idv = np.concatenate([who[qi, :n], ids[b][take]])
-            o = np.lexsort((idv, -val)) if val.dtype != object else np.array(sorted(range(len(val)), key=lambda i: (-val[i], idv[i])))
+        own = ids[b][None, :] != q_ids[a][:, None]
+        live = np.flatnonzero(((s >= best[a, -1:]) & own).any(axis=1) if fast else own.any(axis=1))
+        if fast and len(live):
+            a, s = a[live], np.where(own[live], s[live], -np.inf)
+            val = np.concatenate([best[a], s], axis=1)
+            idv = np.concatenate([who[a], np.broadcast_to(ids[b], s.shape)], axis=1)
+            o = np.lexsort((idv, -val))[:, :k]
+            best[a], who[a] = np.take_along_axis(val, o, 1), np.take_along_axis(idv, o, 1)
+            return
+        for row in live:
+            qi, n = a[row], found[a[row]]
+            val = np.concatenate([scores[qi, :n], s[row][own[row]]])
+            idv = np.concatenate([who[qi, :n], ids[b][own[row]]])
+            o = np.array(sorted(range(len(val)), key=lambda i: (-val[i], idv[i])), int)
             if several:  # of an id's vectors the best counts
                 o = o[np.sort(np.unique(idv[o], return_index=True)[1])]
             o = o[:k]
             m = len(o)
-            scores[qi, :m], who[qi, :m], found[qi] = val[o], idv[o], m
-            best[qi, :m] = val[o].astype(float)
-
-    def worst(q):
-        a = qt.order[qt.lo[q]:qt.hi[q]]
-        return -np.inf if (found[a] < k).any() else best[a, -1].min()
+            scores[qi, :m], who[qi, :m], found[qi], best[qi, :m] = val[o], idv[o], m, val[o].astype(float)
 
-    stack = [(bound(0, 0), 0, 0)]
+    stack = [(np.inf, 0, 0)]
     while stack:
         top, q, c = stack.pop()
-        w = worst(q)
-        if top < w - abs(w) * 1e-9:
+        worst = best[qt.order[qt.lo[q]:qt.hi[q]], -1].min()  # -inf until all of them have k
+        if top < worst - abs(worst) * 1e-9:
             continue
-        qs, cs = qt.children[q] or [q], ct.children[c] or [c]
-        if qs == [q] and cs == [c]:
+        qs, cs = np.array(qt.children[q] or [q]), np.array(ct.children[c] or [c])
+        if not qt.children[q] and not ct.children[c]:
             base(q, c)
             continue
-        pairs = sorted((bound(x, y), x, y) for x in qs for y in cs)
-        stack.extend(pairs)  # the best bound is taken next
+        v = bounds(qs, cs)
+        o = np.argsort(v, axis=None)  # the best bound is taken next
+        stack.extend(zip(v.ravel()[o].tolist(), qs[o // len(cs)].tolist(), cs[o % len(cs)].tolist(), strict=True))
+    if fast:
+        found = np.isfinite(best).sum(axis=1)
+        scores = np.where(np.isfinite(best), best, 0).astype(np.int64)
     return scores, who, found
 
 
