@@ -34,12 +34,16 @@ def ratio(num, den, digits: int) -> Column:
     return F.round(F.try_divide(_c(num).cast("double"), _c(den)), digits)
 
 
+# Limits and labels of the case grades.
+EASY_AT, HARD_AT = 1.0, 0.0
+CASE_LABELS = ("EASY", "HARD", "AVERAGE")
+
+
 def case_type(rounded_ratio) -> Column:
     """Case grade on the *rounded* illicit-neighbour ratio."""
     r = _c(rounded_ratio)
-    return (F.when(r == 1.0, F.lit("EASY"))
-            .when(r == 0.0, F.lit("HARD"))
-            .otherwise(F.lit("AVERAGE")))
+    easy, hard, average = CASE_LABELS
+    return F.when(r == EASY_AT, F.lit(easy)).when(r == HARD_AT, F.lit(hard)).otherwise(F.lit(average))
 
 
 # Fixed values of the cluster interpretation rule (order matters).
@@ -54,12 +58,14 @@ def cluster_type(avg_out, avg_in) -> Column:
             .otherwise(F.lit("Low Activity")))
 
 
+# Feature families, found in the name in this order, and the rest.
+FEATURE_FAMILIES, OTHER_FAMILY = ("Local", "Aggregate"), "Augmented"
+
+
 def feature_group(name) -> Column:
     """Feature family from its name: Local, Aggregate, else Augmented."""
     n = _c(name)
-    return (F.when(n.contains("Local"), F.lit("Local"))
-            .when(n.contains("Aggregate"), F.lit("Aggregate"))
-            .otherwise(F.lit("Augmented")))
+    return F.coalesce(*[F.when(n.contains(f), F.lit(f)) for f in FEATURE_FAMILIES], F.lit(OTHER_FAMILY))
 
 
 def bin_index(x, lo, width, bins: int) -> Column:

@@ -55,16 +55,13 @@ def stratified_sample(ds: DataFrame, fractions: Mapping[int, float], label_col:
                       id_col: str = "txId", method: str = "hash", seed: int = 42) -> DataFrame:
     """Keep a ``fractions[label]`` share of each label; labels not listed are
     kept whole.  ``method='hash'`` picks rows by a hash of the id (the same rows
-    for any partitioning or retry); ``'random'`` uses ``sampleBy`` with a seed."""
-    if method == "random":
-        full = {r[0]: 1.0 for r in ds.select(label_col).distinct().collect()}   # label values
-        return ds.sampleBy(label_col, {**full, **dict(fractions)}, seed)
-    if method != "hash":
+    for any partitioning or retry); ``'random'`` draws per row with a seed."""
+    if method not in ("hash", "random"):
         raise ValueError(method)
-    bucket = hash_bucket(id_col, SAMPLE_BUCKETS)
+    draw = F.rand(seed) if method == "random" else hash_bucket(id_col, SAMPLE_BUCKETS) / F.lit(float(SAMPLE_BUCKETS))
     keep = F.lit(True)
     for label, frac in fractions.items():
-        keep = F.when(F.col(label_col) == label, bucket < F.lit(frac * SAMPLE_BUCKETS)).otherwise(keep)
+        keep = F.when(F.col(label_col) == label, draw < F.lit(float(frac))).otherwise(keep)
     return ds.where(keep)
 
 
@@ -81,8 +78,9 @@ def downsample_majority(ds: DataFrame, ratio: float = 1.0, label_col: str = "lab
 
 
 def fold_column(id_col: str = "txId", folds: int = 5):
-    """Deterministic CV fold from the id (independent of partitioning)."""
-    return F.pmod(F.col(id_col), F.lit(folds)).cast("int")
+    """Deterministic CV fold from a hash of the id (independent of partitioning
+    and of any structure in the ids)."""
+    return hash_bucket(id_col, folds)
 
 
 def standardise_columns(df: DataFrame, cols: Sequence[str], fit: DataFrame | None = None,

@@ -134,6 +134,10 @@ def curve_areas(scored: DataFrame, score_col: str = "score", label_col: str = "l
         F.round(F.sum((rec - rec0) * (prec + prec0) / 2), digits).alias("auc_pr"))
 
 
+#: More distinct ids than this are no clustering (their sums are columns of one row).
+MOST_CLUSTERS = 1000
+
+
 def silhouette(df: DataFrame, feature_cols: Sequence[str], cluster_col: str = "prediction",
                digits: int = 6, cluster_ids: Sequence[int] | None = None) -> DataFrame:
     """Mean silhouette with squared Euclidean distance (as ClusteringEvaluator).
@@ -146,7 +150,10 @@ def silhouette(df: DataFrame, feature_cols: Sequence[str], cluster_col: str = "p
     k distinct ids are fetched first.
     """
     if cluster_ids is None:
-        cluster_ids = sorted(r[0] for r in df.select(cluster_col).distinct().collect())  # k rows
+        found = df.select(cluster_col).distinct().limit(MOST_CLUSTERS + 1).collect()
+        if len(found) > MOST_CLUSTERS:
+            raise ValueError(f"{cluster_col} has more than {MOST_CLUSTERS} values; not a cluster id")
+        cluster_ids = sorted(r[0] for r in found)
     if len(cluster_ids) < 2:
         raise ValueError("silhouette needs at least two clusters")
     cid_col = F.col(cluster_col)

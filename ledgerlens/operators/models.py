@@ -28,6 +28,8 @@ from ledgerlens.session import rightsized
 RF_TREES, RF_DEPTH, SEED = 100, 10, 42
 LR_MAX_ITER, LR_REG = 100, 0.01
 GRID_TREES, GRID_DEPTHS = (50, 100), (5, 10)
+# Ours: the analysed script never tunes the logistic regression.
+GRID_REGS = (0.001, LR_REG, 0.1)
 N_FOLDS = 5
 
 
@@ -105,9 +107,16 @@ def rule_scored(ds: DataFrame, score_col: str, threshold: float, id_col: str = "
                      (s > threshold).cast("double").alias("prediction"))
 
 
-def param_grid(rf: RandomForestClassifier, trees=GRID_TREES, depths=GRID_DEPTHS):
-    return (ParamGridBuilder().addGrid(rf.numTrees, list(trees))
-                              .addGrid(rf.maxDepth, list(depths)).build())
+def param_grid(clf, **values):
+    """Grid over the named parameters of ``clf``; without any, the default grid
+    of a forest (trees x depth) or a logistic regression (regularisation)."""
+    if not values:
+        values = ({"numTrees": GRID_TREES, "maxDepth": GRID_DEPTHS} if isinstance(clf, RandomForestClassifier)
+                  else {"regParam": GRID_REGS})
+    grid = ParamGridBuilder()
+    for name, choices in values.items():
+        grid = grid.addGrid(clf.getParam(name), list(choices))
+    return grid.build()
 
 
 def cross_validate(train: DataFrame, estimator: Pipeline, grid, folds: int = N_FOLDS,
@@ -132,6 +141,26 @@ def cross_validate(train: DataFrame, estimator: Pipeline, grid, folds: int = N_F
     return model, scores
 
 
+def select_models(train: DataFrame, classifiers: dict, cols: Sequence[str], folds: int = N_FOLDS,
+                  id_col: str = "txId") -> tuple[dict[str, PipelineModel], DataFrame]:
+    """Cross-validate each classifier over its default grid; returns (name ->
+    the winning pipeline, refitted on all of ``train``) and the score table
+    (model, params, avg_auc_pr, selected)."""
+    best, scores = {}, None
+    for name, clf in classifiers.items():
+        cv, own = cross_validate(train, fraud_estimator(clf, cols), param_grid(clf), folds, id_col)
+        best[name] = cv.bestModel
+        top = max(cv.avgMetrics)
+        own = own.select(F.lit(name).alias("model"), "params", "avg_auc_pr",
+                         (F.col("avg_auc_pr") == F.lit(float(top))).alias("selected"))
+        scores = own if scores is None else scores.unionByName(own)
+    return best, scores
+
+
+def default_classifiers() -> dict:
+    return {"Random Forest": forest(), "Logistic Regression": logistic()}
+
+
 def evaluate(pred: DataFrame) -> dict:
     """accuracy, f1, auc_pr, precision, recall of a scored table: one
     aggregation for the confusion counts (accuracy, weighted F1, precision and
@@ -164,6 +193,7 @@ def feature_importance(model: PipelineModel, cols: Sequence[str]) -> DataFrame:
 
 
 def importance_groups(importance: DataFrame, k: int = 20) -> DataFrame:
-    """Top-k features with their family (Local / Aggregate / Augmented)."""
+    """Top-k features (by importance, then name) with their family from the name
+    (Local / Aggregate / Augmented)."""
     return (importance.orderBy(F.desc("importance"), "feature").limit(k)
                       .withColumn("group", feature_group("feature")))

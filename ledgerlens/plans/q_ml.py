@@ -4,6 +4,8 @@ q_metrics / q_wallets, and the models are unit-tested for hold-out quality)."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from ledgerlens.operators import clustering, dataset, metrics, models, wallets
 from ledgerlens.plans.queries import register
 from ledgerlens.session import materialize, persisted, rightsized
@@ -15,65 +17,60 @@ def _split(t):
     return dataset.temporal_split(ds)
 
 
-def _fitted(t, clf):
+def _selected(t, *names):
+    """The cross-validated winners of the named classifiers, the held-out rows
+    and the score table."""
     train, test = _split(t)
-    return models.fit(train, clf, DOC_FEATURE_COLS), test
+    wanted = {n: c for n, c in models.default_classifiers().items() if n in names or not names}
+    best, scores = models.select_models(train, wanted, DOC_FEATURE_COLS)
+    return best, test, scores
 
 
 @register("rf_predictions", None)
 def rf_predictions(t):
-    model, test = _fitted(t, models.forest())
-    return models.predictions(model, test)
+    best, test, _ = _selected(t, "Random Forest")
+    return models.predictions(best["Random Forest"], test)
 
 
 @register("lr_predictions", None)
 def lr_predictions(t):
-    model, test = _fitted(t, models.logistic())
-    return models.predictions(model, test)
+    best, test, _ = _selected(t, "Logistic Regression")
+    return models.predictions(best["Logistic Regression"], test)
 
 
 @register("cv_scores", None)
 def cv_scores(t):
-    train, _ = _split(t)
-    rf = models.forest()
-    _, scores = models.cross_validate(train, models.fraud_estimator(rf, DOC_FEATURE_COLS),
-                                      models.param_grid(rf))
-    return scores
+    return _selected(t)[2]
 
 
 @register("rf_feature_importance", None)
 def rf_feature_importance(t):
-    model, _ = _fitted(t, models.forest())
-    return models.feature_importance(model, DOC_FEATURE_COLS)
+    best, _, _ = _selected(t, "Random Forest")
+    return models.feature_importance(best["Random Forest"], DOC_FEATURE_COLS)
 
 
 @register("importance_groups", None)
 def importance_groups(t):
-    model, _ = _fitted(t, models.forest())
-    return models.importance_groups(models.feature_importance(model, DOC_FEATURE_COLS), 20)
-
-
-def _held_out(t):
-    train, test = _split(t)
-    fitted = models.fit_many(train, {"Random Forest": models.forest(),
-                                     "Logistic Regression": models.logistic()}, DOC_FEATURE_COLS)
-    return {name: m.transform(test) for name, m in fitted.items()}
+    best, _, _ = _selected(t, "Random Forest")
+    return models.importance_groups(models.feature_importance(best["Random Forest"], DOC_FEATURE_COLS), 20)
 
 
 @register("model_comparison", None)
 def model_comparison(t):
+    best, test, _ = _selected(t)
     results = {}
-    for name, pred in _held_out(t).items():
-        with persisted(pred) as p:           # scanned by four evaluations
+    for name, model in best.items():
+        with persisted(model.transform(test)) as p:           # scanned by two evaluations
             results[name] = models.evaluate(p)
     return models.model_comparison(t.spark, results)
 
 
 @register("model_confusion_matrix", None)
 def model_confusion_matrix(t):
+    best, test, _ = _selected(t)
     out = None
-    for name, p in _held_out(t).items():
-        m = metrics.confusion_matrix(metrics.confusion_counts(p), name)
+    for name, model in best.items():
+        m = metrics.confusion_matrix(metrics.confusion_counts(model.transform(test)), name)
         out = m if out is None else out.unionByName(m)
     return out
 
@@ -82,6 +79,19 @@ def _wallet_features(t):
     return wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes)
 
 
+@contextmanager
+def _scaled_wallets(t):
+    """The wallet table with its scaled vector, persisted without the raw vector;
+    the unscaled copy is released once the scaler is fitted."""
+    with persisted(rightsized(_wallet_features(t))) as wf:
+        slim = clustering.scaled(wf, wallets.WALLET_FEATURES).select("address", "class", *wallets.WALLET_FEATURES, "features").persist()
+        slim.count()
+    try:
+        yield slim
+    finally:
+        slim.unpersist()
+
+
 def _best_clusters(scaled):
     scores, fitted = clustering.kmeans_sweep(scaled)
     return scores, clustering.best_clustering(scaled, scores, fitted)
@@ -89,23 +99,20 @@ def _best_clusters(scaled):
 
 @register("kmeans_sweep", None)
 def kmeans_sweep(t):
-    with persisted(rightsized(_wallet_features(t))) as wf, \
-            persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
+    with _scaled_wallets(t) as scaled:
         scores, _ = clustering.kmeans_sweep(scaled)
         return materialize(scores)
 
 
 @register("kmeans_profile", None)
 def kmeans_profile(t):
-    with persisted(rightsized(_wallet_features(t))) as wf, \
-            persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
+    with _scaled_wallets(t) as scaled:
         _, clustered = _best_clusters(scaled)
         return materialize(wallets.cluster_types(wallets.cluster_profile(clustered)))
 
 
 @register("wallet_pca", None)
 def wallet_pca(t):
-    with persisted(rightsized(_wallet_features(t))) as wf, \
-            persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
+    with _scaled_wallets(t) as scaled:
         _, clustered = _best_clusters(scaled)
         return materialize(clustering.pca_2d(clustered, keep=["address", "prediction"]))

@@ -18,18 +18,19 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import (cases, classes, clustering, dataset, graph, metrics, models,
                                   profile, temporal, wallets)
 from ledgerlens.session import materialize, persisted, rightsized
-from ledgerlens.sources.sinks import write_result
+from ledgerlens.sources.sinks import write_predictions, write_result
 
 # Fixed values of the analysed script's report (sizes of its top lists, bins).
 TOP_HUBS, TOP_WALLETS, TOP_RATIO = 20, 15, 500
 DEGREE_BINS, RATIO_BINS = 60, 30
 
 # result tables that grow with the data: written as many files
-LARGE = {"roc_curve", "pr_curve", "wallet_pca", "predictions"}
+LARGE = {"roc_curve", "pr_curve", "wallet_pca", "predictions", "degree_distribution"}
 
 
 def _relational(t, shared: list) -> dict[str, DataFrame]:
@@ -85,9 +86,12 @@ def _models(t, cross_validation: bool) -> dict[str, DataFrame]:
     ds = dataset.labelled_dataset(t.txs_features, t.doc_classes)
     cols = dataset.feature_columns(ds)
     train, test = dataset.temporal_split(ds)
-    fitted = models.fit_many(train, {"Random Forest": models.forest(),
-                                     "Logistic Regression": models.logistic()}, cols)
-    out, results, confusion = {}, {}, None
+    out, results, confusion, predicted = {}, {}, None, None
+    # with cross-validation the winners are what is reported
+    if cross_validation:
+        fitted, out["cv_scores"] = models.select_models(train, models.default_classifiers(), cols)
+    else:
+        fitted = models.fit_many(train, models.default_classifiers(), cols)
     for name, model in fitted.items():
         with persisted(models.score_column(model.transform(test))) as pred:
             results[name] = models.evaluate(pred)
@@ -96,15 +100,14 @@ def _models(t, cross_validation: bool) -> dict[str, DataFrame]:
             if name == "Random Forest":
                 out["roc_curve"] = materialize(metrics.roc_curve(pred))
                 out["pr_curve"] = materialize(metrics.pr_curve(pred))
+            own = materialize(pred.select("txId", "label", "prediction", F.lit(name).alias("model")))
+            predicted = own if predicted is None else predicted.unionByName(own)
     out["model_comparison"] = models.model_comparison(t.spark, results)
     out["confusion_matrices"] = materialize(confusion)
+    out["predictions"] = predicted
     importance = models.feature_importance(fitted["Random Forest"], cols)
     out["feature_importance"] = importance
     out["importance_groups"] = models.importance_groups(importance)
-    if cross_validation:
-        rf = models.forest()
-        _, out["cv_scores"] = models.cross_validate(train, models.fraud_estimator(rf, cols),
-                                                    models.param_grid(rf))
     return out
 
 
@@ -143,8 +146,11 @@ def write_report(t, out_dir: str, fmt: str = "csv", models_too: bool = True,
     try:
         tables = report_tables(t, models_too, cross_validation, shared)
         for name, df in tables.items():
-            write_result(df, f"{out_dir.rstrip('/')}/{name}", fmt=fmt,
-                         single_file=name not in LARGE)
+            path = f"{out_dir.rstrip('/')}/{name}"
+            if name == "predictions":
+                write_predictions(df, path, fmt=fmt, keep=["model"])
+            else:
+                write_result(df, path, fmt=fmt, single_file=name not in LARGE)
     finally:
         for df in shared:
             df.unpersist()

@@ -8,12 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 
+def strict_cast(col: Column, data_type, name: str) -> Column:
+    """Cast that raises on a malformed value, whatever the ANSI setting; null and
+    empty cells stay null.  All CSV paths follow this one rule (FAILFAST)."""
+    cast = col.try_cast(data_type)
+    bad = F.raise_error(F.concat(F.lit(f"malformed value in column {name}: "), col.cast("string")))
+    return F.when(col.isNull() | (F.trim(col.cast("string")) == ""), F.lit(None).cast(data_type)).when(
+        cast.isNotNull(), cast).otherwise(bad.cast(data_type)).alias(name)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet", header_names: Mapping[str, str] | None = None) -> DataFrame:
     """Read one table.
@@ -32,8 +41,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
             # read by header name as strings, then rename and cast
             raw = (spark.read.option("header", True).option("enforceSchema", False)
                    .csv(path))
-            return raw.select(*[F.col(f"`{header_names.get(f.name, f.name)}`").try_cast(f.dataType)
-                                .alias(f.name) for f in schema.fields])
+            return raw.select(*[strict_cast(F.col(f"`{header_names.get(f.name, f.name)}`"), f.dataType, f.name)
+                                for f in schema.fields])
         return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     df = spark.read.format(fmt).load(path)
     if schema is None:

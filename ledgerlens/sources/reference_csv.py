@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.sources import schemas
-from ledgerlens.sources.catalog import read_optional, read_table
+from ledgerlens.sources.catalog import read_optional, read_table, strict_cast
 
 # File names of the dataset layout.
 FILES = {
@@ -29,7 +29,10 @@ FILES = {
     "addr_addr": "AddrAddr_edgelist.csv",
     "addr_tx": "AddrTx_edgelist.csv",
     "tx_addr": "TxAddr_edgelist.csv",
+    "wallets_features": "wallets_features.csv",
+    "wallets_features_combined": "wallets_features_classes_combined.csv",
 }
+OPTIONAL_WALLET_TABLES = ("wallets_features", "wallets_features_combined")
 TIME_STEP_HEADER = "Time step"
 
 
@@ -78,13 +81,28 @@ class CsvTables:
         for c in raw.columns:
             src = F.col(f"`{c}`")
             if c == "txId":
-                cols.append(src.try_cast("bigint").alias("txId"))
+                cols.append(strict_cast(src, "bigint", "txId"))
             elif c == TIME_STEP_HEADER:
-                cols.append(src.try_cast("int").alias("time_step"))
+                cols.append(strict_cast(src, "int", "time_step"))
             else:
-                cols.append(src.try_cast("double").alias(c))
+                cols.append(strict_cast(src, "double", c))
         return raw.select(*cols)
 
+    def _wallet_table(self, key: str) -> DataFrame | None:
+        """address as it is, every other column as double; None when absent."""
+        raw = read_optional(self.spark, self._path(key), fmt="csv")
+        if raw is None:
+            return None
+        return raw.select(*[F.col("address") if c == "address" else strict_cast(F.col(f"`{c}`"), "double", c) for c in raw.columns])
+
+    @cached_property
+    def wallets_features(self) -> DataFrame | None:
+        return self._wallet_table("wallets_features")
+
+    @cached_property
+    def wallets_features_combined(self) -> DataFrame | None:
+        return self._wallet_table("wallets_features_combined")
+
     @cached_property
     def tx_steps(self) -> DataFrame | None:
         f = self.txs_features
@@ -101,4 +119,7 @@ class CsvTables:
                "addr_tx": self.addr_tx, "tx_addr": self.tx_addr}
         if self.txs_features is not None:
             out["txs_features"] = self.txs_features
+        for key in OPTIONAL_WALLET_TABLES:
+            if getattr(self, key) is not None:
+                out[key] = getattr(self, key)
         return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
@@ -20,7 +22,7 @@ def write_result(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
 
 
 def write_predictions(scored: DataFrame, path: str, id_col: str = "txId",
-                      fmt: str = "parquet") -> None:
-    """Write (id, label, prediction) of a scored table, overwriting."""
-    cols = scored.select(id_col, "label", scored["prediction"].cast("int").alias("prediction"))
+                      fmt: str = "parquet", keep: Sequence[str] = ()) -> None:
+    """Write (``keep``..., id, label, prediction) of a scored table, overwriting."""
+    cols = scored.select(*keep, id_col, "label", scored["prediction"].cast("int").alias("prediction"))
     write_result(cols, path, fmt=fmt)

@@ -30,6 +30,23 @@ PATTERNS = {
 }
 
 
+def final_plan(tree: str) -> str:
+    """The tree without the "Initial Plan" blocks that adaptive subqueries carry
+    beside their final plan."""
+    out, skip = [], None
+    for line in tree.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None:
+            if depth >= skip:
+                continue
+            skip = None
+        if "== Initial Plan ==" in line:
+            skip = depth
+            continue
+        out.append(line)
+    return "\n".join(out)
+
+
 def main(argv) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=16)
@@ -53,7 +70,7 @@ def main(argv) -> None:
         plan_node = df._jdf.queryExecution().executedPlan()
         if plan_node.nodeName() == "AdaptiveSparkPlan":
             plan_node = plan_node.executedPlan()
-        plan = plan_node.treeString()
+        plan = final_plan(plan_node.treeString())
         c = Counter({k: len(re.findall(p, plan)) for k, p in PATTERNS.items()})
         # a ReusedExchange line also names the exchange it reuses
         c["hash shuffle"] -= len(re.findall(r"ReusedExchange[^\n]*hashpartitioning", plan))

@@ -44,7 +44,7 @@ def test_same_seed_same_predictions(split):
 def test_cross_validate_reports_each_grid_point(split):
     train, _ = split
     rf = models.forest(num_trees=5, max_depth=3)
-    grid = models.param_grid(rf, trees=(5,), depths=(2, 3))
+    grid = models.param_grid(rf, numTrees=(5,), maxDepth=(2, 3))
     _, scores = models.cross_validate(train, models.fraud_estimator(rf, DOC_FEATURE_COLS), grid,
                                       folds=3)
     rows = scores.collect()
@@ -94,3 +94,51 @@ def test_assert_unique(spark):
     with pytest.raises(ValueError):
         catalog.assert_unique(df, "txId")
     assert catalog.assert_unique(df, ["txId", "class"]) is df
+
+
+def test_reported_models_are_the_cross_validated_winners(split, monkeypatch):
+    monkeypatch.setattr(models, "GRID_TREES", (3, 8))
+    monkeypatch.setattr(models, "GRID_DEPTHS", (1, 4))
+    train, test = split
+    best, scores = models.select_models(train, {"Random Forest": models.forest(5, 2), "Logistic Regression": models.logistic()},
+                                        DOC_FEATURE_COLS, folds=3)
+    rows = scores.collect()
+    assert {r.model for r in rows} == set(best) and len(rows) == 4 + len(models.GRID_REGS)
+    for name, model in best.items():
+        own = [r for r in rows if r.model == name]
+        top = max(own, key=lambda r: r.avg_auc_pr)
+        assert top.selected
+        chosen = dict(p.split("=") for p in top.params.split(", "))
+        clf = model.stages[-1]
+        for k, v in chosen.items():
+            assert float(clf.getOrDefault(k)) == float(v)
+        assert models.predictions(model, test).count() == test.count()
+
+
+def test_importance_groups_by_name(spark):
+    imp = spark.createDataFrame([("Local_1", 0.3), ("Aggregate_2", 0.4), ("in_degree", 0.2), ("Local_9", 0.05), ("Aggregate_1", 0.05)],
+                                "feature string, importance double")
+    got = [(r.feature, r.group) for r in models.importance_groups(imp, 4).collect()]
+    assert got == [("Aggregate_2", "Aggregate"), ("Local_1", "Local"), ("in_degree", "Augmented"), ("Aggregate_1", "Aggregate")]
+
+
+def test_malformed_csv_values_fail(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("txId,Time step\n1,3\n2,three\n")
+    schema = T.StructType([T.StructField("txId", T.LongType()), T.StructField("time_step", T.IntegerType())])
+    df = catalog.read_table(spark, str(tmp_path / "f.csv"), schema, fmt="csv", header_names={"time_step": "Time step"})
+    with pytest.raises(Exception, match="malformed value in column time_step"):
+        df.collect()
+
+
+def test_optional_wallet_tables(spark, tmp_path):
+    from ledgerlens.sources.reference_csv import CsvTables
+    assert CsvTables(spark, str(tmp_path)).wallets_features is None
+    (tmp_path / "wallets_features.csv").write_text("address,fee mean,n.txs\na,1.5,2\nb,,3\n")
+    t = CsvTables(spark, str(tmp_path)).wallets_features
+    assert sorted(t.collect()) == [("a", 1.5, 2.0), ("b", None, 3.0)]
+
+
+def test_report_writes_predictions(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1, 1.0, "m"), (2, 0, 0.0, "m")], "txId long, label int, prediction double, model string")
+    sinks.write_predictions(df, str(tmp_path / "p"), keep=["model"])
+    assert sorted(spark.read.parquet(str(tmp_path / "p")).collect()) == [("m", 1, 1, 1), ("m", 2, 0, 0)]

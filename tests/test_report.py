@@ -58,7 +58,7 @@ def test_report_without_feature_file_uses_synthetic_steps(spark, csv_dir):
     import shutil
     d = tempfile.mkdtemp(prefix="ll-ref-nofeat-")
     for key, fname in FILES.items():
-        if key != "txs_features":
+        if key != "txs_features" and os.path.isdir(os.path.join(csv_dir, fname)):
             shutil.copytree(os.path.join(csv_dir, fname), os.path.join(d, fname))
     ct = CsvTables(spark, d)
     assert ct.txs_features is None and ct.tx_steps is None
