@@ -9,9 +9,9 @@ from ledgerlens.operators import cases, graph, temporal
 from ledgerlens.plans.tables import Tables
 
 FACTS = {  # sf dir -> (edges, distinct sources, nodes, max degree, EASY, HARD, AVERAGE, addr_addr)
-    "/root/testdata/sf0.001": (1506, 966, 1039, 10, 57, 200, 60, 6000),
-    "/root/testdata/sf0.01": (15173, 9511, 10205, 12, 693, 1702, 708, 60000),
-    "/root/testdata/sf0.1": (151744, 95254, 102003, 14, 7027, 17442, 6865, 600000),
+    "/root/testdata/sf0.001": (5790, 1466, 1473, 24, 24, 114, 343, 6000),
+    "/root/testdata/sf0.01": (57986, 14706, 14743, 26, 281, 1268, 3294, 60000),
+    "/root/testdata/sf0.1": (579990, 146839, 147236, 33, 2659, 12783, 33151, 600000),
 }
 
 
