@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import scratch_path
+from ledgerlens.session import stored  # noqa: F401  (the operators take it from here)
 
 #: A word, as every contract of this package defines it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,20 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder of
-    ``spark.checkpoint.dir`` and read back: lineage is cut, every reader sees
-    the same rows, lost executors cost nothing, and Catalyst knows the real
-    size.  The files go when the driver's JVM ends."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if its counted ``rows`` are within ``limit``;
     beyond it the join is left to Catalyst (shuffle join, AQE skew splitting)."""
