@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import shield, slices, small_side, stored, text_buffer, word_spans
 
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+").findall
 
 _CLASSES = np.zeros((7, 256), bool)

@@ -28,7 +28,7 @@ from ledgerlens.llm.components import connected_components
 #: Mean members of a first-level block, and the most that one task compares at once.
 BLOCK_MEAN, BLOCK_MOST = 512, 4096
 #: Bytes of text that one numpy step takes.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 # -- fingerprints ---------------------------------------------------------
