@@ -3,7 +3,7 @@
 Method.  Words get 64-bit hashes, every window of ``window`` consecutive words a
 Rabin-Karp hash of its word hashes.  Map tasks cut their rows into batches and
 deal each batch's window hashes out by their leading bits into compact binary
-blocks (7 bytes a hash and about 1 a position).  Within a batch a window
+blocks (7 bytes a hash, about 1 a position and 1 an id).  Within a batch a window
 seen in a smaller doc_id is settled at once and only the smallest document's
 windows travel, so a passage that a third of all documents share reaches its
 bucket once per batch.  Each bucket counts its hashes over all batches and
@@ -33,6 +33,10 @@ STEP_BYTES = 2 << 20
 BUCKET_WINDOWS = 4 << 20
 #: doc_id of null ids inside the blocks: after every other one.
 NO_ID = np.iinfo(np.int64).max
+#: Windows that a map task gathers per bucket before it deals them out, so that
+#: blocks stay long where buckets are many; the most it gathers; and the most
+#: leading bits (beyond 2**18 buckets these hold more than BUCKET_WINDOWS).
+BLOCK_WINDOWS, MOST_GATHERED, MOST_BITS = 64, 1 << 23, 18
 
 _BASE, _WORD_BASE = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -130,33 +134,42 @@ def _blocks(window: int, bits: int):
         from pyspark import TaskContext
 
         hasher, serial = Hasher(), TaskContext.get().partitionId() << 32
+        held: list[tuple] = []
         for rows in batches:
-            ids = np.array(rows.column(0).fill_null(int(NO_ID)))
-            order = np.argsort(ids, kind="stable")
-            ids, keys = ids[order], np.array(rows.column(1))[order]
-            text = rows.column(2).fill_null("").take(pa.array(order))
-            whole, off = text_buffer(text)
+            ids, keys = np.array(rows.column(0).fill_null(int(NO_ID))), np.array(rows.column(1))
+            whole, off = text_buffer(rows.column(2).fill_null(""))
             for a, b in slices(off, STEP_BYTES):
                 buf = whole[off[a]:off[b]]
                 starts, ends, first = word_spans(buf, off[a:b + 1] - off[a])
                 hashes, at = hasher.windows(hasher.words(buf, starts, ends), first, window)
-                if not len(hashes):
-                    continue
-                serial += 1
-                yield from _deal(serial, ids[a:b], keys[a:b], hashes, at, bits)
+                if len(hashes):
+                    held.append((ids[a:b], keys[a:b], np.diff(at), hashes))
+                if sum(len(x[3]) for x in held) >= min(BLOCK_WINDOWS << bits, MOST_GATHERED):
+                    serial += 1
+                    yield from _deal(serial, held, bits)
+                    held = []
+        if held:
+            yield from _deal(serial + 1, held, bits)
 
     return run
 
 
-def _deal(serial, ids, keys, hashes, at, bits):
-    texts = np.repeat(np.arange(len(ids)), np.diff(at))
+def _deal(serial: int, held: list[tuple], bits: int):
+    """One batch: its texts in order of id, what it settles itself, and a block
+    of window hashes for every bucket."""
+    ids, keys, n, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(ids, kind="stable")
+    begin = np.cumsum(n) - n
+    ids, keys, n, begin = ids[order], keys[order], n[order], begin[order]
+    at = np.cumsum(n)
+    hashes = hashes[np.repeat(begin - (at - n), n) + np.arange(len(hashes))]
+    texts = np.repeat(np.arange(len(ids)), n)
     by_hash = np.argsort(hashes, kind="stable")
     new = np.concatenate([[True], np.diff(hashes[by_hash].view(np.int64)) != 0])
     least = ids[texts[by_hash[np.flatnonzero(new)]]][np.cumsum(new) - 1]
     later = np.zeros(len(hashes), bool)
     later[by_hash] = ids[texts[by_hash]] > least
-    told, counts = _spread(ids), _pack(at[1:])
-    out = [(-1 - (serial & 0x7FFFFFFF), serial, told, counts, _pack(np.flatnonzero(later)), keys.tobytes())]
+    out = [(-1 - serial, serial, _spread(ids), _pack(at), _pack(np.flatnonzero(later)), keys.tobytes())]
     rest = np.flatnonzero(~later)
     bucket = (hashes[rest] >> np.uint64(64 - bits)).astype(np.uint32)
     dealt = np.argsort(bucket.astype(np.uint16) if bits <= 16 else bucket, kind="stable")
@@ -164,7 +177,7 @@ def _deal(serial, ids, keys, hashes, at, bits):
     edges = np.flatnonzero(np.diff(bucket[dealt])) + 1
     for part in np.split(dealt, edges):
         spots = rest[part]
-        out.append((int(bucket[part[0]]), serial, told, counts, _pack(spots), low[spots].tobytes()))
+        out.append((int(bucket[part[0]]), serial, _spread(ids[texts[spots]]), b"", _pack(spots), low[spots].tobytes()))
     cols = list(zip(*out, strict=True))
     types = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
     names = [c.split()[0] for c in BLOCK.split(", ")]
@@ -178,7 +191,7 @@ def _count(pdf: pd.DataFrame) -> pd.DataFrame:
     if pdf.bucket.iloc[0] < 0:  # what a batch settled itself passes through
         return pdf.drop(columns="bucket")
     spots = [_unpack(x) for x in pdf.spots]
-    docs = [_gather(i)[np.searchsorted(_unpack(w), s, "right")] for i, w, s in zip(pdf.ids, pdf.windows, spots, strict=True)]
+    docs = [_gather(i) for i in pdf.ids]
     lens = [len(s) for s in spots]
     raw = np.zeros((sum(lens), 8), np.uint8)
     raw[:, :7] = np.frombuffer(b"".join(pdf.hashes), np.uint8).reshape(-1, 7)
@@ -233,7 +246,7 @@ def removal_intervals(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"),
                        F.col(text_col).alias("text"))
     n_bytes = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(6, int(n_bytes // 6 // BUCKET_WINDOWS).bit_length())
+    bits = min(MOST_BITS, max(6, int(n_bytes // 6 // BUCKET_WINDOWS).bit_length()))
     blocks = slim.mapInArrow(_blocks(window, bits), BLOCK)
     back = blocks.groupBy("bucket").applyInPandas(_count, "batch long, ids binary, windows binary, spots binary, hashes binary")
     found = back.groupBy("batch").applyInPandas(_intervals(window), "doc_id long, key long, starts array<int>, ends array<int>")
