@@ -24,7 +24,7 @@ from ledgerlens.plans.tables import Tables  # noqa: E402
 from ledgerlens.session import get_session, scratch_path  # noqa: E402
 
 #: Queries that train whole grids: run once, not BENCH_REPEAT times.
-ONCE = {"cv_scores"}
+ONCE = {"cv_scores", "lr_predictions"}
 
 # stage of the analysed pipeline -> headline queries
 STAGES = {
