@@ -13,8 +13,9 @@ No piece holds a space mark after another character, and characters of no piece
 never merge, so the automaton is back in its start state there
 (synchronising points).  A chunk cut anywhere maps an unknown incoming state to
 (head before its first such point, tokens inside, tail after its last one);
-these chunk maps compose associatively, and a long text's chunks are folded by
-a balanced prefix scan.
+these chunk maps compose associatively.  A long text's maps are applied one
+after the other to the state carried so far, so that a chunk without such a
+point is run once and only one chunk is held besides the text.
 """
 
 from __future__ import annotations
@@ -81,12 +82,28 @@ class Transducer(dict):
         self._reset()
 
     # -- compilation ------------------------------------------------------
-    def _reset(self) -> None:
+    def _reset(self, carried: int = 0) -> int:
+        """Empty tables but for one state; its new number."""
         start = ((0, "", 0),)
+        held, members = (self.states[carried], self._members) if carried else (start, [])
         self.states, self.ids, self.steps = [start], {start: 0}, [{}]
         self._kin: dict[tuple[int, str | int], str | int | None] = {}
         self._classes: dict[tuple[str, ...], int] = {}
         self._members: list[tuple[str, ...]] = []
+        if not carried:
+            return 0
+        key = tuple([(n, self._class(members[b]) if b.__class__ is int else b, s) for n, b, s in held])
+        self.ids[key] = 1
+        self.states.append(key)
+        self.steps.append({})
+        return 1
+
+    def _class(self, allowed: tuple[str, ...]) -> int:
+        """The number of a class of tokens, by the pieces that may follow them."""
+        out = self._classes.setdefault(allowed, len(self._classes))
+        if out == len(self._members):
+            self._members.append(allowed)
+        return out
 
     def merged(self, text: str) -> list[str]:
         """The tokenizer's merges on a short string: best rank first, leftmost."""
@@ -172,9 +189,7 @@ class Transducer(dict):
                 out = before
             else:
                 allowed = tuple(p for p in pieces if self.fits(before, p))
-                out = self._classes.setdefault(allowed, len(self._classes)) if allowed else None
-                if out is not None and out == len(self._members):
-                    self._members.append(allowed)
+                out = self._class(allowed) if allowed else None
             self._kin[key] = out
         return self._kin[key]
 
@@ -210,14 +225,19 @@ class Transducer(dict):
         return out
 
     # -- running ----------------------------------------------------------
-    def __missing__(self, word: str) -> int:
+    def run(self, state: int, text: str) -> tuple[int, int]:
+        """(next state, change of the token count) on the characters of ``text``."""
         if len(self.states) > MOST_STATES:
-            self._reset()
-        steps, state, n = self.steps, 0, 0
-        for c in word:
+            state = self._reset(state)
+        steps, n = self.steps, 0
+        for c in text:
             nxt = steps[state].get(c)
             state, change = nxt if nxt is not None else self.step(state, c)
             n += change
+        return state, n
+
+    def __missing__(self, word: str) -> int:
+        n = self.run(0, word)[1]
         if len(self) > MOST_WORDS:
             self.clear()
         if len(word) < 64:
@@ -232,7 +252,8 @@ class Transducer(dict):
         return ChunkMap(text, None, "") if len(w) < 2 else ChunkMap(w[0], self.total(w[1:-1]), w[-1])
 
     def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        """The map of the joined chunk."""
+        """The map of the joined chunk; without a synchronising point it is as
+        long as the chunk, which ``count`` avoids by applying its maps in order."""
         glue = self.words((a.head if a.body is None else a.tail) + b.head)
         if a.body is None and b.body is None:
             return ChunkMap("".join(glue), None, "") if len(glue) < 2 else ChunkMap(glue[0], self.total(glue[1:-1]), glue[-1])
@@ -242,18 +263,14 @@ class Transducer(dict):
             return ChunkMap(a.head, a.body + self.total(glue[:-1]), glue[-1] if glue else "")
         return ChunkMap(a.head, a.body + self.total(glue) + b.body, b.tail)
 
-    def scan(self, maps: list[ChunkMap]) -> list[ChunkMap]:
-        """Inclusive prefix scan of chunk maps in log-many rounds: entry i is the
-        map of chunks 0..i."""
-        if len(maps) == 1:
-            return maps
-        pairs = self.scan([self.compose(maps[i], maps[i + 1]) for i in range(0, len(maps) - 1, 2)])
-        return [maps[0] if i == 0 else pairs[i // 2] if i % 2 else self.compose(pairs[i // 2 - 1], maps[i])
-                for i in range(len(maps))]
-
-    def finish(self, m: ChunkMap) -> int:
-        """Tokens of a whole text whose map this is (start state in, end out)."""
-        return self[m.head] + (m.body or 0) + (self[m.tail] if m.tail else 0)
+    def apply(self, m: ChunkMap, state: int) -> tuple[int, int]:
+        """(outgoing state, change of the token count) of a chunk on an incoming state."""
+        state, n = self.run(state, m.head)
+        if m.body is None:
+            return state, n
+        n += m.body
+        state, last = self.run(0, m.tail)
+        return state, n + last
 
     def count(self, text: str, chunk_chars: int) -> int:
         if not text:
@@ -261,8 +278,11 @@ class Transducer(dict):
         text = SPACE + text.replace(" ", SPACE)
         if len(text) <= chunk_chars:
             return self.total(self.words(text))
-        maps = [self.chunk(text[i:i + chunk_chars]) for i in range(0, len(text), chunk_chars)]
-        return self.finish(self.scan(maps)[-1])
+        state = n = 0
+        for i in range(0, len(text), chunk_chars):
+            state, change = self.apply(self.chunk(text[i:i + chunk_chars]), state)
+            n += change
+        return n
 
 
 @lru_cache(maxsize=2)

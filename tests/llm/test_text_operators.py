@@ -164,3 +164,39 @@ def test_chunk_maps_compose_associatively():
         a, b, c = (t.chunk("".join(r.choice("▁\nabthe") for _ in range(r.randint(0, 8)))) for _ in range(3))
         left, right = t.compose(t.compose(a, b), c), t.compose(a, t.compose(b, c))
         assert left == right
+
+
+def test_long_text_without_a_synchronising_point():
+    """24 million characters without space or newline: counted in linear memory, and exactly."""
+    P = pytest.importorskip("public_tokenizers")
+    import resource
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    import sentencepiece
+    path = str(P.path("piece_bpe_32k.model"))
+    r = random.Random(3)
+    part = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCXYZ0123456789+/=一é") for _ in range(3000))
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    few = [len(lib.encode(part * k)) for k in (4, 5)]
+    code = ("import resource, sys; from ledgerlens.llm.token_counts import transducer; part, path = sys.argv[1:]; t = transducer(path);"
+            "print(t.count(part * 5, 1000), t.count(part * 8000, 65536), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)")
+    most = (2 << 30, 2 << 30)  # all prefixes of its chunks would be 4e9 characters
+    out = subprocess.run([sys.executable, "-c", code, part, path], cwd=Path(__file__).parents[2], capture_output=True, text=True, timeout=600,
+                         preexec_fn=lambda: resource.setrlimit(resource.RLIMIT_AS, most))
+    assert out.returncode == 0, out.stderr[-500:]
+    small, whole, peak_kb = map(int, out.stdout.split())
+    assert small == few[1] and whole == few[0] + (8000 - 4) * (few[1] - few[0]) and peak_kb < 1 << 20
+
+
+def test_carried_state_survives_full_tables(monkeypatch):
+    P = pytest.importorskip("public_tokenizers")
+    from ledgerlens.llm import token_counts as T
+    r = random.Random(4)
+    text = "".join(r.choice("abcdefghinorstABC0123+/=一é") for _ in range(20_000))
+    path = str(P.path("piece_bpe_32k.model"))
+    want = T.transducer(path).count(text, 1 << 20)
+    monkeypatch.setattr(T, "MOST_STATES", 50)
+    t = T.transducer.__wrapped__(path)
+    assert t.count(text, 100) == t.count(text, 7) == want
