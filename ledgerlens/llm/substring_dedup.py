@@ -1,23 +1,31 @@
 """Exact removal of repeated word windows.
 
-Method.  Words get 64-bit hashes, every window of ``window`` consecutive words a
-Rabin-Karp hash of its word hashes.  Map tasks cut their rows into batches and
-deal each batch's window hashes out by their leading bits into compact binary
-blocks (7 bytes a hash, about 1 a position and 1 an id).  Within a batch a window
-seen in a smaller doc_id is settled at once and only the smallest document's
-windows travel, so a passage that a third of all documents share reaches its
-bucket once per batch.  Each bucket counts its hashes over all batches and
-sends back the positions whose smallest document is another one.  Per batch
-these merge into maximal removal intervals, and only the intervals are joined
-back to the texts.
+Method.  Two rounds.  In the first, words get 64-bit hashes, every window of
+``window`` consecutive words a Rabin-Karp hash of its word hashes.  Map tasks cut
+their rows into batches and deal each batch's window hashes out by their leading
+bits into compact binary blocks (4 bytes a hash, about 1 a position and 1 an id).
+Each bucket counts its hashes over all batches and sends back the positions whose
+hash stands in several documents.  These are only candidates: equal windows are
+always among them, and chance may add a few.
+
+The second round goes over the candidates alone and takes a 128-bit BLAKE2b digest
+of each one's words, which stands for the words themselves.  It deals and counts
+in the same way, and sends back the positions whose smallest document is another
+one.  Per batch these merge into maximal removal intervals, and only the intervals
+are joined back to the texts.
+
+In both rounds a window seen in a smaller doc_id of its batch is settled at once
+and only the smallest document's windows travel, so a passage that a third of all
+documents share reaches its bucket once per batch.
 
 The input must give the same rows in the same order when a task is run again,
-as tables do; otherwise write it out first.
+as tables do; otherwise write it out first.  (The second round sorts its rows.)
 """
 
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -37,6 +45,8 @@ NO_ID = np.iinfo(np.int64).max
 #: blocks stay long where buckets are many; the most it gathers; and the most
 #: leading bits (beyond 2**18 buckets these hold more than BUCKET_WINDOWS).
 BLOCK_WINDOWS, MOST_GATHERED, MOST_BITS = 64, 1 << 23, 18
+#: Bytes of the second round's digest of a window.
+DIGEST_BYTES = 16
 
 _BASE, _WORD_BASE = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -91,6 +101,36 @@ class Hasher:
         return mix64(roll[inside]), at
 
 
+def _digests(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """Digests, as two 64-bit numbers, of the windows that begin at words ``at``:
+    of their words joined by one space, which no word holds."""
+    words = [buf[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    line = b" ".join(words)
+    last = np.cumsum(ends - starts + 1) - 1
+    begin = last - (ends - starts)
+    raw = b"".join([blake2b(line[a:b], digest_size=DIGEST_BYTES).digest()
+                    for a, b in zip(begin[at].tolist(), last[at + window - 1].tolist(), strict=True)])
+    return np.frombuffer(raw, np.uint64).reshape(-1, 2)
+
+
+def _chosen(starts: pa.ListArray, ends: pa.ListArray, first: np.ndarray, total: int) -> np.ndarray:
+    """Indexes of the windows inside the runs ``[starts, ends)`` of each text."""
+    base = np.repeat(first, np.array(starts.value_lengths()))
+    edge = np.zeros(total + 1, np.int32)
+    np.add.at(edge, base + np.array(starts.flatten()), 1)
+    np.add.at(edge, base + np.array(ends.flatten()), -1)
+    return np.flatnonzero(np.cumsum(edge[:-1]))
+
+
+def _groups(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal hashes side by side, and where a new one begins
+    (hashes of one column, or of two)."""
+    order = np.argsort(hashes, kind="stable") if hashes.ndim == 1 else np.lexsort((hashes[:, 1], hashes[:, 0]))
+    ranked = hashes[order]
+    new = ranked[1:] != ranked[:-1]
+    return order, np.concatenate([[True], new if hashes.ndim == 1 else new.any(axis=1)])
+
+
 def _pack(values: np.ndarray) -> bytes:
     """Non-decreasing integers as one-byte steps; longer steps apart, in 4 bytes
     or, if one needs it, 8."""
@@ -128,7 +168,8 @@ BLOCK = "bucket long, batch long, ids binary, windows binary, spots binary, hash
 
 
 def _blocks(window: int, bits: int):
-    """Map side: the binary blocks of a partition's texts."""
+    """Map side: the binary blocks of a partition's texts, of all windows or, in
+    the second round, of the runs of candidates in columns 3 and 4."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -141,10 +182,18 @@ def _blocks(window: int, bits: int):
             for a, b in slices(off, STEP_BYTES):
                 buf = whole[off[a]:off[b]]
                 starts, ends, first = word_spans(buf, off[a:b + 1] - off[a])
-                hashes, at = hasher.windows(hasher.words(buf, starts, ends), first, window)
+                if rows.num_columns == 3:
+                    hashes, at = hasher.windows(hasher.words(buf, starts, ends), first, window)
+                    chosen, place = np.diff(at), np.zeros(0, np.int64)
+                else:
+                    at = np.concatenate([[0], np.cumsum(np.maximum(np.diff(first) - window + 1, 0))])
+                    place = _chosen(rows.column(3)[a:b], rows.column(4)[a:b], at[:-1], int(at[-1]))
+                    chosen = np.diff(np.searchsorted(place, at))
+                    place -= np.repeat(at[:-1], chosen)
+                    hashes = _digests(buf, starts, ends, np.repeat(first[:-1], chosen) + place, window)
                 if len(hashes):
-                    held.append((ids[a:b], keys[a:b], np.diff(at), hashes))
-                if sum(len(x[3]) for x in held) >= min(BLOCK_WINDOWS << bits, MOST_GATHERED):
+                    held.append((ids[a:b], keys[a:b], np.diff(at), chosen, place, hashes))
+                if sum(len(x[-1]) for x in held) >= min(BLOCK_WINDOWS << bits, MOST_GATHERED):
                     serial += 1
                     yield from _deal(serial, held, bits)
                     held = []
@@ -156,24 +205,33 @@ def _blocks(window: int, bits: int):
 
 def _deal(serial: int, held: list[tuple], bits: int):
     """One batch: its texts in order of id, what it settles itself, and a block
-    of window hashes for every bucket."""
-    ids, keys, n, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+    of window hashes for every bucket.  Held are id, key, windows and chosen
+    windows of each text, and of each chosen one its place in the text (second
+    round) and hash."""
+    ids, keys, n, chosen, place, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
+    sure = hashes.ndim == 2
     order = np.argsort(ids, kind="stable")
-    begin = np.cumsum(n) - n
-    ids, keys, n, begin = ids[order], keys[order], n[order], begin[order]
-    at = np.cumsum(n)
-    hashes = hashes[np.repeat(begin - (at - n), n) + np.arange(len(hashes))]
-    texts = np.repeat(np.arange(len(ids)), n)
-    by_hash = np.argsort(hashes, kind="stable")
-    new = np.concatenate([[True], np.diff(hashes[by_hash].view(np.int64)) != 0])
-    least = ids[texts[by_hash[np.flatnonzero(new)]]][np.cumsum(new) - 1]
-    later = np.zeros(len(hashes), bool)
-    later[by_hash] = ids[texts[by_hash]] > least
-    out = [(-1 - serial, serial, _spread(ids), _pack(at), _pack(np.flatnonzero(later)), keys.tobytes())]
+    begin = np.cumsum(chosen) - chosen
+    ids, keys, n, chosen, begin = ids[order], keys[order], n[order], chosen[order], begin[order]
+    at, to = np.cumsum(n), np.cumsum(chosen)
+    moved = np.repeat(begin - (to - chosen), chosen) + np.arange(len(hashes))
+    hashes = hashes[moved]
+    texts = np.repeat(np.arange(len(ids)), chosen)
+    by_hash, new = _groups(hashes)
+    edges, group, doc = np.flatnonzero(new), np.cumsum(new) - 1, ids[texts[by_hash]]
+    later = np.empty(len(hashes), bool)
+    later[by_hash] = doc > doc[edges][group]
+    found, home = later, keys.tobytes()
+    if sure:
+        home += _pack(place[moved] + np.repeat(at - n, chosen))
+    else:  # the smallest document's too: the second round needs it
+        found = np.empty(len(hashes), bool)
+        found[by_hash] = (np.maximum.reduceat(doc, edges) > doc[edges])[group]
+    out = [(-1 - serial, serial, _spread(ids), _pack(at), _pack(np.flatnonzero(found)), home)]
     rest = np.flatnonzero(~later)
-    bucket = (hashes[rest] >> np.uint64(64 - bits)).astype(np.uint32)
+    bucket = ((hashes[:, 0] if sure else hashes)[rest] >> np.uint64(64 - bits)).astype(np.uint32)
     dealt = np.argsort(bucket.astype(np.uint16) if bits <= 16 else bucket, kind="stable")
-    low = hashes.view(np.uint8).reshape(-1, 8)[:, :7]
+    low = hashes if sure else hashes.astype(np.uint32)
     edges = np.flatnonzero(np.diff(bucket[dealt])) + 1
     for part in np.split(dealt, edges):
         spots = rest[part]
@@ -185,40 +243,46 @@ def _deal(serial: int, held: list[tuple], bits: int):
         yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 512], t) for c, t in zip(cols, types, strict=True)], names=names)
 
 
-def _count(pdf: pd.DataFrame) -> pd.DataFrame:
+def _count(sure: bool):
     """One bucket: of each window hash the smallest document over all batches;
-    back go the positions that stand in a larger one."""
-    if pdf.bucket.iloc[0] < 0:  # what a batch settled itself passes through
-        return pdf.drop(columns="bucket")
-    spots = [_unpack(x) for x in pdf.spots]
-    docs = [_gather(i) for i in pdf.ids]
-    lens = [len(s) for s in spots]
-    raw = np.zeros((sum(lens), 8), np.uint8)
-    raw[:, :7] = np.frombuffer(b"".join(pdf.hashes), np.uint8).reshape(-1, 7)
-    hashes, doc = raw.view(np.uint64).ravel(), np.concatenate(docs)
-    order = np.argsort(hashes, kind="stable")
-    new = np.concatenate([[True], np.diff(hashes[order].view(np.int64)) != 0])
-    least = np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-    hit = np.empty(len(doc), bool)
-    hit[order] = doc[order] > least
-    kept, at = [], 0
-    for batch, s, n in zip(pdf.batch, spots, lens, strict=True):
-        if (mine := hit[at:at + n]).any():
-            kept.append((batch, None, None, _pack(s[mine]), None))
-        at += n
-    return pd.DataFrame(kept, columns=["batch", "ids", "windows", "spots", "hashes"])
+    back go the positions that stand in a larger one or, in the first round, all
+    positions of a hash that stands in several."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf.bucket.iloc[0] < 0:  # what a batch settled itself passes through
+            return pdf.drop(columns="bucket")
+        spots = [_unpack(x) for x in pdf.spots]
+        docs = [_gather(i) for i in pdf.ids]
+        lens = [len(s) for s in spots]
+        raw, doc = b"".join(pdf.hashes), np.concatenate(docs)
+        order, new = _groups(np.frombuffer(raw, np.uint64).reshape(-1, 2) if sure else np.frombuffer(raw, np.uint32))
+        edges, group, mine = np.flatnonzero(new), np.cumsum(new) - 1, doc[order]
+        least = np.minimum.reduceat(mine, edges)
+        hit = np.empty(len(doc), bool)
+        hit[order] = mine > least[group] if sure else (np.maximum.reduceat(mine, edges) > least)[group]
+        kept, at = [], 0
+        for batch, s, n in zip(pdf.batch, spots, lens, strict=True):
+            if (mine := hit[at:at + n]).any():
+                kept.append((batch, None, None, _pack(s[mine]), None))
+            at += n
+        return pd.DataFrame(kept, columns=["batch", "ids", "windows", "spots", "hashes"])
+
+    return run
 
 
 def _intervals(window: int):
-    """One batch: flagged windows to maximal word intervals of each text."""
+    """One batch: flagged windows to maximal word intervals of each text (for a
+    ``window`` of 1 the runs of flagged windows)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         home = pdf[pdf.ids.notna()].iloc[0]
         ids, at = _gather(home.ids), np.concatenate([[0], _unpack(home.windows)])
-        keys = np.frombuffer(home.hashes, np.int64)
+        keys = np.frombuffer(home.hashes, np.int64, len(ids))
         flagged = np.unique(np.concatenate([_unpack(x) for x in pdf.spots]))
         if not len(flagged):
             return pd.DataFrame([], columns=["doc_id", "key", "starts", "ends"], dtype=object)
+        if len(home.hashes) > 8 * len(ids):  # of the second round
+            flagged = _unpack(home.hashes, 8 * len(ids))[flagged]
         text = np.searchsorted(at, flagged, "right") - 1
         new = np.flatnonzero(np.concatenate([[True], (np.diff(flagged) > window) | (np.diff(text) != 0)]))
         last = np.concatenate([new[1:], [len(flagged)]]) - 1
@@ -243,14 +307,35 @@ def removal_intervals(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     shorter than a window, have no windows.  Repeated rows of the same id and
     text have one entry.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"),
-                       F.col(text_col).alias("text"))
+    slim = _slim(docs, id_col, text_col)
     n_bytes = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(MOST_BITS, max(6, int(n_bytes // 6 // BUCKET_WINDOWS).bit_length()))
-    blocks = slim.mapInArrow(_blocks(window, bits), BLOCK)
-    back = blocks.groupBy("bucket").applyInPandas(_count, "batch long, ids binary, windows binary, spots binary, hashes binary")
-    found = back.groupBy("batch").applyInPandas(_intervals(window), "doc_id long, key long, starts array<int>, ends array<int>")
-    return found.groupBy("doc_id", "key").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
+    maybe = _round(slim, window, bits, sure=False)
+    # the texts are dealt out as in remove_repeated_windows, which takes the same exchange again
+    both = _with_intervals(slim, maybe, "inner").select("d.doc_id", "d.key", "d.text", "f.starts", "f.ends")
+    return _round(both.sortWithinPartitions("doc_id", "key"), window, bits, sure=True)
+
+
+def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+
+
+def _with_intervals(slim: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    return slim.alias("d").join(found.alias("f").hint("shuffle_hash"),
+                                F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.key") == F.col("f.key")), how)
+
+
+def _round(rows: DataFrame, window: int, bits: int, sure: bool) -> DataFrame:
+    """doc_id, key, starts, ends: the runs of candidate windows or, if ``sure``,
+    the intervals of words to remove."""
+    blocks = rows.mapInArrow(_blocks(window, bits), BLOCK)
+    back = blocks.groupBy("bucket").applyInPandas(_count(sure), "batch long, ids binary, windows binary, spots binary, hashes binary")
+    found = back.groupBy("batch").applyInPandas(_intervals(window if sure else 1), "doc_id long, key long, starts array<int>, ends array<int>")
+    if sure:
+        return found.groupBy("doc_id", "key").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
+    # repeated rows can have other candidates in each batch, which count together
+    runs = found.groupBy("doc_id", "key").agg(F.collect_set(F.struct("starts", "ends")).alias("r"))
+    return runs.select("doc_id", "key", F.flatten("r.starts").alias("starts"), F.flatten("r.ends").alias("ends"))
 
 
 def remove_repeated_windows(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,9 +361,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, id_col: str = "do
             rows.append((n, n - len(words), b" ".join(words).decode("utf-8", "replace")))
         return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_text"])
 
-    left = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    both = left.alias("d").join(found.alias("f").hint("shuffle_hash"),
-                                F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.key") == F.col("f.key")), "left")
+    both = _with_intervals(_slim(docs, id_col, text_col), found, "left")
     out = both.select(F.col("d.doc_id").alias("doc_id"), F.arrays_zip(F.col("f.starts").alias("start"), F.col("f.ends").alias("end")).alias("removed"),
                       cut(F.col("d.text"), F.col("f.starts"), F.col("f.ends")).alias("c"))
     return out.select("doc_id", "c.n_words", "c.n_removed", F.coalesce("removed", F.array().cast("array<struct<start:int,end:int>>")).alias("removed"), "c.kept_text")

@@ -40,6 +40,32 @@ def test_substring_dedup_over_many_batches(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_removed) for r in got) == [(i, 30 if i else 0) for i in range(300)]
 
 
+def test_substring_dedup_of_colliding_windows(spark):
+    """Thue-Morse words: every polynomial hash modulo 2^64 takes the two for one word, so all 64 bits of their windows agree."""
+    from ledgerlens.llm import substring_dedup as S
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << 12))
+    two = "".join("ba"[bin(i).count("1") % 2] for i in range(1 << 12))
+    buf = np.frombuffer(f"{one} {two}".encode(), np.uint8)
+    a, b = S.Hasher().words(buf, np.array([0, 4097]), np.array([4096, 8193]))
+    assert a == b and one != two
+    shared = " ".join(f"s{k}" for k in range(12))
+    rows = [(i, f"{shared} {w} own{i}", "a") for i, w in ((1, one), (2, two), (3, one), (4, two), (5, "z"), (None, two))]
+    for parts in (1, 6):
+        got = S.remove_repeated_windows(docs_frame(spark, rows).repartition(parts)).collect()
+        assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got), key=str) == sorted(windows_removed(rows), key=str)
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 0, 3: 13, 4: 13, 5: 0, None: 13}
+
+
+def test_substring_dedup_of_rows_repeated_across_batches(spark):
+    """A repeated row stands beside its copy's match in one partition and alone in another."""
+    from ledgerlens.llm.substring_dedup import remove_repeated_windows
+    text = " ".join(f"p{k}" for k in range(20))
+    for order in ([(5, text, "a"), (7, text, "a"), (5, text, "a"), (6, "x", "a")], [(5, text, "a"), (6, "x", "a"), (5, text, "a"), (7, text, "a")]):
+        frame = docs_frame(spark, order[:2]).coalesce(1).union(docs_frame(spark, order[2:]).coalesce(1))
+        got = remove_repeated_windows(frame).collect()
+        assert sorted((r.doc_id, r.n_removed) for r in got) == [(5, 0), (5, 0), (6, 0), (7, 20)]
+
+
 def test_packing_round_trip():
     from ledgerlens.llm.substring_dedup import _gather, _pack, _spread, _unpack
     for v in ([0], [5, 5, 6, 1000, 1 << 33], list(range(0, 3000, 7)), [], [255], [254, 509]):
