@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 
 OPEN, CLOSE = "<|turn|>", "<|end|>"
 TRAINED_ROLE = "assistant"
+#: Code points of the pieces from which spans of a formatted text are cut.
+PIECE = 1024
 
 
 def escape(text: Column) -> Column:
@@ -81,16 +83,33 @@ def read_back(whole: DataFrame) -> DataFrame:
     return whole.withColumn("pieces", pieces).withColumn("parsed", parsed).select("conv_id", "formatted", turns.alias("turns"))
 
 
+def _pieces(text: Column) -> Column:
+    """A text in pieces of PIECE code points, so that a span is found without a
+    walk from the text's start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _span(pieces: Column, start: Column, length: Column) -> Column:
+    """``length`` code points from ``start`` (from 0) of a text in pieces."""
+    first = F.floor(start / PIECE).cast("int")
+    last = F.floor((start + length) / PIECE).cast("int")
+    near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.substr(near, (start % PIECE + 1).cast("int"), length)
+
+
 def digests(conversations: DataFrame) -> DataFrame:
-    """Per conversation, read back from the formatted text and the examples:
+    """Per conversation, read back from the formatted text, the replies as the
+    loss mask of the examples covers them:
     conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     told = read_back(formatted(conversations)).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
-    loss = examples(conversations).select("conv_id", F.struct("example_no", unescape(F.col("reply")).alias("reply")).alias("e"))
-    loss = loss.groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list("e"))["reply"], "").alias("loss"))
-    both = told.alias("t").join(loss.alias("l"), F.col("t.conv_id").eqNullSafe(F.col("l.conv_id")), "left")
-    text = F.coalesce(F.col("l.loss"), F.lit(""))
-    return both.select("t.conv_id", "t.n_turns", "t.turns_sha256", F.length(text).cast("long").alias("loss_chars"),
-                       F.sha2(text, 256).alias("loss_sha256"), "t.formatted_chars")
+        F.length("formatted").cast("long").alias("formatted_chars"), _pieces(F.col("formatted")).alias("pieces"))
+    mask = examples(conversations).select("conv_id", F.struct("example_no", "context_chars", F.length("reply").alias("chars")).alias("e"))
+    mask = mask.groupBy("conv_id").agg(F.array_sort(F.collect_list("e")).alias("mask"))
+    both = told.alias("t").join(mask.alias("m"), F.col("t.conv_id").eqNullSafe(F.col("m.conv_id")), "left")
+    said = F.transform("m.mask", lambda e: unescape(_span(F.col("t.pieces"), e["context_chars"], e["chars"])))
+    both = both.select("t.*", F.array_join(said, "").alias("loss"))
+    text = F.coalesce("loss", F.lit(""))
+    return both.select("conv_id", "n_turns", "turns_sha256", F.length(text).cast("long").alias("loss_chars"),
+                       F.sha2(text, 256).alias("loss_sha256"), "formatted_chars")

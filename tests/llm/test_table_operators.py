@@ -126,6 +126,23 @@ def test_chat_round_trip(spark):
     assert examples(frame).count() == len(full) and digests(frame.limit(0)).count() == 0
 
 
+def test_chat_digests_read_the_loss_mask(spark, monkeypatch):
+    """The replies come out of the formatted text under the mask, so a wrong mask changes the result; also far into long texts."""
+    from ledgerlens.llm import chat_format as C
+    rows = _conversations() + [(12, k, "assistant" if k % 3 else "user", "😀<|\\" * (300 * k) + "é") for k in range(6)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    loss = defaultdict(str)
+    for c, _, role, text in sorted(rows, key=lambda x: (x[1] is None, x[1] or 0, (x[2] or "").encode(), (x[3] or "").encode())):
+        loss[c] += (text or "") * (role == "assistant")
+    want = {c: (len(x), hashlib.sha256(x.encode()).hexdigest()) for c, x in loss.items()}
+    told = lambda: {r.conv_id: (r.loss_chars, r.loss_sha256) for r in C.digests(frame).collect()}
+    assert told() == want
+    right = C.examples
+    monkeypatch.setattr(C, "examples", lambda *a: right(*a).withColumn("context_chars", F.col("context_chars") - 1))
+    wrong = told()
+    assert all(wrong[c] != want[c] for c in want if loss[c])
+
+
 def test_line_dedup(spark):
     from ledgerlens.llm.line_dedup import drop_boilerplate
     pages = [(k, "http://Hot.example:80/a?b", f"<p>Menu</p><div>own {k}</div><script>var a='<p>Menu</p>'</script><!-- Menu --><br>Menu<b>!</b>"
