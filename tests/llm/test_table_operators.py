@@ -244,3 +244,17 @@ def test_cover_tree_invariants():
         assert t.center[n] in mine and np.sqrt(((p[mine] - p[t.center[n]]) ** 2).sum(axis=1)).max() <= t.radius[n] + 1e-9
         if t.children[n]:
             assert sorted(x for c in t.children[n] for x in t.order[t.lo[c]:t.hi[c]]) == sorted(mine)
+
+
+def test_cover_tree_levels_cover_or_reach_the_fan_out():
+    """Below FAN children all points lie within the level's radius; no node has more than FAN."""
+    from ledgerlens.llm.topk import FAN, SHRINK, CoverTree
+    for width in (1, 2, 30):
+        p = np.random.default_rng(2).normal(size=(1500, width))
+        t = CoverTree(p, leaf=10)
+        sizes = [len(c) for c in t.children if c]
+        assert max(sizes) <= FAN and min(sizes) >= 2
+        for n, below in enumerate(t.children):
+            if 2 < len(below) < FAN:
+                assert max(t.radius[c] for c in below) <= SHRINK * t.radius[n] + 1e-9
+    assert max(sizes) == FAN  # in 30 dimensions levels reach it
