@@ -195,3 +195,85 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"))
+
+
+#: False rejections allowed per stratum, the error probability of that promise, and
+#: the good documents one wrongly kept bad one is worth.
+RISK, DELTA, GOOD_COST = 0.05, 0.05, 10
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, lang AS stratum, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, k, array_to_string(w[k:k + 4], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5)),
+t AS (SELECT doc_id, k FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+r AS (SELECT doc_id, count(DISTINCT k + o) AS n FROM t, (SELECT unnest(range(0, 5)) AS o) GROUP BY 1),
+l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+c AS (SELECT doc_id, stratum, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+             len(regexp_extract_all(text, '[A-Z]'))::BIGINT AS n_upper, len(regexp_extract_all(text, '[0-9]'))::BIGINT AS n_digits,
+             len(regexp_extract_all(text, '[!?"''()\[\]{{}}=+_/\\^~`@;:-]'))::BIGINT AS n_marks
+      FROM d JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, greatest(word_chars, 1) AS wc,
+             ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 3 AS part FROM c),
+s AS (SELECT doc_id, stratum, part, base_failed, unnest(range(0, 8)) AS rule, unnest([1000 * n_symbols // wc, 1000 * n_dup_lines // greatest(n_lines, 1),
+             1000 * n_repeat_words // greatest(n_words, 1), 1000 * n_upper // wc, 1000 * n_digits // wc, 1000 * n_marks // wc,
+             1000 - 1000 * n_words // wc, 1000 * n_words // wc]) AS share FROM v),
+y AS (SELECT s.*, labels.quality AS y FROM s JOIN labels USING (doc_id) WHERE NOT base_failed AND labels.quality IN (0, 1)),
+h AS (SELECT stratum, rule, share, sum(1 - y) AS bad, sum(y) AS good FROM y WHERE part = 0 GROUP BY ALL),
+q AS (SELECT stratum, rule, share, lead(share) OVER o AS below, sum(bad) OVER o - {GOOD_COST} * sum(good) OVER o AS gain FROM h WINDOW o AS (PARTITION BY stratum, rule ORDER BY share DESC)),
+b AS (SELECT * FROM q WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, share DESC) = 1),
+p AS (SELECT stratum, rule, (coalesce(below, share) + share + 1) // 2 AS cutoff, row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, rule) AS step FROM b),
+f AS (SELECT y.doc_id, y.stratum, min(p.step) FILTER (y.share >= p.cutoff) AS hit
+      FROM y JOIN p ON y.stratum IS NOT DISTINCT FROM p.stratum AND y.rule = p.rule WHERE y.part <> 0 AND y.y = 1 GROUP BY ALL),
+k AS (SELECT p.stratum, p.step, count(*) AS n, count(*) FILTER (f.hit <= p.step) AS x FROM p JOIN f ON f.stratum IS NOT DISTINCT FROM p.stratum GROUP BY ALL),
+z AS (SELECT stratum, step, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK}))) AS tail
+      FROM (SELECT *, unnest(range(0, x + 1)) AS i FROM k WHERE x < n * {RISK}) GROUP BY ALL),
+a AS (SELECT stratum, max(step) AS steps FROM z WHERE tail <= {DELTA} / (SELECT count(*) FROM p) GROUP BY 1),
+u AS (SELECT p.* FROM p JOIN a ON a.stratum IS NOT DISTINCT FROM p.stratum WHERE p.step <= a.steps),
+x AS (SELECT DISTINCT s.doc_id FROM s JOIN u ON s.stratum IS NOT DISTINCT FROM u.stratum AND s.rule = u.rule WHERE s.share >= u.cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND x.doc_id IS NULL AS kept
+FROM v LEFT JOIN x USING (doc_id)""")
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.quality_rules import judged
+
+    out = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), RISK, DELTA, GOOD_COST)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: Centroids, rounds, components, scale and seed of the clustering query.
+CENTROIDS, ROUNDS, DIMS, SCALE, CLUSTER_SEED = 40, 5, 64, 256, 2
+
+
+def _clusters_sql() -> str:
+    """All rounds, unrolled; m0 are the first centroids."""
+    steps = [rf"""
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE len(embedding) = {DIMS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = {DIMS}),
+m0 AS MATERIALIZED (SELECT (row_number() OVER o - 1)::INTEGER AS c, v AS m FROM v WINDOW o AS (ORDER BY sha256('{CLUSTER_SEED}:' || vec_id), v)
+      QUALIFY row_number() OVER o <= {CENTROIDS})"""]
+    for i in range(ROUNDS + 1):
+        steps.append(f"""
+d{i} AS (SELECT vec_id, v, c, list_sum(list_transform(range(1, {DIMS} + 1), lambda j: (v[j] - m[j]) * (v[j] - m[j])))::BIGINT AS distance FROM v, m{i}),
+a{i} AS MATERIALIZED (SELECT vec_id, v, c, distance FROM d{i} QUALIFY row_number() OVER (PARTITION BY vec_id, v ORDER BY distance, c) = 1)""")
+        if i < ROUNDS:
+            steps.append(f"""
+s{i} AS (SELECT c, list(z ORDER BY j) AS m FROM (SELECT c, j, floor(sum(x)::DOUBLE / count(*))::BIGINT AS z FROM (SELECT c, unnest(v) AS x, unnest(range({DIMS})) AS j FROM a{i}) GROUP BY ALL) GROUP BY c),
+m{i + 1} AS MATERIALIZED (SELECT m{i}.c, coalesce(s{i}.m, m{i}.m) AS m FROM m{i} LEFT JOIN s{i} USING (c))""")
+    return ",".join(steps) + f"""
+SELECT vec_id, c AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256 FROM a{ROUNDS} JOIN m{ROUNDS} USING (c)"""
+
+
+@query(_clusters_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.centroids import clustered
+
+    return clustered(table(spark, sf_dir, "embeddings"), CENTROIDS, ROUNDS, DIMS, SCALE, CLUSTER_SEED)
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"))

@@ -13,7 +13,7 @@ TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversati
 
 
 @pytest.mark.parametrize("name", ["op1_benchmark_decontamination", "op2_substring_dedup", "op3_extendible_sharding", "op6_mix_sources", "op7_chat_formatting",
-                                  "op9_line_dedup", "op10_topk_search"])
+                                  "op9_line_dedup", "op10_topk_search", "op11_quality_rules", "op12_centroid_clustering"])
 def test_query_equals_sql(spark, name):
     from ledgerlens.llm.queries import ORACLES, REGISTRY
     con = duckdb.connect()
@@ -28,7 +28,16 @@ def test_query_equals_sql(spark, name):
 def test_every_operator_is_registered():
     import __spark_entry__
     names = __spark_entry__.queries()
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")].__len__() == 10 and "pipeline" in names
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")].__len__() == 13 and "pipeline" in names
+
+
+def test_spelling_variants_of_a_table(spark):
+    """The registered query's rows by the definition, over a whole test table."""
+    from ledgerlens.llm.queries import REGISTRY
+    from tests.llm.test_rules_centroids_spelling import got_spelling, spelling_rows
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = got_spelling(REGISTRY["op13_spelling_variants"](spark, SF))
+    assert got == spelling_rows(rows) and any(r[1] for r in got)
 
 
 def test_native_operators_run_no_python(spark):
