@@ -2,9 +2,8 @@
 correlations and equal-width histograms - all over every row (no samples).
 
 Exact quantiles avoid the ``percentile`` aggregate, which keeps every distinct
-value of a group in one task: distinct values are cumulated in a range-sliced
-global order instead, and the two values around each quantile position are
-fetched by an equi-join against a (#columns x #quantiles x 2)-row table.
+value of a group in one task: bracketed selection (``operators.selection``) finds
+them in two wide passes over the rows as they are.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import bin_index
+from ledgerlens.operators import selection
 from ledgerlens.operators.ordering import with_running_sums
 from ledgerlens.session import stored
 
@@ -84,8 +84,8 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
     """column, p, value: linear-interpolation quantiles (as ``percentile`` /
-    ``quantile_cont``) of each column's values, computed without collecting a
-    column into one task.
+    ``quantile_cont``) of values that come as (column, value) rows, computed without
+    collecting a column into one task (wide tables: ``selection.quantiles``).
 
     Values are first counted per (column, value) - map-side partial
     aggregation, so a value repeated in a third of the rows collapses to one
@@ -127,28 +127,29 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
                        .alias("value"))
 
 
-def _quantile_wide(long: DataFrame, probs: dict[str, float],
-                   accuracy: int | None = None) -> DataFrame:
-    """One row per column with one quantile column per name.
+#: The quantiles of both profile tables.
+QUARTILES = (0.25, 0.5, 0.75)
 
-    ``accuracy`` switches to ``percentile_approx`` (one pass, a bounded
-    sketch per column; relative rank error about 1/accuracy)."""
+
+def quartiles(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """column, p25, p50, p75 of every column with values: exact, or with
+    ``accuracy`` approximate (one pass of bounded sketches, relative rank error
+    about 1/accuracy).  ``feature_summary`` and ``box_stats`` both take the result,
+    so a report selects once."""
     if accuracy:
-        ps = list(probs.values())
-        q = long.groupBy("column").agg(
-            F.percentile_approx("value", ps, accuracy).alias("_q"))
-        return q.select("column", *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-    q = exact_quantiles(long, list(probs.values()))
-    return q.groupBy("column").agg(*[
-        F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for name, p in probs.items()])
+        row = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), list(QUARTILES), accuracy).alias(f"q{i}") for i, c in enumerate(cols)])
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("q")) for i, c in enumerate(cols)])
+        return row.select(F.inline(cells)).where("q is not null").select("column", *[F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
+    q = selection.quantiles(df, cols, QUARTILES)
+    return q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in zip(QUARTILES, ("p25", "p50", "p75"), strict=True)])
 
 
-def feature_summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
+def feature_summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = None, q: DataFrame | None = None) -> DataFrame:
     """column, count, min, p25, p50, p75, max, mean, stddev (sample); 6 d.p.
 
     Exact quartiles by default (``df.summary`` would give approximate ones);
-    ``accuracy`` opts into ``percentile_approx``."""
-    long = long_values(df, cols)
+    ``accuracy`` opts into ``percentile_approx``.  ``q``: ``quartiles`` of the same
+    columns, if at hand."""
     # moments: one wide aggregation over the rows as they are, no exploded values
     x = [F.col(c).cast("double") for c in cols]
     wide = df.agg(*[F.struct(F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
@@ -156,7 +157,7 @@ def feature_summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = N
                     for i, v in enumerate(x)])
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("m")) for i, c in enumerate(cols)])
     moments = wide.select(F.inline(cells)).select("column", "m.*").where(F.col("count") > 0)
-    q = _quantile_wide(long, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, accuracy)
+    q = quartiles(df, cols, accuracy) if q is None else q
     out = moments.join(q, "column")   # both have one row per column
     return out.select("column", "count", "min",
                       *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")],
@@ -164,15 +165,14 @@ def feature_summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = N
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5,
-              accuracy: int | None = None) -> DataFrame:
+              accuracy: int | None = None, q: DataFrame | None = None) -> DataFrame:
     """column, q1, median, q3, iqr, whisker_low, whisker_high, outliers.
 
     Whiskers are the most extreme values inside [q1 - 1.5 iqr, q3 + 1.5 iqr];
-    outliers are the values outside it (box-plot convention)."""
-    long = long_values(df, cols)
-    q = _quantile_wide(long, {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy).select(
-        "column", "q1", "median", "q3",
-        (F.col("q3") - F.col("q1")).alias("iqr"))
+    outliers are the values outside it (box-plot convention).  ``q``: ``quartiles``
+    of the same columns, if at hand."""
+    q = quartiles(df, cols, accuracy) if q is None else q
+    q = q.select("column", F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3"), (F.col("p75") - F.col("p25")).alias("iqr"))
     q = q.withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr"))
     # the fences, one row per column, become one map that a single wide pass reads

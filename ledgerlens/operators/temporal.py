@@ -3,8 +3,7 @@ rolling statistics, rolling rates and bursts.
 
 The per-step table has one row per time step (49 in the data model), so the
 cumulative / rolling windows over it are safe without a partition key.  The
-only window over *all* transactions - the fallback step assignment - uses the
-range-sliced row number instead of an unpartitioned ``row_number``.
+fallback step assignment selects the ids at its cuts and orders no row.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.ordering import with_row_number
+from ledgerlens.operators.selection import Wanted, order_statistics
 from ledgerlens.sources.schemas import ILLICIT, LICIT, N_TIME_STEPS, UNKNOWN
 
 
@@ -22,16 +21,26 @@ def tx_time_steps(features: DataFrame, time_col: str = "time_step") -> DataFrame
                            F.col(f"`{time_col}`").cast("int").alias("time_step"))
 
 
-def synthetic_steps(classes: DataFrame, steps: int = N_TIME_STEPS) -> DataFrame:
+def synthetic_steps(classes: DataFrame, steps: int = N_TIME_STEPS, **options) -> DataFrame:
     """Fallback when no feature table exists: cut the transactions, ordered by
     id, into ``steps`` equal runs of max(1, n // steps) rows (the rest in the
-    last step).  Returns txId, time_step."""
+    last step).  Returns txId, time_step.
+
+    Only the ids at the cuts are selected (``order_statistics``, at most steps - 1
+    ids, run when called); the step is then a comparison with them, so no row is
+    ordered or shuffled.  Rows with equal ids share a step; null ids come first and
+    are in step 1."""
     ids = classes.select("txId")
-    n = ids.agg(F.count(F.lit(1))).scalar()
-    run = F.greatest(F.lit(1), F.floor(n / F.lit(steps)))
-    ranked = with_row_number(ids, ["txId"], "rn")
-    step = F.least(F.lit(steps), (F.floor((F.col("rn") - 1) / run) + 1)).cast("int")
-    return ranked.select("txId", step.alias("time_step"))
+    n, there = ids.agg(F.count(F.lit(1)), F.count("txId")).first()
+    run = max(1, n // steps)
+    ranks = [run * k - (n - there) for k in range(1, steps) if run * k < n]
+    first = sum(r < 0 for r in ranks)        # cuts among the null ids
+    at = order_statistics(ids, [Wanted("txId", r, r) for r in ranks[first:]], {"txId": there}, **options)
+    cuts = [r.v_first for r in at.collect()]     # at most steps - 1
+    step = F.lit(1)
+    for cut in sorted(cuts):
+        step = step + (F.col("txId") >= F.lit(cut)).cast("int")
+    return ids.select("txId", F.coalesce(step + first, F.lit(1)).cast("int").alias("time_step"))
 
 
 def tx_time(steps: DataFrame, classes: DataFrame) -> DataFrame:

@@ -75,9 +75,10 @@ def _feature_profile(t, cols: list[str] | None = None) -> dict[str, DataFrame]:
     """Summaries and correlations of the named feature columns (default: all)."""
     feats = t.txs_features
     cols = cols or dataset.feature_columns(feats)
+    q = profile.quartiles(feats, cols)      # selected once for both tables
     return {
-        "feature_summary": profile.feature_summary(feats, cols),
-        "feature_box_stats": profile.box_stats(feats, cols),
+        "feature_summary": profile.feature_summary(feats, cols, q=q),
+        "feature_box_stats": profile.box_stats(feats, cols, q=q),
         "feature_correlation": profile.correlation_matrix(feats, cols),
     }
 
