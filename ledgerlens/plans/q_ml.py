@@ -19,10 +19,10 @@ def _split(t):
 
 def _selected(t, *names):
     """The cross-validated winners of the named classifiers, the held-out rows
-    and the score table."""
+    and the score table; a session fits the grid of a classifier once."""
     train, test = _split(t)
     wanted = {n: c for n, c in models.default_classifiers().items() if n in names or not names}
-    best, scores = models.select_models(train, wanted, DOC_FEATURE_COLS)
+    best, scores = models.select_models(train, wanted, DOC_FEATURE_COLS, store=models.GridStore.of(t.spark))
     return best, test, scores
 
 

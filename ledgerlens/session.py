@@ -72,6 +72,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Parquet bytes of one partition of a ``compacted`` table (some 64 MB in memory).
+PART_BYTES = 16 << 20
+
+
+def compacted(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored, and read in partitions of about PART_BYTES by its measured
+    size: one for a small table, many for a large one, whatever the number of
+    shuffle partitions.  For tables that iterative estimators scan many times."""
+    out = stored(df, name)
+    size = int(str(out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return out.coalesce(max(1, -(-size // PART_BYTES)))
+
+
 def _drop_at_exit(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
