@@ -95,8 +95,9 @@ def op3_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-           ('0x' || substr(md5('6|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
-           FROM documents),
+           ('0x' || substr(md5('6|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || CASE WHEN k > 0 THEN '|' || k ELSE '' END), 1, 13))::BIGINT
+             / 4503599627370496.0::DOUBLE AS u
+           FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, coalesce(text, '') ORDER BY lang NULLS FIRST, source NULLS FIRST, n_chars NULLS FIRST) - 1 AS k FROM documents)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS w FROM d GROUP BY source),
 t AS (SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS total,
              coalesce(sum(3 * source_size) OVER o, 0) AS taken, sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS share, row_number() OVER (ORDER BY 3 * source_size / w, source NULLS LAST) AS pos
@@ -154,20 +155,20 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(rows.union(extra))
 
 
-#: A line on more than this share of a host's pages is boilerplate; hosts with fewer pages keep all lines.
-BOILERPLATE_RATIO, SITE_PAGES = 0.2, 10
+#: A line on more than this share of a host's pages, and on two pages at least, is boilerplate.
+BOILERPLATE_RATIO = 0.2
 
 
 @query(rf"""
 WITH p AS (SELECT page_id, lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '')) AS host,
-                  regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
-                    '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
+                  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+                    '(?is)<script\b.*?</script\s*>', '', 'g'), '(?is)<style\b.*?</style\s*>', '', 'g'), '(?s)<!--.*?-->', '', 'g'),
                     '(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>', chr(10), 'g'),
                     '<[^>]*>', '', 'g') AS txt FROM pages),
 l AS (SELECT page_id, host, list_filter(list_transform(regexp_split_to_array(txt, '[\n\r]'), lambda x: trim(x)), lambda x: x != '') AS lines FROM p),
 h AS (SELECT host, count(*) AS host_pages FROM l WHERE host != '' GROUP BY 1),
 c AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM l) GROUP BY ALL),
-b AS (SELECT host, list(line) AS bad FROM c JOIN h USING (host) WHERE n > 1 AND host_pages >= {SITE_PAGES} AND n > host_pages * {BOILERPLATE_RATIO} GROUP BY 1),
+b AS (SELECT host, list(line) AS bad FROM c JOIN h USING (host) WHERE n > 1 AND n > host_pages * {BOILERPLATE_RATIO} GROUP BY 1),
 k AS (SELECT page_id, host, host_pages, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(bad, []), x)) AS kept
       FROM l LEFT JOIN h USING (host) LEFT JOIN b USING (host))
 SELECT page_id, host, coalesce(host_pages, 0)::BIGINT AS host_pages, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_dropped,
@@ -175,7 +176,7 @@ SELECT page_id, host, coalesce(host_pages, 0)::BIGINT AS host_pages, len(lines):
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.line_dedup import drop_boilerplate
 
-    return drop_boilerplate(table(spark, sf_dir, "pages"), BOILERPLATE_RATIO, SITE_PAGES)
+    return drop_boilerplate(table(spark, sf_dir, "pages"), BOILERPLATE_RATIO)
 
 
 @query()

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -65,6 +67,24 @@ def test_mixing_with_salted_lookup(spark, monkeypatch):
     assert Counter(map(str, mixing.mixed(frame).collect())) == plain
 
 
+def test_repeated_rows_draw_on_their_own(spark):
+    """A thousand rows alike come near their source's target; reruns and other partitionings agree."""
+    from ledgerlens.llm.mixing import mixed
+    rows = [(1, "a b c", "a")] * 1000 + [(None, "x y", "b")] * 700 + [(1, "a b c", "c")] * 300 + [(k, "u v w", "c") for k in range(2, 400)] + [(5, None, "b"), (5, "", "b")]
+    frame = docs_frame(spark, rows, clashing=True).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(words(t))
+    want, got = _targets(sizes), mixed(frame.repartition(3))
+    taken = Counter()
+    for r in got.collect():
+        taken[r.source] += r.mix.size * r.mix.copies
+    assert got.count() == len(rows) and got.columns == [*[c for c in frame.columns if c != "mix"], "mix"]
+    for s in sizes:
+        assert taken[s] == pytest.approx(want[s], rel=0.08)
+    assert Counter(map(str, got.collect())) == Counter(map(str, mixed(frame.repartition(8)).collect()))
+
+
 @pytest.mark.parametrize("limit", [1, 60, 300, 5000, 10 ** 9])
 @pytest.mark.parametrize("rows", [edge_rows(), _many(3, 400) + [(1, "same text", "a")] * 200, []], ids=["edge", "many", "empty"])
 def test_sharding(spark, rows, limit):
@@ -168,6 +188,37 @@ def test_line_dedup(spark):
     assert drop_boilerplate(frame.limit(0)).count() == 0
 
 
+def test_small_hosts_lose_their_footer(spark):
+    """The ratio alone decides: a footer on all three pages goes, a line on one page of one never does."""
+    from ledgerlens.llm.line_dedup import drop_boilerplate
+    pages = [(k, "http://three.example/", f"<p>own {k}</p><div>footer</div>") for k in range(3)] + [(9, "http://one.example/", "<p>x</p><p>x</p>")]
+    got = {r.page_id: (r.kept_text, r.n_dropped) for r in drop_boilerplate(spark.createDataFrame(pages, "page_id long, url string, html string"), 0.2).collect()}
+    assert got == {0: ("own 0", 1), 1: ("own 1", 1), 2: ("own 2", 1), 9: ("x\nx", 0)}
+
+
+def test_lines_of_odd_pages_by_plain_regular_expressions(spark):
+    """Cutting before the last end gives what replacing in the whole text gives."""
+    from ledgerlens.llm.line_dedup import PARTS, page_lines
+    r = random.Random(6)
+    bits = ["<script a>", "</script >", "<STYLE>", "</style>", "<!--", "-->", "<p>", "</DIV x='1'>", "<b", "<", ">", "text ", "\n", "é", "<br/>", "<bravo>"]
+    pages = ["".join(r.choice(bits) for _ in range(r.randrange(1, 25))) for _ in range(400)]
+    got = [row.x for row in spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "k long, html string").select("k", page_lines(F.col("html")).alias("x")).orderBy("k").collect()]
+    for page, lines in zip(pages, got, strict=True):
+        for part, by, _ in PARTS:
+            page = re.sub(part, by, page)
+        assert lines == [x for x in (y.strip(" ") for y in re.split(r"[\n\r]", page)) if x]
+
+
+@pytest.mark.parametrize("bit", ["<", "<!--", "<script ", "<p ", "<style>-->", "</script"])
+def test_long_pages_take_linear_time(spark, bit):
+    from ledgerlens.llm.line_dedup import drop_boilerplate
+    page = (bit * (1_000_000 // len(bit) + 1))[:1_000_000]
+    frame = spark.createDataFrame([(1, "http://a.example/", page + ">" + page)], "page_id long, url string, html string")
+    start = time.time()
+    assert drop_boilerplate(frame).count() == 1
+    assert time.time() - start < 20
+
+
 def test_quality_accuracy_and_rules(spark):
     from ledgerlens.llm.quality import keep_good, scored
     sf = "/root/testdata/sf0.1"
