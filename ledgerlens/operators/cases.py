@@ -12,15 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import case_type
+from ledgerlens.operators.class_bitmap import classes_of
 from ledgerlens.sources.schemas import ILLICIT, LICIT
 
 
-def neighbour_counts(edges: DataFrame, classes: DataFrame, direction: str = "out") -> DataFrame:
+def neighbour_counts(edges: DataFrame, classes: DataFrame, direction: str = "out", bitmap: DataFrame | None = None) -> DataFrame:
     """Per node: total, illicit and licit neighbours (multi-edges count).
 
     ``direction='out'`` (default, as analysed) uses txId1 -> txId2;
     ``'in'`` reverses the edges; ``'both'`` uses both.
-    Returns txId1 (the node), total_nb, illicit_nb, licit_nb.
+    With a ``class_bitmap`` the classes come from it, and the edges are shuffled
+    only after their partial aggregation.  Returns txId1 (the node), total_nb,
+    illicit_nb, licit_nb.
     """
     if direction == "out":
         e = edges.select("txId1", "txId2")
@@ -32,11 +35,11 @@ def neighbour_counts(edges: DataFrame, classes: DataFrame, direction: str = "out
     else:
         raise ValueError(direction)
     c2 = classes.select(F.col("txId").alias("txId2"), F.col("class").alias("c2"))
-    return (e.join(c2, "txId2", "left")
-             .groupBy("txId1")
-             .agg(F.count("txId2").alias("total_nb"),
-                  F.count_if(F.col("c2") == ILLICIT).alias("illicit_nb"),
-                  F.count_if(F.col("c2") == LICIT).alias("licit_nb")))
+    known = e.join(c2, "txId2", "left") if bitmap is None else classes_of(e, "txId2", bitmap, "c2")
+    return (known.groupBy("txId1")
+                 .agg(F.count("txId2").alias("total_nb"),
+                      F.count_if(F.col("c2") == ILLICIT).alias("illicit_nb"),
+                      F.count_if(F.col("c2") == LICIT).alias("licit_nb")))
 
 
 def fraud_cases(edges: DataFrame, classes: DataFrame, direction: str = "out") -> DataFrame:

@@ -6,12 +6,14 @@ hub node collapses before it is shuffled) or lookups against the class table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import class_label
 from ledgerlens.operators.cases import neighbour_counts
+from ledgerlens.operators.class_bitmap import classes_of
 from ledgerlens.operators.profile import histogram
+from ledgerlens.operators.sampling import smallest_hashes
 from ledgerlens.sources.schemas import ILLICIT
 
 
@@ -44,31 +46,8 @@ def degree_stats(degrees: DataFrame, col: str = "degree") -> DataFrame:
 
 def degree_sample(degrees: DataFrame, n: int = 50000, id_col: str = "txId", digits: int = 4, most: int = 100_000) -> DataFrame:
     """Up to n nodes without replacement, reproducible for any partitioning:
-    the n smallest (md5 of id, id).
-
-    A histogram of the first md5 digits finds the bucket in which the n-th row
-    lies (16^digits counts at most, one row to the driver); while that bucket holds
-    more than ``most`` rows, its next digits are counted.  All rows before it are
-    taken by comparing the md5, and only its own rows are ordered.  Runs one job per
-    histogram when called.
-    """
-    keyed = degrees.withColumn("_md5", F.md5(F.col(id_col).cast("string")))
-    bucket, left, width = "", n, 0
-    while width < 32:
-        width = min(32, width + digits)
-        inside = keyed.where(F.col("_md5").startswith(bucket)) if bucket else keyed
-        counts = inside.groupBy(F.substring("_md5", 1, width).alias("b")).agg(F.count(F.lit(1)).alias("c"))
-        upto = F.sum("c").over(Window.orderBy("b"))          # one row per bucket
-        cut = counts.withColumn("u", upto).where(F.col("u") >= left).orderBy("b").limit(1).first()
-        if cut is None:                                      # fewer rows than asked for
-            return degrees
-        bucket, left = cut.b, left - (cut.u - cut.c)
-        if cut.c <= most:
-            break
-    before = keyed.where(F.col("_md5") < bucket)
-    rank = F.row_number().over(Window.partitionBy(F.substring("_md5", 1, width)).orderBy("_md5", id_col))   # one bucket
-    edge = keyed.where(F.col("_md5").startswith(bucket)).withColumn("_rn", rank).where(F.col("_rn") <= left).drop("_rn")
-    return before.unionByName(edge).drop("_md5")
+    the n smallest (md5 of id, id).  See ``sampling.smallest_hashes``."""
+    return smallest_hashes(degrees, n, id_col, digits, most)
 
 
 def degree_histogram(degrees: DataFrame, bins: int = 60, col: str = "degree") -> DataFrame:
@@ -111,8 +90,12 @@ def hub_class_share(labelled_hubs: DataFrame) -> DataFrame:
             .withColumn("total", total))
 
 
-def edges_with_classes(edges: DataFrame, classes: DataFrame) -> DataFrame:
-    """txId1, txId2, c1, c2: class of both ends (left joins, missing -> null)."""
+def edges_with_classes(edges: DataFrame, classes: DataFrame, bitmap: DataFrame | None = None) -> DataFrame:
+    """txId1, txId2, c1, c2: class of both ends (missing -> null), by left joins or,
+    with a ``class_bitmap``, without shuffling the edges."""
+    if bitmap is not None:
+        both = classes_of(classes_of(edges.select("txId1", "txId2"), "txId1", bitmap, "c1"), "txId2", bitmap, "c2")
+        return both.select("txId1", "txId2", "c1", "c2")
     c1 = classes.select(F.col("txId").alias("txId1"), F.col("class").alias("c1"))
     c2 = classes.select(F.col("txId").alias("txId2"), F.col("class").alias("c2"))
     return edges.join(c1, "txId1", "left").join(c2, "txId2", "left").select(

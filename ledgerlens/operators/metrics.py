@@ -134,6 +134,37 @@ def curve_areas(scored: DataFrame, score_col: str = "score", label_col: str = "l
         F.round(F.sum((rec - rec0) * (prec + prec0) / 2), digits).alias("auc_pr"))
 
 
+def binned_curve(scored: DataFrame, points: int = 1000, score_col: str = "score", label_col: str = "label",
+                 digits: int = 9) -> DataFrame:
+    """The ROC and precision-recall curves in at most 2 x ``points`` + 1 rows,
+    whatever the number of scores: bin (rising as scores fall), threshold (the
+    bin's lowest score), scores (distinct ones in it), pos, neg, tp, fp, tpr, fpr, precision
+    (= the full curves' point at that threshold), roc_area and pr_area.
+
+    A bin ends where the positives or the negatives pass the next of ``points``
+    equal steps, so every point of the full curve lies within 1 / ``points`` in recall (tpr)
+    and in fpr of a kept one, unless a single score holds more.  The areas are those of the
+    full curve between two kept points, so their sums are its areas, not those of the
+    thinned curve.
+    """
+    base, P, N = _with_totals(_curve_base(scored, score_col, label_col))
+    tp, fp = F.col("cum_pos"), F.col("cum_neg")
+    tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
+    step = F.floor(_div(tp0 * points, P)) + F.floor(_div(fp0 * points, N))   # never falls along the order
+    prec = _div(tp, tp + fp)
+    prec0 = F.when(tp0 + fp0 > 0, tp0.cast("double") / (tp0 + fp0)).otherwise(prec)
+    rows = base.select("score", "pos", "neg", tp.alias("tp"), fp.alias("fp"), P.alias("P"), N.alias("N"), step.alias("step"),
+                       ((_div(fp, N) - _div(fp0, N)) * (_div(tp, P) + _div(tp0, P)) / 2).alias("roc"),
+                       ((_div(tp, P) - _div(tp0, P)) * (prec + prec0) / 2).alias("pr"))
+    bins = rows.groupBy("step").agg(F.min("score").alias("threshold"), F.count(F.lit(1)).alias("scores"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+                                    F.max("tp").alias("tp"), F.max("fp").alias("fp"), F.max("P").alias("P"), F.max("N").alias("N"),
+                                    F.sum("roc").alias("roc"), F.sum("pr").alias("pr"))
+    return bins.select(F.col("step").cast("int").alias("bin"), "threshold", "scores", "pos", "neg", "tp", "fp",
+                       F.round(_div(F.col("tp"), F.col("P")), digits).alias("tpr"), F.round(_div(F.col("fp"), F.col("N")), digits).alias("fpr"),
+                       F.round(_div(F.col("tp"), F.col("tp") + F.col("fp")), digits).alias("precision"),
+                       F.round("roc", digits).alias("roc_area"), F.round("pr", digits).alias("pr_area"))
+
+
 #: More distinct ids than this are no clustering (their sums are columns of one row).
 MOST_CLUSTERS = 1000
 

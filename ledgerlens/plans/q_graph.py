@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerlens.operators import graph
+from ledgerlens.operators.class_bitmap import class_bitmap
 from ledgerlens.plans.oracle import LABEL_SQL, with_fixtures
 from ledgerlens.plans.queries import register
 
@@ -133,6 +134,15 @@ def tx_edges_with_classes(t):
     return graph.edges_with_classes(t.tx_edges, t.tx_classes)
 
 
+@register("tx_edges_with_classes_bitmap", with_fixtures("""
+select e.txId1, e.txId2, c1.class as c1, c2.class as c2
+from tx_edges e left join tx_classes c1 on e.txId1 = c1.txId
+left join tx_classes c2 on e.txId2 = c2.txId""", "tx_edges", "tx_classes"))
+def tx_edges_with_classes_bitmap(t):
+    """The same rows by the class bitmap (by joins where the classes fit none)."""
+    return graph.edges_with_classes(t.tx_edges, t.tx_classes, class_bitmap(t.tx_classes))
+
+
 @register("neighbour_illicit_ratio", with_fixtures(f"with {PROFILE_SQL} select * from profile",
                                                    "tx_edges", "tx_classes"))
 def neighbour_illicit_ratio(t):

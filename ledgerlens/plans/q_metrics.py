@@ -3,11 +3,12 @@ fixed rule score (so every metric is checked against SQL before any model)."""
 
 from __future__ import annotations
 
-from ledgerlens.operators import dataset, metrics, models, wallets
+from ledgerlens.operators import dataset, metrics, models, sampling, wallets
 from ledgerlens.plans.oracle import with_fixtures
 from ledgerlens.plans.queries import register
 from ledgerlens.session import materialize
 from ledgerlens.sources.fixtures import DOC_FEATURE_COLS
+from pyspark.sql import functions as F
 
 # Fixed values of the rule score used to check the metric operators.
 RULE_SCORE_COL = "f_punct_ratio"
@@ -131,6 +132,61 @@ def auc_pr_rule_score(t):
     return metrics.curve_areas(_scored(t))
 
 
+# Feature names of each family, for the family counts of a fixed importance.
+FAMILY_NAMES = {"f_chars": "Local_chars", "f_words": "Local_words", "f_digit_ratio": "Aggregate_digits",
+                "f_punct_ratio": "Aggregate_punct", "f_distinct_ratio": "distinct_share"}
+
+
+@register("importance_groups_rule", _sql(f"""
+with {DS_SQL},
+i as ({" union all ".join(f"select '{n}' as feature, round(abs(corr({c}, label)), 6) as importance from ds" for c, n in FAMILY_NAMES.items())})
+select feature, importance, case when feature like 'Local%' then 'Local' when feature like 'Aggregate%' then 'Aggregate'
+                                 else 'Augmented' end as "group"
+from i order by importance desc, feature limit 4"""))
+def importance_groups_rule(t):
+    """Families of the top features where a feature's importance is its correlation
+    with the label, so that the table can be checked without a model."""
+    ds = labelled_ds(t)
+    row = ds.agg(*[F.round(F.abs(F.corr(c, "label")), 6).alias(n) for c, n in FAMILY_NAMES.items()])
+    cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("importance")) for n in FAMILY_NAMES.values()])
+    return models.importance_groups(row.select(F.inline(cells)), 4)
+
+
+# Steps of the bounded curve in its query.
+CURVE_POINTS = 100
+
+
+@register("binned_curve", _sql(f"""
+with {DS_SQL}, {SCORED_SQL}, {CURVE_SQL},
+s as (
+  select score, pos, neg, cum_pos, cum_neg, P, N,
+         floor((cum_pos - pos) * {CURVE_POINTS} / P) + floor((cum_neg - neg) * {CURVE_POINTS} / N) as step,
+         (cum_neg / N - (cum_neg - neg) / N) * (cum_pos / P + (cum_pos - pos) / P) / 2 as roc,
+         (cum_pos / P - (cum_pos - pos) / P) * (cum_pos / (cum_pos + cum_neg)
+           + case when cum_pos - pos + cum_neg - neg > 0 then (cum_pos - pos) / (cum_pos - pos + cum_neg - neg)
+                  else cum_pos / (cum_pos + cum_neg) end) / 2 as pr
+  from c, t)
+select cast(step as integer) as bin, min(score) as threshold, count(*) as scores,
+       cast(sum(pos) as bigint) as pos, cast(sum(neg) as bigint) as neg, cast(max(cum_pos) as bigint) as tp, cast(max(cum_neg) as bigint) as fp,
+       round(max(cum_pos) / max(P), 9) as tpr, round(max(cum_neg) / max(N), 9) as fpr,
+       round(max(cum_pos) / (max(cum_pos) + max(cum_neg)), 9) as precision, round(sum(roc), 9) as roc_area, round(sum(pr), 9) as pr_area
+from s group by step"""))
+def binned_curve(t):
+    return metrics.binned_curve(_scored(t), CURVE_POINTS)
+
+
+# Majority rows kept for each minority row.
+BALANCE = 1.5
+
+
+@register("balanced_sample", _sql(f"""
+with {DS_SQL}, n as (select cast(round_even({BALANCE} * count(*) filter (where label = 1), 0) as bigint) as keep from ds),
+r as (select *, row_number() over (partition by label order by md5(cast(txId as varchar)), txId) as rn from ds)
+select txId, label from r, n where label = 1 or rn <= keep"""))
+def balanced_sample(t):
+    return sampling.balanced(labelled_ds(t), BALANCE).select("txId", "label")
+
+
 @register("confusion_counts", _sql(f"with {DS_SQL}, {SCORED_SQL}, {CONF_SQL} select * from conf"))
 def confusion_counts(t):
     return metrics.confusion_counts(_scored(t))

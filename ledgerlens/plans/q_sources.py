@@ -9,6 +9,8 @@ from ledgerlens.plans.q_metrics import DS_SQL, RULE_SCORE_COL, RULE_THRESHOLD, l
 from ledgerlens.plans.queries import register
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import catalog, sinks
+from ledgerlens.sources.schemas import TXS_CLASSES
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EDGE_CLASS_SCHEMA = T.StructType([
@@ -29,6 +31,27 @@ def csv_roundtrip(t):
     return catalog.read_table(t.spark, path, EDGE_CLASS_SCHEMA, fmt="csv")
 
 
+# Class text of an order status; the text of orders in progress is no class code.
+CLASS_TEXT = {"F": "1", "O": "2", "P": "pending"}
+
+
+@register("quarantine_counts", """
+select case o_orderstatus when 'F' then 'class 1' when 'O' then 'class 2' else 'quarantined' end as outcome, count(*) as n_rows
+from orders group by 1
+union all select 'all', count(*) from orders""")
+def quarantine_counts(t):
+    """Write classes as header CSV in which some are malformed, read it with a
+    quarantine, and count what was read, set aside and (by the counts per file) seen."""
+    path = scratch_path(t.spark, "quarantine")
+    status = F.create_map(*[F.lit(x) for kv in CLASS_TEXT.items() for x in kv])
+    sinks.write_result(t.raw("orders").select(F.col("o_orderkey").alias("txId"), status[F.col("o_orderstatus")].alias("class")), path, fmt="csv")
+    q = catalog.read_quarantined(t.spark, path, TXS_CLASSES)
+    read = q.rows.groupBy(F.concat(F.lit("class "), F.col("class").cast("string")).alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"))
+    aside = q.rejected.groupBy(F.lit("quarantined").alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"))
+    seen = q.per_file.groupBy(F.lit("all").alias("outcome")).agg(F.sum(F.col("rows_read") + F.col("rows_quarantined")).alias("n_rows"))
+    return read.unionByName(aside).unionByName(seen)
+
+
 def _inventory_sql() -> str:
     from ledgerlens.plans.q_profile import _REF_TABLES
     parts = [f"select '{name}' as \"table\", {len(cols)} as n_cols, count(*) as n_rows from {cte}"

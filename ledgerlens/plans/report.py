@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import (cases, classes, clustering, dataset, graph, metrics, models,
                                   profile, temporal, wallets)
+from ledgerlens.operators.class_bitmap import class_bitmap
 from ledgerlens.session import materialize, persisted, rightsized
 from ledgerlens.sources.sinks import write_predictions, write_result
 
@@ -42,7 +43,8 @@ def _relational(t, shared: list) -> dict[str, DataFrame]:
     pairs = wallets.pair_counts(t.addr_addr).persist()
     shared.append(pairs)
     # one edge/class lookup for both the neighbour profile and the case grading
-    nb_counts = cases.neighbour_counts(edges, tx_cls).persist()
+    # (by bitmap where the class table fits one, else by join)
+    nb_counts = cases.neighbour_counts(edges, tx_cls, bitmap=class_bitmap(tx_cls)).persist()
     shared.append(nb_counts)
     nb = graph.profile_from_counts(nb_counts, tx_cls)
     steps = t.tx_steps if t.tx_steps is not None else temporal.synthetic_steps(tx_cls)

@@ -7,12 +7,15 @@ an error rather than a silently different table.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ledgerlens.session import stored
+
 
 def strict_cast(col: Column, data_type, name: str) -> Column:
     """Cast that raises on a malformed value, whatever the ANSI setting; null and
@@ -53,6 +56,37 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+@dataclass(frozen=True)
+class Quarantined:
+    """``rows``: what could be read; ``rejected``: file, record (the line as it
+    stands) of what could not; ``per_file``: file, rows_read, rows_quarantined."""
+
+    rows: DataFrame
+    rejected: DataFrame
+    per_file: DataFrame
+
+
+_RECORD, _FILE = "_quarantined_record", "_quarantined_file"
+
+
+def read_quarantined(spark: SparkSession, path: str, schema: T.StructType) -> Quarantined:
+    """Read a header CSV and set malformed rows aside instead of failing: cells that
+    do not parse as their type, and rows with too many or too few cells.  Empty cells are null.
+
+    Opt-in; ``read_table`` fails on such rows.  The files are parsed once, when
+    called, into the shared scratch folder, so all three results agree, whichever
+    columns are read later, and rows in = rows read + rows quarantined.
+    """
+    full = T.StructType([*schema.fields, T.StructField(_RECORD, T.StringType())])
+    raw = (spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", _RECORD).csv(path))
+    parsed = stored(raw.select("*", F.col("_metadata.file_path").alias(_FILE)), "parsed")
+    good = F.col(_RECORD).isNull()
+    per_file = parsed.groupBy(F.col(_FILE).alias("file")).agg(F.count_if(good).alias("rows_read"), F.count_if(~good).alias("rows_quarantined"))
+    return Quarantined(parsed.where(good).drop(_RECORD, _FILE),
+                       parsed.where(~good).select(F.col(_FILE).alias("file"), F.col(_RECORD).alias("record")), per_file)
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType | None = None,
                   fmt: str = "parquet") -> DataFrame | None:
     """Like ``read_table`` but returns None when the path does not exist.

@@ -16,9 +16,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.sources import schemas
-from ledgerlens.sources.catalog import read_optional, read_table, strict_cast
+from ledgerlens.sources.catalog import Quarantined, read_optional, read_quarantined, read_table, strict_cast
 
 # File names of the dataset layout.
 FILES = {
@@ -37,14 +38,22 @@ TIME_STEP_HEADER = "Time step"
 
 
 class CsvTables:
-    def __init__(self, spark: SparkSession, base_dir: str):
+    """``quarantine``: set malformed rows aside instead of failing; ``set_aside`` then
+    holds the rejected rows and counts per file of every table read so far."""
+
+    def __init__(self, spark: SparkSession, base_dir: str, quarantine: bool = False):
         self.spark = spark
         self.base = base_dir.rstrip("/")
+        self.quarantine = quarantine
+        self.set_aside: dict[str, Quarantined] = {}
 
     def _path(self, key: str) -> str:
         return f"{self.base}/{FILES[key]}"
 
     def _csv(self, key: str, schema) -> DataFrame:
+        if self.quarantine:
+            self.set_aside[key] = read_quarantined(self.spark, self._path(key), schema)
+            return self.set_aside[key].rows
         return read_table(self.spark, self._path(key), schema, fmt="csv")
 
     @cached_property
@@ -77,6 +86,10 @@ class CsvTables:
         raw = read_optional(self.spark, self._path("txs_features"), fmt="csv")
         if raw is None:
             return None
+        if self.quarantine:
+            kinds = {"txId": T.LongType(), TIME_STEP_HEADER: T.IntegerType()}
+            rows = self._csv("txs_features", T.StructType([T.StructField(c, kinds.get(c, T.DoubleType())) for c in raw.columns]))
+            return rows.withColumnRenamed(TIME_STEP_HEADER, "time_step")
         cols = []
         for c in raw.columns:
             src = F.col(f"`{c}`")
@@ -93,6 +106,8 @@ class CsvTables:
         raw = read_optional(self.spark, self._path(key), fmt="csv")
         if raw is None:
             return None
+        if self.quarantine:
+            return self._csv(key, T.StructType([T.StructField(c, T.StringType() if c == "address" else T.DoubleType()) for c in raw.columns]))
         return raw.select(*[F.col("address") if c == "address" else strict_cast(F.col(f"`{c}`"), "double", c) for c in raw.columns])
 
     @cached_property

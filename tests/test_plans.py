@@ -69,7 +69,9 @@ EAGER_BY_DESIGN = {"csv_roundtrip", "scored_output", "silhouette_rule_clusters",
                    "standardised_features",
                    # range-sliced order or per-value tables, written once (operators/ordering.py)
                    "degree_sample", "synthetic_time_steps", "degree_histogram", "neighbour_ratio_histogram",
-                   "feature_summary", "feature_box_stats", "feature_correlation", "roc_curve", "pr_curve", "auc_pr_rule_score"}
+                   "feature_summary", "feature_box_stats", "feature_correlation", "roc_curve", "pr_curve", "auc_pr_rule_score",
+                   # the same, new: bounded curve; counts before a sample; page table sized before its broadcast; one parse
+                   "binned_curve", "balanced_sample", "tx_edges_with_classes_bitmap", "quarantine_counts"}
 
 
 @pytest.mark.parametrize("name", SQL_QUERIES)
