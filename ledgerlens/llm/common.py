@@ -13,8 +13,9 @@ from ledgerlens.session import stored  # noqa: F401  (the operators take it from
 #: A word, as every contract of this package defines it.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows up to which a per-source or per-item table may be broadcast (a few MB).
-BROADCAST_ROWS = 100_000
+#: Rows, and bytes as Catalyst counts them (a written table: its files), up to which a
+#: per-source or per-item table may be broadcast; both must hold.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
 
 
 def workers_find_package(spark: SparkSession) -> None:
@@ -30,10 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its counted ``rows`` are within ``limit``;
-    beyond it the join is left to Catalyst (shuffle join, AQE skew splitting)."""
-    return F.broadcast(df) if rows <= limit else df
+def fits(df: DataFrame, rows: int, limit: int | None = None) -> bool:
+    """Whether ``df`` (read from a written table, of ``rows`` counted rows) may be broadcast."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows <= (BROADCAST_ROWS if limit is None else limit) and size <= BROADCAST_BYTES
+
+
+def small_side(df: DataFrame, rows: int, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its counted ``rows`` and its bytes are within
+    the limits; beyond them the join is left to Catalyst (shuffle join, AQE skew
+    splitting)."""
+    return F.broadcast(df) if fits(df, rows, limit) else df
 
 
 def shield(docs: DataFrame, *cols: str) -> tuple[DataFrame, list[str], list]:
@@ -51,11 +59,11 @@ SALTS = 32
 
 def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, rows: int, spread: list[str]) -> DataFrame:
     """``left`` with the columns of ``right`` (one row per key) where the keys
-    agree, null included.  ``rows``: counted rows of ``right``; within
-    BROADCAST_ROWS it is broadcast, beyond that a hot key's rows are dealt over
-    SALTS keys by the hash of the ``spread`` columns."""
+    agree, null included.  ``rows``: counted rows of ``right``; within the limits of
+    ``fits`` it is broadcast, beyond that a hot key's rows are dealt over SALTS keys
+    by the hash of the ``spread`` columns."""
     same = F.col(left_key).eqNullSafe(F.col(right_key))
-    if rows <= BROADCAST_ROWS:
+    if fits(right, rows):
         return left.join(F.broadcast(right), same, "left")
     salted = right.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = left.withColumn("__salt1", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))

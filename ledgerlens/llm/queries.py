@@ -118,8 +118,8 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5)),
-bs AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS k FROM b WHERE len(w) >= 5)),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM d WHERE len(w) > 0)),
+bs AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM b WHERE len(w) > 0)),
 q AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY 1),
 m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment

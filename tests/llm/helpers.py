@@ -91,7 +91,8 @@ def components(nodes, linked):
 
 
 def leaks(rows, items, containment=0.8, n=5):
-    shingles = lambda t: {tuple(w[k:k + n]) for w in [words((t or "").lower())] for k in range(len(w) - n + 1)}
+    # a text of fewer words is one shingle
+    shingles = lambda t: {tuple(w[k:k + n]) for w in [words((t or "").lower())] if w for k in range(max(1, len(w) - n + 1))}
     bench = {i: shingles(t) for i, t in items}
     out = set()
     for d, t, *_ in rows:

@@ -162,6 +162,46 @@ def test_decontamination(spark, clash):
     assert found(frame.limit(0), bench).count() == found(frame, bench.limit(0)).count() == 0
 
 
+def test_short_items_leak_into_documents_of_their_words(spark):
+    from ledgerlens.llm.decontaminate import leaks as found
+    docs = docs_frame(spark, [(1, "Paris  is big", "a"), (2, "paris is big and old", "a"), (3, "one", "b"), (4, " ", "b"), (5, None, "b"), (6, "is big", "a")])
+    items = spark.createDataFrame([(1, "paris is BIG"), (2, "One"), (3, " "), (4, None)], "item_id long, text string")
+    assert sorted(tuple(r) for r in found(docs, items).select("doc_id", "item_id", "n_shared", "n_item").collect()) == [(1, 1, 1, 1), (3, 2, 1, 1)]
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_texts_stay_out_of_the_shingle_rows(spark, monkeypatch, limit):
+    """On either side of the broadcast limits no plan shuffles shingle rows with a text, and the leaks are the same."""
+    from ledgerlens.llm import common, decontaminate
+    monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+    plans, plain = [], decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or plain(df, name))
+    r = random.Random(9)
+    items = [(k, " ".join(f"b{r.randint(0, 400)}" for _ in range(r.choice([5, 20, 40])))) for k in range(60)]
+    rows = [(k, " ".join([f"x{r.randint(0, 99)}"] * 7 + words(r.choice(items)[1])[r.choice([0, 0, 9]):] + ["end"] * 5), "a") for k in range(90)]
+    got = decontaminate.leaks(docs_frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id, x.n_shared, x.n_item) for x in got.collect()} == leaks(rows, items)
+    probing = next(p for name, p in plans if name == "candidates")
+    for line in probing.split("\n"):
+        if "Generate explode" in line or "Exchange" in line:
+            assert "text#" not in line, line
+    assert "Generate explode" in probing
+
+
+def test_a_phrase_shared_by_all_items(spark):
+    """20,000 items begin alike: the phrase is in no sketch of an item with words of its own."""
+    from ledgerlens.llm.decontaminate import item_sketches, leaks as found
+    phrase = "answer the following question in one short sentence please now"
+    items = spark.range(20_000).select(F.col("id").alias("item_id"), F.concat(F.lit(phrase + " "), F.array_join(
+        F.transform(F.sequence(F.lit(0), F.lit(24)), lambda k: F.concat(F.lit("w"), F.xxhash64("id", k).cast("string"))), " ")).alias("text"))
+    some = {r.item_id: r.text for r in items.where("item_id % 4000 = 7").collect()}
+    docs = [(k, f"{phrase} and nothing else of number {k} here", "a") for k in range(300)] + [(1000 + i, "so " + t + " then", "b") for i, t in some.items()]
+    got = found(docs_frame(spark, docs), items).select("doc_id", "item_id").collect()
+    assert sorted(tuple(r) for r in got) == sorted((1000 + i, i) for i in some)
+    shared = item_sketches(items, 0.8, 5, "item_id", "text").select(F.explode("sketch").alias("h")).groupBy("h").count().agg(F.max("count")).first()[0]
+    assert shared < 10
+
+
 def test_token_counts_equal_the_library(spark):
     P = pytest.importorskip("public_tokenizers")
     import sentencepiece
