@@ -4,8 +4,8 @@ Method.  A document's bucket is named by the leading bits of its hash.  The
 directory starts as one bucket; only a bucket over the byte limit splits, on its
 next bit.  Since byte sums alone decide, a round adds the bytes up once by a
 prefix a few bits longer than the corpus should need and rolls them up to all
-shorter prefixes; the directory maps each long prefix to its bucket, the
-shortest prefix that fits.  Buckets still too large at that depth, and only
+shorter prefixes; a bucket is the shortest prefix that fits.  The directory has
+one entry a bucket, under prefixes as long as the shortest bucket's.  Buckets still too large at that depth, and only
 they, go through a further round with more bits.  Rows whose whole hash agrees
 (rows repeated whole) cannot be split by bits; where they are over the limit
 together they fill numbered overflow pages.  A single document over the limit is
@@ -35,20 +35,44 @@ def _prefix(h: Column, bits: int) -> Column:
     return F.shiftright(h, HASH_BITS - bits)
 
 
+def _rolled(sums: DataFrame, width: int, low: int, high: int) -> DataFrame:
+    """bits, prefix, bytes, docs of the prefixes of ``low`` to ``high`` bits, from sums
+    per prefix (p) of ``width`` bits."""
+    each = sums.select("p", "bytes", "docs", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("bits"))
+    each = each.withColumn("prefix", F.expr(f"shiftright(p, {width} - bits)"))
+    return each.groupBy("bits", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("docs").alias("docs"))
+
+
 def _round(sized: DataFrame, done: int, depth: int, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Directory (p: prefix of ``depth`` bits; bits, prefix, bytes of its bucket)
-    of rows whose first ``done`` bits are known not to fit (0: nothing is known),
-    and the prefixes (p) that do not fit at ``depth`` bits either."""
+    """Buckets (bits, prefix, bytes) of rows whose first ``done`` bits are known not
+    to fit (0: nothing is known), and the prefixes (p) that do not fit at ``depth``
+    bits either.  Prefixes are rolled up in two steps, the lower bits from the sums
+    of the middle ones, so few rows meet every level."""
     sums = stored(sized.groupBy(_prefix(F.col("h"), depth).alias("p")).agg(
         F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("docs")), "sums")
-    levels = F.sequence(F.lit(done + 1 if done else 0), F.lit(depth))
-    rolled = sums.select("p", "bytes", "docs", F.explode(levels).alias("bits")).withColumn(
-        "prefix", F.expr(f"shiftright(p, {depth} - bits)"))
-    nodes = rolled.groupBy("bits", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("docs").alias("docs"))
-    fitting = nodes.where((F.col("bytes") <= limit) | (F.col("docs") == 1)).select("bits", "prefix", "bytes")
-    bucket = F.min(F.struct("bits", "prefix", "bytes")).alias("b")
-    found = stored(rolled.select("p", "bits", "prefix").join(fitting, ["bits", "prefix"]).groupBy("p").agg(bucket).select("p", "b.*"), "directory")
-    return found, sums.join(found, "p", "left_anti").select("p")
+    least, middle = (done + 1 if done else 0), max(done + 1, depth - SPARE_BITS - 2)
+    nodes = stored(_rolled(sums, depth, middle, depth), "nodes")
+    if middle > least:
+        at = nodes.where(F.col("bits") == middle).select(F.col("prefix").alias("p"), "bytes", "docs")
+        nodes = stored(nodes.unionByName(_rolled(at, middle, least, middle - 1)), "nodes")
+    fits = (F.col("bytes") <= limit) | (F.col("docs") == 1)
+    # a bucket is a fitting prefix whose parent does not fit (the shortest ones have none)
+    parents = nodes.where(~fits).select((F.col("bits") + 1).alias("bits"), F.col("prefix").alias("parent"))
+    fitting = nodes.where(fits).withColumn("parent", F.shiftright("prefix", 1))
+    below = fitting.join(parents, ["bits", "parent"], "left_semi").select("bits", "prefix", "bytes")
+    first = fitting.where(F.col("bits") == least).select("bits", "prefix", "bytes")
+    buckets = stored(first.unionByName(below), "buckets")
+    over = nodes.where(~fits & (F.col("bits") == depth)).select(F.col("prefix").alias("p"))
+    return buckets, over
+
+
+def _directory(buckets: DataFrame, k: int) -> tuple[DataFrame, int]:
+    """p{k}: a prefix as short as the shortest bucket's; d{k}: the buckets under it;
+    and the bits of p{k}.  One entry a bucket in all."""
+    bits = buckets.agg(F.min("bits")).first()[0] or 0
+    rows = buckets.groupBy(F.expr(f"shiftright(prefix, bits - {bits})").alias(f"p{k}")).agg(
+        F.collect_list(F.struct("bits", "prefix", "bytes")).alias(f"d{k}"))     # at most 2^(depth - bits) buckets
+    return stored(rows, "directory"), bits
 
 
 def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,9 +96,10 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     while True:
         entries, over = _round(sized, done, depth, limit)
         k = len(buckets)
-        named = entries.select(F.col("p").alias(f"p{k}"), F.struct("bits", "prefix", "bytes").alias(f"b{k}"))
-        placed = placed.withColumn(f"q{k}", _prefix(F.col("h"), depth)).join(
-            small_side(named, entries.count()), F.col(f"q{k}") == F.col(f"p{k}"), "left")
+        named, bits = _directory(entries, k)
+        placed = placed.withColumn(f"q{k}", _prefix(F.col("h"), bits)).join(
+            small_side(named, named.count()), F.col(f"q{k}") == F.col(f"p{k}"), "left").withColumn(
+            f"b{k}", F.expr(f"get(filter(d{k}, b -> shiftright(h, cast({HASH_BITS} - b.bits as int)) = b.prefix), 0)"))
         buckets.append(F.col(f"b{k}"))
         over = stored(over, "over")
         if not over.head(1):
