@@ -1,0 +1,132 @@
+"""The quality classifier against an independent discriminant; the pipeline on odd rows against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import string
+import zlib
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import components, docs_frame, edge_rows, leaks, simhash, words
+
+SF = "/root/testdata/sf0.001"
+
+
+def logit(part, whole):
+    return math.log((part + 0.5) / (max(whole - part, 0) + 0.5))
+
+
+def plain_statistics(text):
+    """The fourteen statistics, counted character by character and word by word."""
+    w = words(text)
+    raw = (text or "").encode()
+    size = sum(len(x.encode()) for x in w)
+    signs = set(string.punctuation) - set(".,")
+    upper, lower = (sum(c in set(x) for c in text or "") for x in (string.ascii_uppercase, string.ascii_lowercase))
+    count = Counter(w)
+    caps = sum(sum(c in string.ascii_uppercase for c in x) >= 2 and not any(c in string.ascii_lowercase for c in x) for x in w)
+    lines = math.log1p((text or "").count("\n")) - math.log1p(len(w))
+    return [math.log1p(len(w)), math.log1p(size / max(len(w), 1)), logit(upper, upper + lower), logit(sum(c in string.digits for c in text or ""), size),
+            logit(sum(c in ".," for c in text or ""), size), logit(sum(c in signs for c in text or ""), size), logit(sum(b >= 128 for b in raw), size), lines,
+            logit(len(count), len(w)), logit(max(count.values(), default=0), len(w)), logit(sum(a == b for a, b in zip(w, w[1:], strict=False)), len(w)),
+            logit(len(set(zip(w, w[1:], w[2:], strict=False))), max(len(w) - 2, 0)), logit(caps, len(w)), logit(sum(x[-1] in signs for x in w), len(w))]
+
+
+def plain_scores(x, y, teach, shrink=0.1):
+    """Scores by covariances, determinants and solved systems, without Cholesky factors."""
+    x, t = np.array(x), {c: np.array([v for v, a, b in zip(x, y, teach, strict=True) if b and a == c]) for c in (0, 1)}
+    n = {c: len(t[c]) for c in t}
+    own = {c: np.cov(t[c].T, bias=True) for c in t}
+    pooled = sum(n[c] * own[c] for c in t) / sum(n.values())
+    ridge = np.diag(np.maximum(np.diag(pooled), 1e-6)) * 1e-3
+
+    def density(v, c):
+        cov, d = (1 - shrink) * own[c] + shrink * pooled + ridge, v - t[c].mean(axis=0)
+        return math.log(n[c] / sum(n.values())) - np.linalg.slogdet(cov)[1] / 2 - (d * np.linalg.solve(cov, d.T).T).sum(axis=1) / 2
+
+    odds = density(x, 1) - density(x, 0)
+    seen = [(min(max(math.floor(o * 4), -1000), 1000), a) for o, a, b in zip(odds, y, teach, strict=True) if b and a is not None]
+    wrong = [sum(a == 1 for b, a in seen if b <= cut) + sum(a == 0 for b, a in seen if b > cut) for cut in range(-1000, 1001)]
+    best, runs = [k for k in range(2001) if wrong[k] == min(wrong)], []
+    for k in best:
+        if runs and runs[-1][-1] == k - 1:
+            runs[-1].append(k)
+        else:
+            runs.append([k])
+    widest = max(runs, key=len)
+    return 1 / (1 + np.exp(-(odds - ((widest[0] + widest[-1]) / 2 + 1 - 1000) / 4)))
+
+
+def test_quality_scores_equal_an_independent_discriminant(spark):
+    from ledgerlens.llm.quality import scored, with_statistics
+    r = random.Random(12)
+    vocabulary = ["".join(r.choice("abcdeéfg") for _ in range(r.randint(2, 9))) for _ in range(400)]
+    rows, labels = [*edge_rows()[:11]], []
+    for i in range(100, 420):
+        good = r.random() < 0.7
+        w = [r.choice(vocabulary) + (r.choice("!!#9") if not good and r.random() < 0.3 else r.choice(["", "", ",", ".\n"])) for _ in range(r.randint(3, 120))]
+        rows.append((i, " ".join(x.upper() if not good and r.random() < 0.5 else x.capitalize() if r.random() < 0.1 else x for x in w), "a"))
+        labels.append((i, int(good) if r.random() < 0.95 else int(not good)))
+    docs, known = docs_frame(spark, rows), dict(labels)
+    stats = sorted((str(x.doc_id), tuple(x.x)) for x in with_statistics(docs).collect())
+    want = sorted((str(i), tuple(plain_statistics(t))) for i, t, _ in rows)
+    assert [a for a, _ in stats] == [a for a, _ in want]
+    assert np.allclose([b for _, b in stats], [b for _, b in want])
+    got = scored(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    teach = [i is not None and zlib.crc32(str(i).encode()) % 3 != 1 for i, _, _ in rows]
+    expected = plain_scores([plain_statistics(t) for _, t, _ in rows], [known.get(i) for i, _, _ in rows], teach)
+    pairs = sorted((str(x.doc_id), round(x.score, 6)) for x in got), sorted((str(i), round(float(s), 6)) for (i, _, _), s in zip(rows, expected, strict=True))
+    assert np.allclose([b for _, b in pairs[0]], [b for _, b in pairs[1]], atol=2e-6) and len({b for _, b in pairs[0]}) > 50
+
+
+def test_pipeline_rows_on_odd_rows(spark):
+    """Every stage's kept rows, ids and texts, on nulls, empty, long and repeated rows, by brute force."""
+    import corpus_pipeline as P
+    from ledgerlens.llm.queries import SHARD_BYTES
+    stages = dict(P.STAGES)
+    items = [(x.item_id, x.text) for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    leak = "intro " + items[0][1] + " outro words here"
+    rows = [*edge_rows(), (40, leak, "a"), (41, leak + " more", "b"), (42, "plain words that say nothing of note at all", "z"), (42, "plain words that say nothing of note at all", "z")]
+    frame = docs_frame(spark, rows, clashing=True)
+    same = lambda df: Counter((x.doc_id, x.text, x.source, x.key) for x in df.collect())
+    plain = lambda rs: Counter((i, t, s, "own key") for i, t, s in rs)
+    # near copies: one row of each component, the smallest id (ids before null)
+    groups = components({simhash(t) for _, t, _ in rows}, lambda a, b: bin(a ^ b).count("1") <= 3)
+    best = {}
+    for i, t, _ in rows:
+        root = min(groups[simhash(t)])
+        best[root] = min(best.get(root, (True, 0)), (i is None, i or 0))
+    two = stages["near_dedup"](spark, frame, SF)
+    kept = same(two)
+    assert sorted((k[0] is None, k[0] or 0) for k in kept.elements()) == sorted(best.values()) and set(kept) <= set(plain(rows))
+    # leaks: rows that hold an item go, all others stay as often as they were
+    bad = {t for i, t, _ in rows if leaks([(i, t)], items)}
+    assert leak in bad and same(stages["decontaminate"](spark, frame, SF)) == plain(x for x in rows if x[1] not in bad)
+    # mix: only rows of the input, each at most three times its number; a source without words gives none
+    mixed, n = same(stages["mix"](spark, frame, SF)), plain(rows)
+    assert all(k <= 3 * n[x] for x, k in mixed.items())
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(words(t))
+    assert all(sizes[x[2]] for x in mixed) and mixed == same(stages["mix"](spark, frame.repartition(5), SF))
+    # shards: every row once, under the bucket of its hash, within the limit unless alone
+    shards = stages["shard"](spark, frame, SF).collect()
+    assert Counter((x.doc_id, x.text, x.source, x.key) for x in shards) == plain(rows)
+    held = Counter()
+    for x in shards:
+        h = int(hashlib.md5(f"{'' if x.doc_id is None else x.doc_id}|{x.text or ''}".encode()).hexdigest()[:15], 16)
+        assert x.shard == "root" or format(h, "060b").startswith(re.sub(r"\+.*", "", x.shard))
+        held[x.shard] += len((x.text or "").encode())
+    assert all(held[x.shard] == x.shard_bytes for x in shards) and all(b <= SHARD_BYTES or sum(y.shard == s for y in shards) == 1 for s, b in held.items())
+    # quality: the rows that the classifier does not reject, unchanged
+    from ledgerlens.llm.quality import scored
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    verdict = {(x.doc_id, x.key): x.predicted for x in scored(frame, labels).collect()}
+    key = {(x.doc_id, x.text): x.h for x in frame.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    assert same(stages["quality"](spark, frame, SF)) == plain(x for x in rows if verdict[x[0], key[x[0], x[1]]] == 1)
+    for _, stage in P.STAGES:
+        assert stage(spark, frame.limit(0), SF).count() == 0
