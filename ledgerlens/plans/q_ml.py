@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from ledgerlens.operators import clustering, dataset, metrics, models, wallets
 from ledgerlens.plans.queries import register
-from ledgerlens.session import materialize, persisted, rightsized
+from ledgerlens.session import compacted, materialize, persisted
 from ledgerlens.sources.fixtures import DOC_FEATURE_COLS
 
 
@@ -83,7 +83,7 @@ def _wallet_features(t):
 def _scaled_wallets(t):
     """The wallet table with its scaled vector, persisted without the raw vector;
     the unscaled copy is released once the scaler is fitted."""
-    with persisted(rightsized(_wallet_features(t))) as wf:
+    with persisted(compacted(_wallet_features(t), "wallets")) as wf:
         slim = clustering.scaled(wf, wallets.WALLET_FEATURES).select("address", "class", *wallets.WALLET_FEATURES, "features").persist()
         slim.count()
     try:

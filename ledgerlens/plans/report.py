@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import (cases, classes, clustering, dataset, graph, metrics, models,
                                   profile, temporal, wallets)
 from ledgerlens.operators.class_bitmap import class_bitmap
-from ledgerlens.session import materialize, persisted, rightsized
+from ledgerlens.session import compacted, materialize, persisted
 from ledgerlens.sources.sinks import write_predictions, write_result
 
 # Fixed values of the analysed script's report (sizes of its top lists, bins).
@@ -117,7 +117,7 @@ def _models(t, cross_validation: bool) -> dict[str, DataFrame]:
 def _clusters(t, pairs: DataFrame | None = None) -> dict[str, DataFrame]:
     wf = wallets.wallet_features(t.addr_addr, t.addr_tx, t.tx_addr, t.wallet_classes,
                                  pairs=pairs)
-    with persisted(rightsized(wf)) as wf, \
+    with persisted(compacted(wf, "wallets")) as wf, \
             persisted(clustering.scaled(wf, wallets.WALLET_FEATURES)) as scaled:
         scores, fitted = clustering.kmeans_sweep(scaled)
         clustered = clustering.best_clustering(scaled, scores, fitted)
