@@ -91,10 +91,9 @@ def _drop_at_exit(spark: SparkSession, path: str) -> None:
 
 
 def rightsized(df: DataFrame) -> DataFrame:
-    """``df`` with partitions sized by data volume (AQE rebalance to the
-    advisory partition size): a small table becomes one partition instead of
-    ``spark.sql.shuffle.partitions`` tiny ones, a large one many ~64 MB ones.
-    Used before caching tables that iterative estimators scan many times."""
+    """``df`` rebalanced, so that no partition is much larger than the others.  AQE
+    may still keep many small partitions of a small cached table; ``compacted``
+    sizes them by the bytes measured."""
     return df.hint("rebalance")
 
 
