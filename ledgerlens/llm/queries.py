@@ -36,14 +36,11 @@ def query(oracle: str | None = None):
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from ledgerlens.llm.token_counts import token_count
+    from ledgerlens.llm.token_counts import counted
 
     path = str(public_tokenizers.path("piece_bpe_32k.model"))
-    counted = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-        token_count(F.col("text"), path).alias("n_tokens"))
-    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return counted(docs, path).withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
 @query(r"""

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,13 +224,70 @@ def test_token_counts_equal_the_library(spark):
 
 def test_chunk_maps_compose_associatively():
     P = pytest.importorskip("public_tokenizers")
-    from ledgerlens.llm.token_counts import transducer
+    from ledgerlens.llm.token_counts import compose, fold, transducer
     t = transducer(str(P.path("piece_bpe_32k.model")))
     r = random.Random(1)
-    for _ in range(300):
-        a, b, c = (t.chunk("".join(r.choice("▁\nabthe") for _ in range(r.randint(0, 8)))) for _ in range(3))
-        left, right = t.compose(t.compose(a, b), c), t.compose(a, t.compose(b, c))
-        assert left == right
+    for alphabet in ("▁\nabthe", "a", "=-", "thein"):
+        for _ in range(100):
+            text = "".join(r.choice(alphabet) for _ in range(r.randint(3, 300)))
+            i, j = sorted(r.sample(range(1, len(text)), 2))
+            a, b, c = t.chunk(text[:i]), t.chunk(text[i:j], text[:i][-90:]), t.chunk(text[j:], text[:j][-90:])
+            whole = compose(compose(a, b), c)
+            assert whole == compose(a, compose(b, c)) == fold(iter([a, b, c]))
+            assert [n for _, n in whole.values()] in ([], [t.run(0, text)[1]])
+
+
+def test_states_are_foreseen_in_repeated_and_random_texts(monkeypatch):
+    """The joined map decides: the carried run, its exact way out, is not needed."""
+    P = pytest.importorskip("public_tokenizers")
+    import sentencepiece
+    from ledgerlens.llm import token_counts as T
+    path = str(P.path("piece_bpe_32k.model"))
+    t, lib = T.transducer(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    r = random.Random(5)
+    texts = ["a" * 3001, "ab" * 1999, "=" * 2500, " " * 777, "".join(r.choice("abcdefABC0123+/=") for _ in range(5000)), "the quick brown fox " * 300]
+    want = [len(lib.encode(x)) for x in texts]
+    assert [t.count(x, n) for x in texts for n in (100, 333)] == [w for w in want for _ in range(2)]
+    monkeypatch.setattr(T.Transducer, "carried", lambda *a: pytest.fail("a state was not foreseen"))
+    assert [t.count(x, 333) for x in texts] == want
+
+
+@pytest.mark.parametrize("blind", [False, True])
+def test_long_texts_are_dealt_over_tasks(spark, monkeypatch, blind):
+    """Texts over the limit give the library's counts, repeated and odd rows included; so do those whose states were not foreseen."""
+    P = pytest.importorskip("public_tokenizers")
+    import sentencepiece
+    from ledgerlens.llm import token_counts as T
+    path = str(P.path("piece_bpe_32k.model"))
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    r = random.Random(6)
+    rows = [(1, "word é一\n " * 400), (1, "word é一\n " * 400), (None, "x\U0001F600" * 900), (2, "a" * 5000), (3, None), (4, ""), (5, "short"),
+            (6, "".join(r.choice("abcXYZ019+/") for _ in range(7000))), (7, " " * 3000)]
+    if blind:  # maps without the start state
+        monkeypatch.setattr(T, "_joined", lambda pdf: pd.DataFrame({"key": [pdf.key.iloc[0]], "n": pd.array([None], dtype="Int64")}))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("own")).withColumn("n_tokens", F.lit("x")).withColumn("block", F.lit(1))
+    got = T.counted(docs, path, long_bytes=1000, chunk_chars=50, block_chunks=8)
+    assert sorted(got.columns) == ["block", "doc_id", "key", "n_bytes", "n_tokens"]
+    want = sorted((str(i), len((t or "").encode()), len(lib.encode(t or ""))) for i, t in rows)
+    assert sorted((str(x.doc_id), x.n_bytes, x.n_tokens) for x in got.collect()) == want
+    assert T.counted(docs.where("false"), path).collect() == []
+
+
+def test_other_models_are_refused():
+    P = pytest.importorskip("public_tokenizers")
+    from ledgerlens.llm.token_counts import bpe_pieces
+
+    def message(**kind):  # a model of one piece; field numbers of the public schema
+        trainer = b"\x18" + bytes([kind.get("model_type", 2)]) + b"\x98\x02" + bytes([kind.get("byte_fallback", 1)])
+        normalizer = b"\x18" + bytes([kind.get("prefix", 1)]) + b"\x20" + bytes([kind.get("squeeze", 0)]) + kind.get("charsmap", b"")
+        piece = b"\x0a\x01a\x18" + bytes([kind.get("piece", 1)])
+        return b"".join(tag + bytes([len(m)]) + m for tag, m in ((b"\x0a", piece), (b"\x12", trainer), (b"\x1a", normalizer)))
+
+    assert bpe_pieces(message()) == [("a", 0.0)]
+    for other in ({"model_type": 1}, {"byte_fallback": 0}, {"prefix": 0}, {"squeeze": 1}, {"charsmap": b"\x12\x01x"}, {"piece": 4}):
+        with pytest.raises(ValueError):
+            bpe_pieces(message(**other))
+    assert len(bpe_pieces(open(P.path("piece_bpe_32k.model"), "rb").read())) > 30_000
 
 
 def test_long_text_without_a_synchronising_point():
