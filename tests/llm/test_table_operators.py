@@ -285,6 +285,40 @@ def test_top_k(spark, kind):
         assert got == _brute(rows, 5)
 
 
+def test_queries_go_only_to_cells_within_reach(spark):
+    """Clustered vectors: most (query, cell) pairs are left out, and the rows stay exact."""
+    from ledgerlens.llm import topk as T
+    r = np.random.default_rng(3)
+    middle = r.normal(size=(40, 64))
+    rows = [(i, (middle[i % 40] + 0.05 * r.normal(size=64)).tolist()) for i in range(8000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    stored_rows = T._vectors(frame, 64, "vec_id", "embedding")
+    _, _, queries, cells = T.search_plan(stored_rows, 20, 20, 1000, 200)
+    assert cells.rows.sum() == 8000 and 32 <= len(cells.rows) <= 120
+    scored = sum(cells.rows[q.home] + sum(cells.rows[q.reached]) for q in queries.collect())
+    print("share of pairs in cells within reach:", scored / (8000 * 400))
+    assert scored < 0.3 * 8000 * 400
+    x = np.floor(64 * np.array([v for _, v in rows])).astype(np.int64)
+    want = []
+    for q in range(0, 8000, 20):
+        p = x @ x[q]
+        p[q] = -(1 << 62)
+        want += [(q, n + 1, int(j), int(p[j])) for n, j in enumerate(np.lexsort((np.arange(8000), -p))[:20])]
+    got = sorted(tuple(z) for z in T.top_k(frame, block=1000, query_block=200).collect())
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("size", [1.0, 1e4, 3e8])
+def test_cell_bounds_hold(spark, size):
+    """No row of a cell scores over its bound, near cancellation and at large components as well."""
+    from ledgerlens.llm import topk as T
+    r = np.random.default_rng(4)
+    rows = [(i, (size * r.normal(size=5)).tolist()) for i in range(500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(z) for z in T.top_k(frame, 5, block=40, query_block=10, scale=1).collect())
+    assert got == _brute(rows, 5, scale=1)
+
+
 def test_cover_tree_invariants():
     from ledgerlens.llm.topk import CoverTree
     p = np.random.default_rng(1).normal(size=(900, 5))
