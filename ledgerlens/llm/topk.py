@@ -188,10 +188,13 @@ def _pair(k: int):
         exact = None
         if most >= 2 ** 52:
             exact = (q, c) if most < 2 ** 62 else (q.astype(object), c.astype(object))
-        scores, who, found = _search(q.astype(float), q_ids, c.astype(float), ids, k, exact, qs.least.fillna(-np.inf).to_numpy(float))
+        least = qs.least.fillna(-np.inf).to_numpy(float)
+        scores, who, found = _search(q.astype(float), q_ids, c.astype(float), ids, k, exact, least)
         keep = np.arange(k)[None, :] < found[:, None]
+        if exact is None:  # scores are exact as floats; k others reach the threshold already
+            keep &= scores >= least[:, None]
         flat = [max(min(int(x), 2 ** 63 - 1), -2 ** 63) for x in scores[keep]] if scores.dtype == object else scores[keep]
-        return pd.DataFrame({"query_id": np.repeat(q_ids, found), "vec_id": who[keep], "score": np.array(flat, np.int64)})
+        return pd.DataFrame({"query_id": np.repeat(q_ids, keep.sum(axis=1)), "vec_id": who[keep], "score": np.array(flat, np.int64)})
 
     return run
 
