@@ -3,16 +3,18 @@
 Method.  Two rounds.  In the first, words get 64-bit hashes, every window of
 ``window`` consecutive words a Rabin-Karp hash of its word hashes.  Map tasks cut
 their rows into batches and deal each batch's window hashes out by their leading
-bits into compact binary blocks (4 bytes a hash, about 1 a position and 1 an id).
-Each bucket counts its hashes over all batches and sends back the positions whose
-hash stands in several documents.  These are only candidates: equal windows are
-always among them, and chance may add a few.
+bits into buckets, as arrays (4 bytes a hash).  Spark shuffles the arrays by bucket,
+explodes them there and counts each hash over all batches by a window aggregate,
+whose sort spills; a bucket's hashes never meet in one Python group.  The positions
+whose hash stands in several batches go back as bitmaps, one a batch and bucket, to
+be added to those that the batch found in several of its own documents.  These are
+only candidates: equal windows are always among them, and chance may add a few.
 
 The second round goes over the candidates alone and takes a 128-bit BLAKE2b digest
-of each one's words, which stands for the words themselves.  It deals and counts
-in the same way, and sends back the positions whose smallest document is another
-one.  Per batch these merge into maximal removal intervals, and only the intervals
-are joined back to the texts.
+of each one's words, which stands for the words themselves.  It deals in the same
+way; Spark takes the smallest document of each digest, and the positions of larger
+ones go back.  Per batch these merge into maximal removal intervals, and only the
+intervals are joined back to the texts.
 
 In both rounds a window seen in a smaller doc_id of its batch is settled at once
 and only the smallest document's windows travel, so a passage that a third of all
@@ -32,21 +34,25 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlens.llm.common import mix64, slices, text_buffer, word_spans
 
 #: Bytes of text that one numpy step takes; a longer text is hashed in such pieces.
 STEP_BYTES = 2 << 20
-#: Windows that one bucket holds on average (about 30 bytes each while sorted).
-BUCKET_WINDOWS = 4 << 20
+#: Windows that one bucket holds on average: small enough to deal buckets evenly over
+#: tasks.  Nothing holds a bucket in memory, so a larger one is only a larger sort.
+BUCKET_WINDOWS = 1 << 19
 #: doc_id of null ids inside the blocks: after every other one.
 NO_ID = np.iinfo(np.int64).max
 #: Windows that a map task gathers per bucket before it deals them out, so that
-#: blocks stay long where buckets are many; the most it gathers; and the most
-#: leading bits (beyond 2**18 buckets these hold more than BUCKET_WINDOWS).
+#: arrays stay long where buckets are many; the most it gathers; and the most
+#: leading bits.
 BLOCK_WINDOWS, MOST_GATHERED, MOST_BITS = 64, 1 << 23, 18
 #: Bytes of the second round's digest of a window.
 DIGEST_BYTES = 16
+#: Positions that one bitmap of Spark's covers.
+BITMAP = 1 << 15
 
 _BASE, _WORD_BASE = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -164,7 +170,17 @@ def _gather(blob: bytes) -> np.ndarray:
     return _unpack(blob, 9) + np.frombuffer(blob, np.int64, 1, 1)[0]
 
 
-BLOCK = "bucket long, batch long, ids binary, windows binary, spots binary, hashes binary"
+#: What a batch keeps for itself, on a row of its own: document ids, windows of each
+#: (summed up), text hashes, flags of the windows that it settled and of those it dealt
+#: out, the buckets of these and, in the second round, the places of its windows.
+HOME = ["ids", "windows", "keys", "settled", "out", "dealt", "place"]
+BLOCK = f"bucket long, batch long, {{hashes}}, home struct<{', '.join(f'{c}: binary' for c in HOME)}>"
+#: Arrays of a bucket's row: the low half of a window hash; the halves of a digest and the document.
+COUNTED, SURE = ["h"], ["h", "g", "d"]
+
+
+def _block_type(sure: bool) -> str:
+    return BLOCK.format(hashes="h array<bigint>, g array<bigint>, d array<bigint>" if sure else "h array<int>")
 
 
 def _blocks(window: int, bits: int):
@@ -221,68 +237,92 @@ def _deal(serial: int, held: list[tuple], bits: int):
     edges, group, doc = np.flatnonzero(new), np.cumsum(new) - 1, ids[texts[by_hash]]
     later = np.empty(len(hashes), bool)
     later[by_hash] = doc > doc[edges][group]
-    found, home = later, keys.tobytes()
-    if sure:
-        home += _pack(place[moved] + np.repeat(at - n, chosen))
-    else:  # the smallest document's too: the second round needs it
+    found = later
+    if not sure:  # the smallest document's too: the second round needs it
         found = np.empty(len(hashes), bool)
         found[by_hash] = (np.maximum.reduceat(doc, edges) > doc[edges])[group]
-    out = [(-1 - serial, serial, _spread(ids), _pack(at), _pack(np.flatnonzero(found)), home)]
     rest = np.flatnonzero(~later)
-    bucket = ((hashes[:, 0] if sure else hashes)[rest] >> np.uint64(64 - bits)).astype(np.uint32)
-    dealt = np.argsort(bucket.astype(np.uint16) if bits <= 16 else bucket, kind="stable")
-    low = hashes if sure else hashes.astype(np.uint32)
-    edges = np.flatnonzero(np.diff(bucket[dealt])) + 1
-    for part in np.split(dealt, edges):
-        spots = rest[part]
-        out.append((int(bucket[part[0]]), serial, _spread(ids[texts[spots]]), b"", _pack(spots), low[spots].tobytes()))
-    cols = list(zip(*out, strict=True))
-    types = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-    names = [c.split()[0] for c in BLOCK.split(", ")]
-    for i in range(0, len(out), 512):
-        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 512], t) for c, t in zip(cols, types, strict=True)], names=names)
-
-
-def _count(sure: bool):
-    """One bucket: of each window hash the smallest document over all batches;
-    back go the positions that stand in a larger one or, in the first round, all
-    positions of a hash that stands in several."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf.bucket.iloc[0] < 0:  # what a batch settled itself passes through
-            return pdf.drop(columns="bucket")
-        spots = [_unpack(x) for x in pdf.spots]
-        docs = [_gather(i) for i in pdf.ids]
-        lens = [len(s) for s in spots]
-        raw, doc = b"".join(pdf.hashes), np.concatenate(docs)
-        order, new = _groups(np.frombuffer(raw, np.uint64).reshape(-1, 2) if sure else np.frombuffer(raw, np.uint32))
-        edges, group, mine = np.flatnonzero(new), np.cumsum(new) - 1, doc[order]
-        least = np.minimum.reduceat(mine, edges)
-        hit = np.empty(len(doc), bool)
-        hit[order] = mine > least[group] if sure else (np.maximum.reduceat(mine, edges) > least)[group]
-        kept, at = [], 0
-        for batch, s, n in zip(pdf.batch, spots, lens, strict=True):
-            if (mine := hit[at:at + n]).any():
-                kept.append((batch, None, None, _pack(s[mine]), None))
-            at += n
-        return pd.DataFrame(kept, columns=["batch", "ids", "windows", "spots", "hashes"])
-
-    return run
-
-
-def _intervals(window: int):
+    bucket = ((hashes[:, 0] if sure else hashes)[rest] >> np.uint64(64 - bits)).astype(_bucket_type(bits))
+    order = np.argsort(bucket, kind="stable")
+    dealt, bucket_of = rest[order], bucket[order]
+    kept = [_spread(ids), _pack(at), keys.tobytes(), np.packbits(found).tobytes(), np.packbits(~later).tobytes(),
+            bucket.tobytes(), _pack(place[moved] + np.repeat(at - n, chosen)) if sure else None]
+    if sure:
+        arrays = [hashes[dealt, 0].view(np.int64), hashes[dealt, 1].view(np.int64), ids[texts[dealt]]]
+    else:
+        arrays = [hashes[dealt].astype(np.uint32).view(np.int32)]
+    home = pa.StructArray.from_arrays([pa.array([x], pa.binary()) for x in kept], HOME)
+    names = ["bucket", "batch", *(SURE if sure else COUNTED), "home"]
+    lists = [pa.list_(pa.from_numpy_dtype(x.dtype)) for x in arrays]
+    yield pa.RecordBatch.from_arrays([pa.array([-1 - serial], pa.int64()), pa.array([serial], pa.int64()),
+                                      *[pa.nulls(1, t) for t in lists], home], names=names)
+    begin = np.flatnonzero(np.concatenate([[True], bucket_of[1:] != bucket_of[:-1]])) if len(dealt) else np.zeros(0, np.int64)
+    ends = np.append(begin, len(dealt))
+    for i in range(0, len(begin), 512):
+        cut = ends[i:i + 513]
+        off = pa.array(cut - cut[0], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket_of[cut[:-1]].astype(np.int64)), pa.array(np.full(len(cut) - 1, serial, np.int64)),
+             *[pa.ListArray.from_arrays(off, pa.array(x[cut[0]:cut[-1]])) for x in arrays],
+             pa.nulls(len(cut) - 1, home.type)], names=names)
+
+
+def _bucket_type(bits: int) -> type:
+    return np.uint8 if bits <= 8 else np.uint16 if bits <= 16 else np.uint32
+
+
+def _counted(blocks: DataFrame, sure: bool) -> DataFrame:
+    """batch, bucket, part, hits, home: the rows of the batches themselves, and for
+    each batch and bucket a bitmap of the positions in its array (BITMAP positions a
+    part) whose hash stands in another batch as well or, if ``sure``, in a smaller
+    document.
+
+    One shuffle, by bucket: the aggregate over equal hashes, and the bitmaps, keep to
+    its partitions."""
+    names = SURE if sure else COUNTED
+    zipped = F.posexplode_outer(F.arrays_zip(*names)).alias("spot", "x")
+    each = blocks.repartition("bucket").select("bucket", "batch", "home", zipped)
+    each = each.select("bucket", "batch", "home", "spot", *[F.col(f"x.{c}").alias(c) for c in names])
+    same = Window.partitionBy(*[c for c in names if c != "d"], "bucket")
+    if sure:
+        again = each.withColumn("least", F.min("d").over(same)).where("home is not null or d > least")
+    else:
+        again = each.withColumn("lo", F.min("batch").over(same)).withColumn("hi", F.max("batch").over(same)).where("home is not null or lo < hi")
+    part, at = F.floor(F.col("spot") / BITMAP).alias("part"), F.pmod(F.col("spot"), F.lit(BITMAP)).cast("long").alias("at")
+    told = again.select("batch", "bucket", part, at, "home").groupBy("batch", "bucket", "part").agg(
+        F.bitmap_construct_agg("at").alias("hits"), F.max("at").alias("last"), F.first("home").alias("home"))
+    return told.select("batch", "bucket", "part", F.substring("hits", F.lit(1), (F.floor(F.col("last") / 8) + 1).cast("int")).alias("hits"),
+                       *[F.col(f"home.{c}").alias(c) for c in HOME])
+
+
+def _flagged(home, rows: pd.DataFrame, total: int, bits: int) -> np.ndarray:
+    """The batch's windows that it settled itself or whose bitmaps came back."""
+    flag = np.unpackbits(np.frombuffer(home.settled, np.uint8), count=total).astype(bool)
+    rest = np.flatnonzero(np.unpackbits(np.frombuffer(home.out, np.uint8), count=total))
+    bucket = np.frombuffer(home.dealt, _bucket_type(bits))
+    order = np.argsort(bucket, kind="stable")
+    begin = np.searchsorted(bucket[order], rows.bucket.to_numpy())
+    for at, part, bits_of in zip(begin.tolist(), rows.part.astype(int).tolist(), rows.hits, strict=True):
+        hit = np.flatnonzero(np.unpackbits(np.frombuffer(bits_of, np.uint8), bitorder="little"))
+        flag[rest[order[at + part * BITMAP + hit]]] = True
+    return np.flatnonzero(flag)
+
+
+def _intervals(window: int, bits: int):
     """One batch: flagged windows to maximal word intervals of each text (for a
     ``window`` of 1 the runs of flagged windows)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        home = pdf[pdf.ids.notna()].iloc[0]
+        mine = pdf.ids.notna()
+        home = pdf[mine].iloc[0]
         ids, at = _gather(home.ids), np.concatenate([[0], _unpack(home.windows)])
-        keys = np.frombuffer(home.hashes, np.int64, len(ids))
-        flagged = np.unique(np.concatenate([_unpack(x) for x in pdf.spots]))
+        keys = np.frombuffer(home["keys"], np.int64, len(ids))
+        place = None if home.place is None else _unpack(home.place)
+        flagged = _flagged(home, pdf[~mine], int(at[-1]) if place is None else len(place), bits)
         if not len(flagged):
             return pd.DataFrame([], columns=["doc_id", "key", "starts", "ends"], dtype=object)
-        if len(home.hashes) > 8 * len(ids):  # of the second round
-            flagged = _unpack(home.hashes, 8 * len(ids))[flagged]
+        if place is not None:  # of the second round
+            flagged = place[flagged]
         text = np.searchsorted(at, flagged, "right") - 1
         new = np.flatnonzero(np.concatenate([[True], (np.diff(flagged) > window) | (np.diff(text) != 0)]))
         last = np.concatenate([new[1:], [len(flagged)]]) - 1
@@ -328,9 +368,9 @@ def _with_intervals(slim: DataFrame, found: DataFrame, how: str) -> DataFrame:
 def _round(rows: DataFrame, window: int, bits: int, sure: bool) -> DataFrame:
     """doc_id, key, starts, ends: the runs of candidate windows or, if ``sure``,
     the intervals of words to remove."""
-    blocks = rows.mapInArrow(_blocks(window, bits), BLOCK)
-    back = blocks.groupBy("bucket").applyInPandas(_count(sure), "batch long, ids binary, windows binary, spots binary, hashes binary")
-    found = back.groupBy("batch").applyInPandas(_intervals(window if sure else 1), "doc_id long, key long, starts array<int>, ends array<int>")
+    blocks = rows.mapInArrow(_blocks(window, bits), _block_type(sure))
+    back = _counted(blocks, sure)
+    found = back.groupBy("batch").applyInPandas(_intervals(window if sure else 1, bits), "doc_id long, key long, starts array<int>, ends array<int>")
     if sure:
         return found.groupBy("doc_id", "key").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
     # repeated rows can have other candidates in each batch, which count together

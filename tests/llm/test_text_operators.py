@@ -67,6 +67,25 @@ def test_substring_dedup_of_rows_repeated_across_batches(spark):
         assert sorted((r.doc_id, r.n_removed) for r in got) == [(5, 0), (5, 0), (6, 0), (7, 20)]
 
 
+def test_substring_dedup_of_arrays_longer_than_a_bitmap(spark):
+    """Two million windows in 64 buckets: a bucket's array has more positions than one bitmap covers."""
+    from ledgerlens.llm import substring_dedup as S
+    n = 66 * S.BITMAP
+    text = " ".join(f"{i:x}" for i in range(n))
+    frame = docs_frame(spark, [(1, text, "a")]).union(docs_frame(spark, [(2, f"own {text}", "a")])).union(docs_frame(spark, [(3, "own words", "a")]))
+    got = S.remove_repeated_windows(frame).select("doc_id", "n_words", "n_removed").collect()
+    assert sorted(map(tuple, got)) == [(1, n, 0), (2, n + 1, n), (3, 2, 0)]
+
+
+def test_substring_dedup_counts_in_one_shuffle_by_bucket(spark):
+    from ledgerlens.llm import substring_dedup as S
+    for sure, arrays in ((False, "h array<int>"), (True, "h array<bigint>, g array<bigint>, d array<bigint>")):
+        blocks = spark.createDataFrame([], f"bucket long, batch long, {arrays}, home struct<{', '.join(f'{c}: binary' for c in S.HOME)}>")
+        plan = S._counted(blocks, sure)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert plan.count("Exchange") == 1 and "hashpartitioning(bucket" in plan and "Window" in plan and "Pandas" not in plan, plan
+
+
 def test_packing_round_trip():
     from ledgerlens.llm.substring_dedup import _gather, _pack, _spread, _unpack
     for v in ([0], [5, 5, 6, 1000, 1 << 33], list(range(0, 3000, 7)), [], [255], [254, 509]):
