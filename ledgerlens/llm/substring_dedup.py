@@ -20,8 +20,9 @@ In both rounds a window seen in a smaller doc_id of its batch is settled at once
 and only the smallest document's windows travel, so a passage that a third of all
 documents share reaches its bucket once per batch.
 
-The input must give the same rows in the same order when a task is run again,
-as tables do; otherwise write it out first.  (The second round sorts its rows.)
+The input must give the same rows in the same order whenever a task is run, as tables
+do (each round runs its map side twice, and lost tasks again); otherwise write it out
+first.  (The second round sorts its rows.)
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.common import mix64, slices, text_buffer, word_spans
+from ledgerlens.llm.common import mix64, slices, stored, text_buffer, word_spans
 
 #: Bytes of text that one numpy step takes; a longer text is hashed in such pieces.
 STEP_BYTES = 2 << 20
@@ -170,22 +171,23 @@ def _gather(blob: bytes) -> np.ndarray:
     return _unpack(blob, 9) + np.frombuffer(blob, np.int64, 1, 1)[0]
 
 
-#: What a batch keeps for itself, on a row of its own: document ids, windows of each
-#: (summed up), text hashes, flags of the windows that it settled and of those it dealt
-#: out, the buckets of these and, in the second round, the places of its windows.
+#: What a batch keeps for itself: document ids, windows of each (summed up), text hashes,
+#: flags of the windows that it settled and of those it dealt out, the buckets of these
+#: and, in the second round, the places of its windows.
 HOME = ["ids", "windows", "keys", "settled", "out", "dealt", "place"]
-BLOCK = f"bucket long, batch long, {{hashes}}, home struct<{', '.join(f'{c}: binary' for c in HOME)}>"
+HOME_TYPE = f"batch long, {', '.join(f'{c} binary' for c in HOME)}"
 #: Arrays of a bucket's row: the low half of a window hash; the halves of a digest and the document.
 COUNTED, SURE = ["h"], ["h", "g", "d"]
 
 
 def _block_type(sure: bool) -> str:
-    return BLOCK.format(hashes="h array<bigint>, g array<bigint>, d array<bigint>" if sure else "h array<int>")
+    return "bucket int, batch long, " + ("h array<bigint>, g array<bigint>, d array<bigint>" if sure else "h array<int>")
 
 
-def _blocks(window: int, bits: int):
-    """Map side: the binary blocks of a partition's texts, of all windows or, in
-    the second round, of the runs of candidates in columns 3 and 4."""
+def _blocks(window: int, bits: int, home: bool):
+    """Map side: the arrays, or the ``home`` rows, of a partition's batches, of all
+    windows or, in the second round, of the runs of candidates in columns 3 and 4.
+    Home rows go straight to their batch, so they are made in a pass of their own."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -211,17 +213,17 @@ def _blocks(window: int, bits: int):
                     held.append((ids[a:b], keys[a:b], np.diff(at), chosen, place, hashes))
                 if sum(len(x[-1]) for x in held) >= min(BLOCK_WINDOWS << bits, MOST_GATHERED):
                     serial += 1
-                    yield from _deal(serial, held, bits)
+                    yield from _deal(serial, held, bits, home)
                     held = []
         if held:
-            yield from _deal(serial + 1, held, bits)
+            yield from _deal(serial + 1, held, bits, home)
 
     return run
 
 
-def _deal(serial: int, held: list[tuple], bits: int):
-    """One batch: its texts in order of id, what it settles itself, and a block
-    of window hashes for every bucket.  Held are id, key, windows and chosen
+def _deal(serial: int, held: list[tuple], bits: int, home: bool):
+    """One batch: its texts in order of id with what it settles itself (``home``),
+    or an array of window hashes for every bucket.  Held are id, key, windows and chosen
     windows of each text, and of each chosen one its place in the text (second
     round) and hash."""
     ids, keys, n, chosen, place, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -243,56 +245,53 @@ def _deal(serial: int, held: list[tuple], bits: int):
         found[by_hash] = (np.maximum.reduceat(doc, edges) > doc[edges])[group]
     rest = np.flatnonzero(~later)
     bucket = ((hashes[:, 0] if sure else hashes)[rest] >> np.uint64(64 - bits)).astype(_bucket_type(bits))
+    if home:
+        kept = [_spread(ids), _pack(at), keys.tobytes(), np.packbits(found).tobytes(), np.packbits(~later).tobytes(),
+                bucket.tobytes(), _pack(place[moved] + np.repeat(at - n, chosen)) if sure else None]
+        yield pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), *[pa.array([x], pa.binary()) for x in kept]], names=["batch", *HOME])
+        return
     order = np.argsort(bucket, kind="stable")
     dealt, bucket_of = rest[order], bucket[order]
-    kept = [_spread(ids), _pack(at), keys.tobytes(), np.packbits(found).tobytes(), np.packbits(~later).tobytes(),
-            bucket.tobytes(), _pack(place[moved] + np.repeat(at - n, chosen)) if sure else None]
     if sure:
         arrays = [hashes[dealt, 0].view(np.int64), hashes[dealt, 1].view(np.int64), ids[texts[dealt]]]
     else:
         arrays = [hashes[dealt].astype(np.uint32).view(np.int32)]
-    home = pa.StructArray.from_arrays([pa.array([x], pa.binary()) for x in kept], HOME)
-    names = ["bucket", "batch", *(SURE if sure else COUNTED), "home"]
-    lists = [pa.list_(pa.from_numpy_dtype(x.dtype)) for x in arrays]
-    yield pa.RecordBatch.from_arrays([pa.array([-1 - serial], pa.int64()), pa.array([serial], pa.int64()),
-                                      *[pa.nulls(1, t) for t in lists], home], names=names)
     begin = np.flatnonzero(np.concatenate([[True], bucket_of[1:] != bucket_of[:-1]])) if len(dealt) else np.zeros(0, np.int64)
     ends = np.append(begin, len(dealt))
     for i in range(0, len(begin), 512):
         cut = ends[i:i + 513]
         off = pa.array(cut - cut[0], pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(bucket_of[cut[:-1]].astype(np.int64)), pa.array(np.full(len(cut) - 1, serial, np.int64)),
-             *[pa.ListArray.from_arrays(off, pa.array(x[cut[0]:cut[-1]])) for x in arrays],
-             pa.nulls(len(cut) - 1, home.type)], names=names)
+            [pa.array(bucket_of[cut[:-1]].astype(np.int32)), pa.array(np.full(len(cut) - 1, serial, np.int64)),
+             *[pa.ListArray.from_arrays(off, pa.array(x[cut[0]:cut[-1]])) for x in arrays]],
+            names=["bucket", "batch", *(SURE if sure else COUNTED)])
 
 
 def _bucket_type(bits: int) -> type:
     return np.uint8 if bits <= 8 else np.uint16 if bits <= 16 else np.uint32
 
 
-def _counted(blocks: DataFrame, sure: bool) -> DataFrame:
-    """batch, bucket, part, hits, home: the rows of the batches themselves, and for
-    each batch and bucket a bitmap of the positions in its array (BITMAP positions a
-    part) whose hash stands in another batch as well or, if ``sure``, in a smaller
-    document.
+def _counted(blocks: DataFrame, sure: bool, bits: int) -> DataFrame:
+    """batch, bucket, part, hits: for each batch and bucket a bitmap of the positions
+    in its array (BITMAP positions a part) whose hash stands in another batch as well
+    or, if ``sure``, in a smaller document.
 
-    One shuffle, by bucket: the aggregate over equal hashes, and the bitmaps, keep to
-    its partitions."""
+    One shuffle, by bucket, which deals the buckets out in turn; the aggregate over
+    equal hashes, and the bitmaps, keep to its partitions."""
     names = SURE if sure else COUNTED
-    zipped = F.posexplode_outer(F.arrays_zip(*names)).alias("spot", "x")
-    each = blocks.repartition("bucket").select("bucket", "batch", "home", zipped)
-    each = each.select("bucket", "batch", "home", "spot", *[F.col(f"x.{c}").alias(c) for c in names])
+    parts = min(1 << bits, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = blocks.repartitionById(parts, F.col("bucket"))
+    each = dealt.select("bucket", "batch", F.posexplode(F.arrays_zip(*names)).alias("spot", "x"))
+    each = each.select("bucket", "batch", "spot", *[F.col(f"x.{c}").alias(c) for c in names])
     same = Window.partitionBy(*[c for c in names if c != "d"], "bucket")
     if sure:
-        again = each.withColumn("least", F.min("d").over(same)).where("home is not null or d > least")
+        again = each.withColumn("least", F.min("d").over(same)).where("d > least")
     else:
-        again = each.withColumn("lo", F.min("batch").over(same)).withColumn("hi", F.max("batch").over(same)).where("home is not null or lo < hi")
+        again = each.withColumn("lo", F.min("batch").over(same)).withColumn("hi", F.max("batch").over(same)).where("lo < hi")
     part, at = F.floor(F.col("spot") / BITMAP).alias("part"), F.pmod(F.col("spot"), F.lit(BITMAP)).cast("long").alias("at")
-    told = again.select("batch", "bucket", part, at, "home").groupBy("batch", "bucket", "part").agg(
-        F.bitmap_construct_agg("at").alias("hits"), F.max("at").alias("last"), F.first("home").alias("home"))
-    return told.select("batch", "bucket", "part", F.substring("hits", F.lit(1), (F.floor(F.col("last") / 8) + 1).cast("int")).alias("hits"),
-                       *[F.col(f"home.{c}").alias(c) for c in HOME])
+    told = again.select("batch", "bucket", part, at).groupBy("batch", "bucket", "part").agg(
+        F.bitmap_construct_agg("at").alias("hits"), F.max("at").alias("last"))
+    return told.select("batch", "bucket", "part", F.substring("hits", F.lit(1), (F.floor(F.col("last") / 8) + 1).cast("int")).alias("hits"))
 
 
 def _flagged(home, rows: pd.DataFrame, total: int, bits: int) -> np.ndarray:
@@ -312,13 +311,12 @@ def _intervals(window: int, bits: int):
     """One batch: flagged windows to maximal word intervals of each text (for a
     ``window`` of 1 the runs of flagged windows)."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mine = pdf.ids.notna()
-        home = pdf[mine].iloc[0]
+    def run(homes: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
+        home = homes.iloc[0]
         ids, at = _gather(home.ids), np.concatenate([[0], _unpack(home.windows)])
         keys = np.frombuffer(home["keys"], np.int64, len(ids))
         place = None if home.place is None else _unpack(home.place)
-        flagged = _flagged(home, pdf[~mine], int(at[-1]) if place is None else len(place), bits)
+        flagged = _flagged(home, hits, int(at[-1]) if place is None else len(place), bits)
         if not len(flagged):
             return pd.DataFrame([], columns=["doc_id", "key", "starts", "ends"], dtype=object)
         if place is not None:  # of the second round
@@ -350,7 +348,7 @@ def removal_intervals(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     slim = _slim(docs, id_col, text_col)
     n_bytes = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(MOST_BITS, max(6, int(n_bytes // 6 // BUCKET_WINDOWS).bit_length()))
-    maybe = _round(slim, window, bits, sure=False)
+    maybe = stored(_round(slim, window, bits, sure=False), "candidates")
     # the texts are dealt out as in remove_repeated_windows, which takes the same exchange again
     both = _with_intervals(slim, maybe, "inner").select("d.doc_id", "d.key", "d.text", "f.starts", "f.ends")
     return _round(both.sortWithinPartitions("doc_id", "key"), window, bits, sure=True)
@@ -368,9 +366,10 @@ def _with_intervals(slim: DataFrame, found: DataFrame, how: str) -> DataFrame:
 def _round(rows: DataFrame, window: int, bits: int, sure: bool) -> DataFrame:
     """doc_id, key, starts, ends: the runs of candidate windows or, if ``sure``,
     the intervals of words to remove."""
-    blocks = rows.mapInArrow(_blocks(window, bits), _block_type(sure))
-    back = _counted(blocks, sure)
-    found = back.groupBy("batch").applyInPandas(_intervals(window if sure else 1, bits), "doc_id long, key long, starts array<int>, ends array<int>")
+    homes = rows.mapInArrow(_blocks(window, bits, True), HOME_TYPE)
+    back = _counted(rows.mapInArrow(_blocks(window, bits, False), _block_type(sure)), sure, bits)
+    found = homes.groupBy("batch").cogroup(back.groupBy("batch")).applyInPandas(
+        _intervals(window if sure else 1, bits), "doc_id long, key long, starts array<int>, ends array<int>")
     if sure:
         return found.groupBy("doc_id", "key").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
     # repeated rows can have other candidates in each batch, which count together
