@@ -59,9 +59,21 @@ def step_class_counts(tx_time_df: DataFrame) -> DataFrame:
                       .orderBy("time_step"))
 
 
-def _steps(frame_lo, frame_hi):
-    # one row per time step: a global window here orders <= #steps rows
-    return Window.orderBy("time_step").rowsBetween(frame_lo, frame_hi)
+def wallet_step_counts(addr_tx: DataFrame, tx_time_df: DataFrame) -> DataFrame:
+    """address, time_step, illicit, total: the transactions that a wallet puts in, per
+    step (only steps with any; a transaction named twice counts twice).
+
+    Joined on the transaction, added up before the shuffle by wallet: a hot wallet has
+    one row per step after it."""
+    joined = addr_tx.join(tx_time_df, "txId")
+    return joined.groupBy(F.col("input_address").alias("address"), "time_step").agg(
+        F.count_if(F.col("class") == ILLICIT).alias("illicit"), F.count(F.lit(1)).alias("total"))
+
+
+def _steps(frame_lo, frame_hi, by=()):
+    # one row per time step (and group): a window here orders <= #steps rows
+    order = Window.partitionBy(*by).orderBy("time_step") if by else Window.orderBy("time_step")
+    return order.rowsBetween(frame_lo, frame_hi)
 
 
 def temporal_distribution(counts: DataFrame) -> DataFrame:
@@ -90,15 +102,18 @@ def rolling_illicit_rate(counts: DataFrame, width: int = 3) -> DataFrame:
                   .orderBy("time_step"))
 
 
-def fraud_bursts(counts: DataFrame, factor: float = 1.5, lookback: int = 3) -> DataFrame:
+def fraud_bursts(counts: DataFrame, factor: float = 1.5, lookback: int = 3, by: tuple[str, ...] = ()) -> DataFrame:
     """Steps whose illicit count exceeds ``factor`` x the mean of the previous
     ``lookback`` steps: time_step, illicit, prev_mean (2 d.p.), burst_ratio (3 d.p.;
     null after steps with no illicit transactions, where any illicit count is a
-    burst).  The first step has no history and is never a burst."""
-    prev = F.avg("illicit").over(_steps(-lookback, -1))
-    return (counts.select("time_step", "illicit", prev.alias("prev_mean"))
-                  .where(F.col("illicit") > factor * F.col("prev_mean"))
-                  .select("time_step", "illicit", F.round("prev_mean", 2).alias("prev_mean"),
-                          F.round(F.try_divide(F.col("illicit"), F.col("prev_mean")), 3)
-                           .alias("burst_ratio"))
-                  .orderBy("time_step"))
+    burst).  The first step has no history and is never a burst.
+
+    With ``by`` each group of these columns has a history of its own, of the steps that
+    it has rows for; the columns come first, and the rows are not sorted."""
+    prev = F.avg("illicit").over(_steps(-lookback, -1, by))
+    out = (counts.select(*by, "time_step", "illicit", prev.alias("prev_mean"))
+                 .where(F.col("illicit") > factor * F.col("prev_mean"))
+                 .select(*by, "time_step", "illicit", F.round("prev_mean", 2).alias("prev_mean"),
+                         F.round(F.try_divide(F.col("illicit"), F.col("prev_mean")), 3)
+                          .alias("burst_ratio")))
+    return out if by else out.orderBy("time_step")

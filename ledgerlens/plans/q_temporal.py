@@ -77,9 +77,8 @@ def rolling_illicit_rate(t):
     return temporal.rolling_illicit_rate(_counts(t))
 
 
-# The test tables spread their orders evenly over time, so the operator's default
-# of 1.5 finds nothing in them.
-BURST_FACTOR = 1.1
+# illicit count over this many times the mean of the three steps before
+BURST_FACTOR = 1.5
 
 
 @register("fraud_bursts", with_fixtures(f"""
@@ -93,3 +92,20 @@ select time_step, illicit, round(pm, 2) as prev_mean,
 from p where illicit > {BURST_FACTOR} * pm order by time_step""", *_T))
 def fraud_bursts(t):
     return temporal.fraud_bursts(_counts(t), factor=BURST_FACTOR)
+
+
+# A wallet's steps vary however evenly the orders of all wallets are spread.
+@register("wallet_bursts", with_fixtures(f"""
+with n as (
+  select a.input_address as address, s.time_step, count(*) filter (where c.class = 1) as illicit
+  from addr_tx a join tx_steps s using (txId) join tx_classes c using (txId) group by all),
+p as (
+  select *, avg(illicit) over (partition by address order by time_step
+                               rows between 3 preceding and 1 preceding) as pm
+  from n)
+select address, time_step, illicit, round(pm, 2) as prev_mean,
+       case when pm <> 0 then round(illicit / pm, 3) end as burst_ratio
+from p where illicit > {BURST_FACTOR} * pm""", "addr_tx", *_T))
+def wallet_bursts(t):
+    counts = temporal.wallet_step_counts(t.addr_tx, temporal.tx_time(t.tx_steps, t.tx_classes))
+    return temporal.fraud_bursts(counts, factor=BURST_FACTOR, by=("address",))

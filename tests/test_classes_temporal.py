@@ -58,6 +58,21 @@ def test_bursts(spark):
         [(3, None)]
 
 
+def test_bursts_of_each_wallet(spark):
+    """Each wallet has its own history; a null address is a group like any other."""
+    c = spark.createDataFrame([("a", 1, 2), ("a", 2, 2), ("a", 5, 4), ("b", 1, 9), ("b", 2, 9), (None, 3, 0), (None, 4, 1), ("c", 7, 5)],
+                              "address string, time_step int, illicit long")
+    got = {(r.address, r.time_step): (r.prev_mean, r.burst_ratio) for r in temporal.fraud_bursts(c, by=("address",)).collect()}
+    assert got == {("a", 5): (2.0, 2.0), (None, 4): (0.0, None)}
+
+
+def test_wallet_step_counts(spark):
+    sent = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("b", 3), ("b", 9), (None, 1)], "input_address string, txId long")
+    tx = spark.createDataFrame([(1, 4, 1), (2, 4, None), (3, 5, 2)], "txId long, time_step int, class int")
+    got = {(r.address, r.time_step): (r.illicit, r.total) for r in temporal.wallet_step_counts(sent, tx).collect()}
+    assert got == {("a", 4): (1, 3), ("b", 5): (0, 1), (None, 4): (1, 1)}
+
+
 def test_step_counts_null_class_only_in_total(spark):
     df = spark.createDataFrame([(1, 1, 1), (2, 1, None), (3, 1, 3), (4, 2, 2)],
                                "txId long, time_step int, class int")
