@@ -68,3 +68,28 @@ def test_other_rows_or_parameters_are_fitted_anew(train, monkeypatch):
     run(train, models.logistic(5), folds=3)
     run(train.withColumn("label", F.lit(1) - F.col("label")), models.logistic(5))
     assert len(fitted) == 4
+
+
+def test_folds_of_a_large_table_are_dealt_over_the_cores(spark, monkeypatch):
+    """All rows, one fold each, evenly in several partitions; a small table stays whole."""
+    rows = spark.range(4000, numPartitions=1).select(F.col("id").alias("txId"), (F.col("id") % 2).cast("int").alias("label"),
+                                                     (F.col("id") * 7 % 1000).cast("double").alias("x"))
+    seen, plain = [], models._featurised
+
+    def featurised(data, prepare, fold):
+        seen.append(data.groupBy(F.spark_partition_id()).count().collect())
+        return plain(data, prepare, fold)
+
+    monkeypatch.setattr(models, "_featurised", featurised)
+
+    def run(size):
+        monkeypatch.setattr(models, "FOLD_BYTES", size)
+        seen.clear()
+        clf = models.logistic(1)
+        models.fit_grids(rows, [models.assembler(["x"]), models.scaler()], {"m": (clf, models.param_grid(clf, regParam=(0.1,)))}, folds=2)
+        return [sorted(r["count"] for r in parts) for parts in seen]
+
+    cores = spark.sparkContext.defaultParallelism
+    for parts in run(1 << 10):
+        assert len(parts) == cores > 1 and sum(parts) == 4000 and parts[-1] - parts[0] <= 4000 // cores // 10
+    assert run(64 << 20) == [[4000], [4000]]
