@@ -8,13 +8,15 @@ from contextlib import contextmanager
 
 from ledgerlens.operators import clustering, dataset, metrics, models, wallets
 from ledgerlens.plans.queries import register
-from ledgerlens.session import compacted, materialize, persisted
+from ledgerlens.session import compacted, materialize, persisted, stored
 from ledgerlens.sources.fixtures import DOC_FEATURE_COLS
 
 
 def _split(t):
+    """Training and held-out rows of the labelled table, stored once: the texts are read and
+    measured in one pass, whatever number of fits and evaluations read the rows."""
     ds = dataset.labelled_dataset(t.txs_features, t.doc_classes)
-    return dataset.temporal_split(ds)
+    return dataset.temporal_split(stored(ds, "labelled"))
 
 
 def _selected(t, *names):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import (cases, classes, clustering, dataset, graph, metrics, models,
                                   profile, temporal, wallets)
 from ledgerlens.operators.class_bitmap import class_bitmap
-from ledgerlens.session import compacted, materialize, persisted
+from ledgerlens.session import compacted, materialize, persisted, stored
 from ledgerlens.sources.sinks import write_predictions, write_result
 
 # Fixed values of the analysed script's report (sizes of its top lists, bins).
@@ -86,7 +86,7 @@ def _feature_profile(t, cols: list[str] | None = None) -> dict[str, DataFrame]:
 
 
 def _models(t, cross_validation: bool) -> dict[str, DataFrame]:
-    ds = dataset.labelled_dataset(t.txs_features, t.doc_classes)
+    ds = stored(dataset.labelled_dataset(t.txs_features, t.doc_classes), "labelled")    # read by every fit and evaluation
     cols = dataset.feature_columns(ds)
     train, test = dataset.temporal_split(ds)
     out, results, confusion, predicted = {}, {}, None, None

@@ -142,3 +142,36 @@ def test_report_writes_predictions(spark, tmp_path):
     df = spark.createDataFrame([(1, 1, 1.0, "m"), (2, 0, 0.0, "m")], "txId long, label int, prediction double, model string")
     sinks.write_predictions(df, str(tmp_path / "p"), keep=["model"])
     assert sorted(spark.read.parquet(str(tmp_path / "p")).collect()) == [("m", 1, 1, 1), ("m", 2, 0, 0)]
+
+
+@pytest.fixture(scope="module")
+def labelled_texts(spark, tmp_path_factory):
+    """500 short texts, two in three labelled, ids 7 and 8 twice."""
+    d = tmp_path_factory.mktemp("texts")
+    ids = [*range(500), 7, 8]
+    texts = [(i, " ".join(["word!" if (i + k) % 5 else "word"] * 3 + [str(i * k)]), i % 3) for k, i in enumerate(ids, 1)]
+    spark.createDataFrame([(i, t, len(t)) for i, t, _ in texts], "doc_id long, text string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(i, c % 2) for i, _, c in texts[:500] if c < 2], "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+    return str(d)
+
+
+def test_model_queries_measure_the_texts_once(spark, labelled_texts, monkeypatch):
+    """Fits and evaluations read stored rows, the same as the labelled table has; none goes back to the texts."""
+    from ledgerlens.plans import q_ml
+    from ledgerlens.plans.tables import Tables
+    t, read = Tables(spark, labelled_texts), []
+
+    def select(train, classifiers, cols, **options):
+        read.append(train)
+        return {n: models.fit(train, models.logistic(2), cols) for n in classifiers}, None
+
+    monkeypatch.setattr(q_ml.models, "select_models", select)
+    for query in (q_ml.model_confusion_matrix, q_ml.model_comparison, q_ml.lr_predictions):
+        out = query(t)
+        read.append(out)
+        assert out.count() > 0
+    files = [f for df in read for f in df.inputFiles()]
+    assert files and not any("documents.parquet" in f or "labels.parquet" in f for f in files)
+    want = dataset.temporal_split(dataset.labelled_dataset(t.txs_features, t.doc_classes))
+    for got, plain in zip(q_ml._split(t), want, strict=True):
+        assert sorted(got.collect()) == sorted(plain.collect()) and got.columns == plain.columns
