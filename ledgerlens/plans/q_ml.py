@@ -62,7 +62,8 @@ def model_comparison(t):
     best, test, _ = _selected(t)
     results = {}
     for name, model in best.items():
-        with persisted(model.transform(test)) as p:           # scanned by two evaluations
+        # scanned by two evaluations, without the vectors they do not read
+        with persisted(model.transform(test).select("label", "prediction", "rawPrediction")) as p:
             results[name] = models.evaluate(p)
     return models.model_comparison(t.spark, results)
 

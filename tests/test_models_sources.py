@@ -175,3 +175,14 @@ def test_model_queries_measure_the_texts_once(spark, labelled_texts, monkeypatch
     want = dataset.temporal_split(dataset.labelled_dataset(t.txs_features, t.doc_classes))
     for got, plain in zip(q_ml._split(t), want, strict=True):
         assert sorted(got.collect()) == sorted(plain.collect()) and got.columns == plain.columns
+
+
+def test_model_comparison_holds_only_what_evaluations_read(spark, labelled_texts, monkeypatch):
+    from ledgerlens.plans import q_ml
+    from ledgerlens.plans.tables import Tables
+    held, plain = [], models.evaluate
+    monkeypatch.setattr(q_ml.models, "select_models", lambda train, classifiers, cols, **o: ({n: models.fit(train, models.logistic(2), cols) for n in classifiers}, None))
+    monkeypatch.setattr(q_ml.models, "evaluate", lambda p: held.append((p.columns, p.is_cached)) or plain(p))
+    rows = q_ml.model_comparison(Tables(spark, labelled_texts)).collect()
+    assert held == [(["label", "prediction", "rawPrediction"], True)] * 2
+    assert [r.model for r in rows] == ["Random Forest", "Logistic Regression"] and rows[0][1:] == rows[1][1:]
